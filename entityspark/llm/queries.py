@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityspark.llm import exact, media, mixing, packing, simhash, warc
+from entityspark.llm import exact, media, mixing, packing, simhash, suffix, toxicity, warc
 from entityspark.llm.common import scratch_path
 
 
@@ -34,6 +34,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), DOMAIN, WEIGHTS, SHARE, EPOCHS, SEED)
 
 
+def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without repeated passages of 200 bytes."""
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def tokenizer_files() -> dict[str, str]:
     """Where the public tokenizer's ranks are, and its pattern."""
     import public_tokenizers
@@ -61,8 +67,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model that is fitted outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_mixing, op5_packing, op6_exact, op7_media, op8_simhash)}
+    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity)}
 
 
 OP1 = """
