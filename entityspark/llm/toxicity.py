@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from entityspark.llm.common import columns, slices, text_or_empty, utf8
+from entityspark.llm.common import columns, materialize, slices, text_or_empty, utf8
 
 #: The letters that a look-alike can stand for.
 LOOKALIKES = {
@@ -37,12 +38,14 @@ VOWELS = "aeiou"
 LOOKALIKE, SEPARATOR, HIDDEN, SYMBOL, SQUEEZED = 0.3, 0.1, 1.0, 4.0, 0.5
 #: Longer tokens are no disguised words, but keys and links: they stay as they are.
 LONGEST = 48
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 MOST_CACHED = 400_000
 #: Evidence counts from this weight on.
-LEAST_WEIGHT = 1.5
+LEAST_WEIGHT = 2.0
+#: How many least hashes tell whether labelled documents share passages.
+SKETCH = 4
 #: Documents of the average toxicity that stand beside those in which a word occurs.
-HELD_BACK = 10.0
+HELD_BACK = 5.0
 
 
 @functools.cache
@@ -197,6 +200,7 @@ class Model:
     costs: np.ndarray
     weights: np.ndarray
     base: float
+    slope: float = 1.0
 
     def evidence(self, token: str) -> tuple[str, float] | None:
         word = restored(token, self.costs)
@@ -205,7 +209,17 @@ class Model:
 
     def score(self, text: str, words: Words) -> float:
         found = {x for x in map(words.__getitem__, tokens(text)) if x}
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.base + sum(w for _, w in found)))))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.base + self.slope * sum(w for _, w in found)))))
+
+
+def sketch(text: str) -> list[int]:
+    """The least hashes of a text's five-word shingles, under SKETCH orders."""
+    import xxhash
+
+    words = text.lower().split()
+    shingles = {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in shingles], np.uint64)
+    return [int((hashes * np.uint64(2 * k + 0x9E3779B97F4A7C15)).min() >> np.uint64(1)) for k in range(SKETCH)]
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -223,19 +237,29 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, text: s
     rows = rows.filter(~held_out("labelled_id")).groupBy("labelled_id").agg(F.max("label").alias("label"))
     sample = rows.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(most_labelled)
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(lambda t: features(restored(t, costs)))
+        for batch in slices(batches, "body", 1 << 22):
+            bodies = batch.column(1).to_pylist()
+            own = [sorted(set(filter(None, map(words.__getitem__, tokens(x))))) for x in bodies]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(sketch, bodies), pa.list_(pa.int64())), pa.array(own, pa.list_(pa.list_(pa.int32())))], names=["label", "sketch", "own"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = Words(lambda t: features(restored(t, costs))), np.zeros((2, BUCKETS + 1), np.int64)
+        total = np.zeros((2, BUCKETS + 1))
         for batch in batches:
-            for label, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = list({b for buckets in map(words.__getitem__, tokens(body)) for b in buckets})
-                total[int(label > 0), own] += 1
-                total[int(label > 0), BUCKETS] += 1
+            for label, copies, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                total[int(label > 0), np.unique(own.values.flatten().to_numpy())] += 1 / copies
+                total[int(label > 0), BUCKETS] += 1 / copies
         some = np.flatnonzero(total.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[0, some]), pa.array(total[1, some])], names=["bucket", "clean", "toxic"])
 
     # The sample is small by its bound, so it goes to the texts.
     texts = columns(docs, doc_id, text).join(F.broadcast(sample), F.col(f"`{doc_id}`") == F.col("labelled_id")).select("label", text_or_empty(text).alias("body"))
-    counts = texts.mapInArrow(count, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    known = materialize(texts.mapInArrow(read, "label int, sketch array<bigint>, own array<array<int>>"), "labelled")
+    # Documents that share a passage speak with one voice: otherwise the words of a text with many copies are evidence.
+    copies = F.greatest(*[F.count("*").over(W.partitionBy(F.get("sketch", F.lit(k)))) for k in range(SKETCH)])
+    voices = materialize(known.select("label", copies.alias("copies"), "own"), "voices")
+    counts = voices.mapInArrow(count, "bucket int, clean double, toxic double").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     table = counts.toPandas()  # BUCKETS + 1 rows at most
     clean, toxic = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     clean[table["bucket"]], toxic[table["bucket"]] = table["clean"], table["toxic"]
@@ -243,9 +267,41 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, text: s
     if not n or not bad or bad == n:
         return Model(costs, np.zeros(BUCKETS, np.float32), 0.0 if not n else 4.0 if bad else -4.0)
     base = math.log(bad / (n - bad))
-    share = (toxic + HELD_BACK * bad / n) / (clean + toxic + HELD_BACK)
-    weights = np.log(share / (1 - share)) - base
-    return Model(costs, weights[:-1].astype(np.float32), base)
+
+    def weighed(clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        share = (toxic + HELD_BACK * bad / n) / (clean + toxic + HELD_BACK)
+        return np.log(share / (1 - share)) - base
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The evidence in each document, by the counts of all others."""
+        for batch in batches:
+            sums = []
+            for label, copies, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                ends, flat = own.values.offsets.to_numpy(), own.values.flatten().to_numpy()
+                ends = ends - ends[0]
+                weights = weighed(clean[flat] - (label <= 0) / copies, toxic[flat] - (label > 0) / copies)
+                most = np.maximum.reduceat(weights, ends[:-1]) if len(flat) else np.zeros(0)
+                sums.append(float(most[most >= LEAST_WEIGHT].sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], names=["label", "evidence"])
+
+    # Words that chance put into toxic documents are strong evidence in these alone. What evidence is worth in documents
+    # that didn't give it is learned from the sample, each document being left out of its own counts.
+    sums = voices.mapInArrow(without, "label int, evidence double").toPandas()  # most_labelled rows at most
+    slope, base_score = calibrated(sums["evidence"].to_numpy(), (sums["label"].to_numpy() > 0).astype(float))
+    return Model(costs, weighed(clean, toxic)[:-1].astype(np.float32), base_score, slope)
+
+
+def calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of the logistic regression of y on x, by Newton's method with a small ridge."""
+    at, rows = np.zeros(2), np.stack([x, np.ones_like(x)], 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(rows @ at, -30, 30)))
+        slope = rows.T @ (y - p) - 1e-3 * at
+        step = np.linalg.solve(rows.T @ (rows * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), slope)
+        at = at + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-9:
+            break
+    return max(0.0, float(at[0])), float(at[1])
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
