@@ -77,21 +77,31 @@ def links(fps: DataFrame) -> DataFrame:
     halves = F.explode(F.array(*[F.struct(F.lit(h).alias("h"), own.alias("own"), other.alias("other")) for h, own, other in (
         (0, F.col("fp").bitwiseAND(low), F.shiftrightunsigned("fp", 32)), (1, F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(low)))]))
     split = fps.select("fp", halves.alias("x")).select("fp", "x.*")
-    variants = split.select("fp", "h", "own", "other", F.explode(literal(flips(32, 1))).alias("m")).select("fp", "h", F.col("own").bitwiseXOR(F.col("m")).alias("key"), "other", (F.col("m") == 0).alias("at"))
-    # One row for each half that some fingerprint has; a variant that none has can't be a middle.
+    # Of two halves that differ in one bit the one that has it set meets the other where it is cleared, so flips only clear.
+    flipped = split.select("fp", "h", "own", "other", F.explode(literal(flips(32, 1))).alias("m")).filter(F.col("own").bitwiseAND(F.col("m")) == F.col("m"))
+    variants = flipped.select("fp", "h", F.col("own").bitwiseXOR(F.col("m")).alias("key"), "other", (F.col("m") == 0).alias("at"))
+    # One row for each half that some fingerprint has; a variant that none has can't be a middle. Explodes are larger
+    # than Spark estimates, so these joins are told not to broadcast.
     owners = split.groupBy("h", F.col("own").alias("key")).agg(F.count("*").alias("own_n"))
-    met = variants.join(owners, ["h", "key"])
+    met = variants.join(owners.hint("merge"), ["h", "key"])
     sizes = met.groupBy("h", "key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = materialize(met.join(sizes, ["h", "key"]).select("h", "key", "fp", "other", "at", "own_n"), "met")
+    met = materialize(met.join(sizes.hint("merge"), ["h", "key"]).select("h", "key", "fp", "other", "at", "own_n"), "met")
+    # Members of one key with the same other half differ in at most 2 bits. One stands for them, one with the key itself
+    # if there is any: it has every link in this key that the others have.
+    ranked = F.struct(~F.col("at"), F.col("fp"))
+    same = met.groupBy("h", "key", "other").agg(F.min(ranked).alias("r"), F.max("at").alias("at"), F.first("own_n").alias("own_n"))
+    stands = materialize(same.select("h", "key", "other", "at", "own_n", F.col("r.fp").alias("fp")), "stands")
+    equal = met.join(stands.select("h", "key", "other", F.col("fp").alias("to")).hint("merge"), ["h", "key", "other"]).select("fp", "to")
     # Around a middle (key, mid): P has the key itself and at most 1 flipped bit, R one flipped bit in the key and at most 1
     # here, Q the key itself and 2 flipped bits. P-P differ in at most 2 bits, P-R and P-Q in at most 3. Q is needed for
     # 3 differing bits only: then the parities differ, so the odd one takes two flips, two of the three lie in one half.
     odd = F.col("at") & (F.col("own_n") > 1) & (F.bit_count("fp") % 2 == 1)
-    near = met.select("h", "key", "fp", "other", "at", F.explode(literal(flips(32, 1))).alias("m"))
-    far = met.filter(odd).select("h", "key", "fp", "other", F.lit(False).alias("at"), F.explode(literal(flips(32, 2))).alias("m"))
+    near = stands.select("h", "key", "fp", "other", "at", F.explode(literal(flips(32, 1))).alias("m"))
+    far = stands.filter(odd).select("h", "key", "fp", "other", F.lit(False).alias("at"), F.explode(literal(flips(32, 2))).alias("m"))
     around = near.unionByName(far).select("h", "key", "fp", "at", F.col("other").bitwiseXOR(F.col("m")).alias("mid"))
     middles = around.groupBy("h", "key", "mid").agg(F.min(F.when(F.col("at"), F.col("fp"))).alias("to"), F.count("*").alias("n")).filter("to is not null and n > 1").drop("n")
-    return around.join(middles, ["h", "key", "mid"]).filter("fp <> to").select("fp", "to").distinct()
+    close = around.join(middles.hint("merge"), ["h", "key", "mid"]).select("fp", "to")
+    return close.unionByName(equal).filter("fp <> to").distinct()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
