@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityspark.llm import exact, media, mixing, packing, simhash, suffix, toxicity, warc
+from entityspark.llm import exact, linedup, media, mixing, packing, simhash, suffix, toxicity, warc
 from entityspark.llm.common import scratch_path
 
 
@@ -73,8 +73,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that resemble an earlier one."""
+    found = linedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity)}
+    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines)}
 
 
 OP1 = """
@@ -94,6 +100,26 @@ FROM n WINDOW g AS (PARTITION BY t)
 """
 
 
+# Lines as sets of words. Sets of 4 words or more are paired by the rarest words, the others are equal or not alike.
+OP10 = r"""
+WITH l AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id) AS one, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
+s AS (SELECT doc_id, line_no, line, list_sort(list_filter(list_distinct(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+')), w -> w <> '')) AS words FROM l),
+sets AS (SELECT words, min({'d': doc_id, 'l': line_no}) AS at FROM s WHERE len(words) > 0 GROUP BY words),
+often AS (SELECT w, count(*) AS n FROM (SELECT unnest(words) AS w FROM sets) GROUP BY w),
+ranked AS (SELECT at, w, size, row_number() OVER (PARTITION BY at ORDER BY n, w) AS r FROM (SELECT at, unnest(words) AS w, len(words) AS size FROM sets) JOIN often USING (w)),
+prefix AS (SELECT * FROM ranked WHERE size >= 4 AND r <= size - ceil(0.8 * size - 1e-9) + 1),
+pairs AS (SELECT DISTINCT y.at AS y, x.at AS x FROM prefix y JOIN prefix x USING (w)
+  WHERE x.at < y.at AND least(x.size, y.size) >= 0.8 * greatest(x.size, y.size) - 1e-9),
+gone AS (SELECT DISTINCT y FROM pairs JOIN sets a ON a.at = y JOIN sets b ON b.at = x
+  WHERE len(list_intersect(a.words, b.words)) >= 0.8 * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words))) - 1e-9),
+stay AS (SELECT at.d AS doc_id, at.l AS line_no FROM sets WHERE at NOT IN (SELECT y FROM gone)),
+kept AS (SELECT doc_id, line_no, line FROM s WHERE len(words) = 0 OR (doc_id, line_no) IN (SELECT (doc_id, line_no) FROM stay))
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,
+  (coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(k.n, 0))::BIGINT AS n_removed, CASE WHEN d.text IS NOT NULL THEN coalesce(k.t, '') END AS text
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY line_no) AS t FROM kept GROUP BY doc_id) k USING (doc_id)
+"""
+
+
 def case(name: str, weights: dict[str, float]) -> str:
     return "CASE " + " ".join(f"WHEN {name} = '{k}' THEN {w!r}::DOUBLE" for k, w in weights.items()) + " ELSE 1.0::DOUBLE END"
 
@@ -131,4 +157,4 @@ SELECT doc_id, domain, lang, source, n_tokens, e::INTEGER AS epoch FROM (SELECT
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6}
+    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10}
