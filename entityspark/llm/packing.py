@@ -12,6 +12,7 @@ size, so with the default of 20,000 pieces a shard that is a small part of one p
 from __future__ import annotations
 
 import base64
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -50,15 +51,29 @@ class WordIds(dict):
     def __init__(self, ids_of):
         super().__init__()
         self.ids_of = ids_of
+        self.marks = {c: ids_of(c) for c in ".,;:?"}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.ids_of(" " + word)
+        # The pattern parts letters from the mark behind them.
+        if word[-1:] in self.marks and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.marks[word[-1]]
+        else:
+            ids = self.ids_of(" " + word)
         if len(self) < MOST_WORDS:
             self[word] = ids
         return ids
 
 
 def tokenizer(ranks_path: str, pattern: str, end_of_text: int):
+    """Text to ids as bytes; a worker process keeps it, with the words it has met, for its later tasks."""
+    kept = vars(sys).setdefault("_entityspark_tokenizers", {})
+    key = (ranks_path, pattern, end_of_text)
+    if key not in kept:
+        kept[key] = new_tokenizer(*key)
+    return kept[key]
+
+
+def new_tokenizer(ranks_path: str, pattern: str, end_of_text: int):
     """Text to ids as bytes.
 
     A byte-level BPE splits at every single space, which belongs to what follows it. So words are looked up, and only
