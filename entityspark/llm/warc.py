@@ -39,7 +39,12 @@ def trained(pages: DataFrame, payload: str, samples: int = 1000, sample_bytes: i
     """A dictionary from at most ``samples`` records of at most ``sample_bytes`` each, those with the smallest hashes; empty where they are too few."""
     import zstandard
 
-    chosen = pages.filter(F.length(payload).between(64, sample_bytes)).select(payload, F.xxhash64(payload).alias("order")).orderBy("order").limit(samples)
+    fit = pages.filter(F.length(payload).between(64, sample_bytes)).select(F.col(payload), F.xxhash64(payload).alias("order"))
+    # First the hashes alone: each task sends its smallest ones to the driver. Copies count once.
+    last = fit.select("order").distinct().orderBy("order").limit(samples).agg(F.max("order")).first()[0]
+    if last is None:
+        return b""
+    chosen = fit.filter(F.col("order") <= last).groupBy("order").agg(F.min(payload).alias(payload)).orderBy("order").limit(samples)
     records = [bytes(r[0]) for r in chosen.select(payload).collect()]
     if len(records) < 16 or sum(map(len, records)) < 16 * 1024:
         return b""
