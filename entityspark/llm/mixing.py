@@ -111,3 +111,12 @@ def mix(docs: DataFrame, domain: Column, weights: list[dict[str, float]], target
     )
     rows, levels = materialize(own, "weighed"), ["domain", "lang", "source"]
     return chosen(rows, plan(rows, levels, weights, target, epochs, seed), levels, seed)
+
+
+def mixed_rows(docs: DataFrame, domain: Column, weights: list[dict[str, float]], target: float, epochs: int = 1, seed: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows themselves, all their columns as they were, once for every time that ``mix`` takes them."""
+    levels = ["__domain", "__lang", "__source"]
+    own = docs.select("*", *[F.coalesce(c, F.lit("")).alias(n) for n, c in zip(levels, (domain, F.col("lang"), F.col("source")), strict=True)])
+    light = materialize(own.select(F.col(f"`{doc_id}`").alias("doc_id"), *levels, words(text).alias("n_tokens")), "weighed")
+    mixture = plan(light, levels, weights, target, epochs, seed)
+    return chosen(own, mixture, levels, seed, f"`{doc_id}`").select(*[F.col(f"`{n}`") for n in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityspark.llm import exact, linedup, media, mixing, packing, simhash, suffix, toxicity, warc
+from entityspark.llm import exact, linedup, media, mixing, packing, pii, simhash, suffix, toxicity, warc
 from entityspark.llm.common import scratch_path
 
 
@@ -23,15 +23,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
-#: Which domain a source belongs to, and the weights of domains, languages and sources.
-DOMAIN = F.when(F.col("source") == "src0", "web").when(F.col("source").isin([f"src{k}" for k in range(1, 8)]), "forum").otherwise("press")
+#: The weights of domains, languages and sources.
+def domain():
+    return F.when(F.col("source") == "src0", "web").when(F.col("source").isin([f"src{k}" for k in range(1, 8)]), "forum").otherwise("press")
+
+
 WEIGHTS: list[dict[str, float]] = [{"web": 3.0, "forum": 4.0, "press": 3.0}, {"en": 6.0, "de": 2.0, "fr": 2.0, "es": 1.0}, {"src3": 2.0, "src12": 2.0}]
 SHARE, EPOCHS, SEED = 0.4, 2, 17
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mixture of 40 % of the corpus's tokens, with up to two epochs of scarce leaves."""
-    return mixing.mix(table(spark, sf_dir, "documents"), DOMAIN, WEIGHTS, SHARE, EPOCHS, SEED)
+    return mixing.mix(table(spark, sf_dir, "documents"), domain(), WEIGHTS, SHARE, EPOCHS, SEED)
 
 
 def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +43,15 @@ def op3_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Draws the surrogates; a production run reads its own from a safe place.
+SECRET = "surrogates of the test tables"
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    return pii.replace(table(spark, sf_dir, "documents"), SECRET)
+
+
 def tokenizer_files() -> dict[str, str]:
     """Where the public tokenizer's ranks are, and its pattern."""
     import public_tokenizers
@@ -80,7 +92,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines)}
+    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines)}
 
 
 OP1 = """
@@ -104,15 +116,15 @@ FROM n WINDOW g AS (PARTITION BY t)
 OP10 = r"""
 WITH l AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id) AS one, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
 s AS (SELECT doc_id, line_no, line, list_sort(list_filter(list_distinct(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+')), w -> w <> '')) AS words FROM l),
-sets AS (SELECT words, min({'d': doc_id, 'l': line_no}) AS at FROM s WHERE len(words) > 0 GROUP BY words),
+sets AS (SELECT words, min({'d': doc_id, 'l': line_no}) AS spot FROM s WHERE len(words) > 0 GROUP BY words),
 often AS (SELECT w, count(*) AS n FROM (SELECT unnest(words) AS w FROM sets) GROUP BY w),
-ranked AS (SELECT at, w, size, row_number() OVER (PARTITION BY at ORDER BY n, w) AS r FROM (SELECT at, unnest(words) AS w, len(words) AS size FROM sets) JOIN often USING (w)),
+ranked AS (SELECT spot, w, size, row_number() OVER (PARTITION BY spot ORDER BY n, w) AS r FROM (SELECT spot, unnest(words) AS w, len(words) AS size FROM sets) JOIN often USING (w)),
 prefix AS (SELECT * FROM ranked WHERE size >= 4 AND r <= size - ceil(0.8 * size - 1e-9) + 1),
-pairs AS (SELECT DISTINCT y.at AS y, x.at AS x FROM prefix y JOIN prefix x USING (w)
-  WHERE x.at < y.at AND least(x.size, y.size) >= 0.8 * greatest(x.size, y.size) - 1e-9),
-gone AS (SELECT DISTINCT y FROM pairs JOIN sets a ON a.at = y JOIN sets b ON b.at = x
+pairs AS (SELECT DISTINCT y.spot AS y, x.spot AS x FROM prefix y JOIN prefix x USING (w)
+  WHERE x.spot < y.spot AND least(x.size, y.size) >= 0.8 * greatest(x.size, y.size) - 1e-9),
+gone AS (SELECT DISTINCT y FROM pairs JOIN sets a ON a.spot = y JOIN sets b ON b.spot = x
   WHERE len(list_intersect(a.words, b.words)) >= 0.8 * (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words))) - 1e-9),
-stay AS (SELECT at.d AS doc_id, at.l AS line_no FROM sets WHERE at NOT IN (SELECT y FROM gone)),
+stay AS (SELECT spot.d AS doc_id, spot.l AS line_no FROM sets WHERE spot NOT IN (SELECT y FROM gone)),
 kept AS (SELECT doc_id, line_no, line FROM s WHERE len(words) = 0 OR (doc_id, line_no) IN (SELECT (doc_id, line_no) FROM stay))
 SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,
   (coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(k.n, 0))::BIGINT AS n_removed, CASE WHEN d.text IS NOT NULL THEN coalesce(k.t, '') END AS text

@@ -137,3 +137,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     names = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     table = materialize(placed.join(names, "root").select("fp", "component_id"), "components")
     return rows.join(table, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3) -> DataFrame:
+    """The rows, all their columns as they were, that stand for a component: of each the one with the smallest doc_id.
+
+    Null doc_ids come last; of rows with one doc_id the first read stays.
+    """
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("__row"), *[F.col(f"`{n}`") for n in docs.columns]), "rows")
+    found = near_duplicates(rows, text, "__row", shingle).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    order = F.struct(F.col(f"`{doc_id}`").isNull(), F.col(f"`{doc_id}`"), F.col("__row").alias("row"))
+    stay = rows.select("__row", F.col(f"`{doc_id}`")).join(found, "__row").groupBy("__group").agg(F.min(order).alias("first")).select(F.col("first.row").alias("__row"))
+    return rows.join(stay, "__row", "left_semi").drop("__row")
