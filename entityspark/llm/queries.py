@@ -115,7 +115,7 @@ FROM n WINDOW g AS (PARTITION BY t)
 # Lines as sets of words. Sets of 4 words or more are paired by the rarest words, the others are equal or not alike.
 OP10 = r"""
 WITH l AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id) AS one, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
-s AS (SELECT doc_id, line_no, line, list_sort(list_filter(list_distinct(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+')), w -> w <> '')) AS words FROM l),
+s AS (SELECT doc_id, line_no, line, list_sort(list_filter(list_distinct(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+')), lambda w: w <> '')) AS words FROM l),
 sets AS (SELECT words, min({'d': doc_id, 'l': line_no}) AS spot FROM s WHERE len(words) > 0 GROUP BY words),
 often AS (SELECT w, count(*) AS n FROM (SELECT unnest(words) AS w FROM sets) GROUP BY w),
 ranked AS (SELECT spot, w, size, row_number() OVER (PARTITION BY spot ORDER BY n, w) AS r FROM (SELECT spot, unnest(words) AS w, len(words) AS size FROM sets) JOIN often USING (w)),
