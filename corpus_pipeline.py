@@ -29,7 +29,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that resemble an earlier one go; n_chars follows."""
-    found = linedup.dedup_lines(docs, SIMILAR).withColumn("n_chars", F.length("text").cast("long"))
+    found = linedup.dedup_lines(docs, SIMILAR, stable=True).withColumn("n_chars", F.length("text").cast("long"))
     return found.select(*docs.columns)
 
 

@@ -4,7 +4,7 @@ A line is the set of its lower-cased words. It goes if an earlier line, in the o
 the same set, or one whose Jaccard similarity reaches the threshold. Whether that line goes too doesn't matter: lines
 are judged on the input.
 
-Equal sets are found by hash. For the others, each distinct set's words are ordered by rarity, and only sets that share
+Equal lines are found by hash. For the others, each distinct set's words are ordered by rarity, and only sets that share
 one of their first words (the prefix) can be similar. Sizes, the places of the shared word and a 64-bit parity sketch of
 the sets rule out almost all other pairs before Jaccard is verified on the words themselves.
 
@@ -19,26 +19,26 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entityspark.llm.common import SPACE, columns, discard, materialize
 
 #: Words are counted by hash in so many classes. Any order makes the join exact; rarity makes it fast.
 CLASSES = 1 << 14
+#: Bits of a word's hash below its class's rarity. Where hashes collide, sets look more alike than they are, never less.
+BITS = 50
+#: Sets up to this size are keyed as sets. Larger ones are keyed by their spelling: the join finds equal sets as well.
+KEYED = 8
 ORDER = ("last", "doc_id", "row_id", "line_no")
 
 
-def words(line: Column) -> Column:
-    """The distinct lower-cased words of a line."""
-    return F.array_distinct(F.filter(F.split(F.lower(line), f"{SPACE}+"), lambda w: w != ""))
-
+def cleaned(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), f"{SPACE}+", " "))
 
-def hashes(line: Column) -> Column:
-    return F.transform(words(line), lambda w: F.xxhash64(w))
 
-
-def folded(values: Column, of) -> Column:
-    """Exclusive or over an array of longs: the same for any order."""
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(of(x)))
+def words(line: Column) -> Column:
+    """The distinct lower-cased words of a line."""
+    return F.array_distinct(F.split(cleaned(line), " "))
 
 
 def lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -49,92 +49,94 @@ def lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def rarity(all_lines: DataFrame) -> Column:
     """An array: how often words of each class occur, in quarter powers of two."""
-    counts = all_lines.select(F.explode(F.split(F.lower("line"), f"{SPACE}+")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(CLASSES)).alias("c")).count()
+    counts = all_lines.select(F.explode(F.split(cleaned(F.col("line")), " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(CLASSES)).alias("c")).count()
     often = {r["c"]: int(4 * math.log2(r["count"])) for r in counts.collect()}  # CLASSES rows at most
     return F.split(F.lit(",".join(str(often.get(k, 0)) for k in range(CLASSES))), ",").cast("array<int>")
 
 
+def distinct_sets(all_lines: DataFrame) -> DataFrame:
+    """(set_no, ORDER, line): the earliest line of each distinct set, or spelling of a large set."""
+    own = words(F.col("line"))
+    key = F.when(F.size(own) <= KEYED, F.array_join(F.sort_array(own), " ")).otherwise(cleaned(F.col("line")))
+    keyed = all_lines.filter(cleaned(F.col("line")) != "").select(F.struct(*ORDER, "line").alias("x"), F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(1), key).alias("k2"))
+    return keyed.groupBy("k1", "k2").agg(F.min("x").alias("x")).select(F.monotonically_increasing_id().alias("set_no"), "x.*")
+
+
 def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
-    """A row for each word of a set's prefix: the set's place, its size, its sketch, the word's hash and position."""
-    by_rarity = F.array_sort(F.transform(hashes(F.col("line")), lambda h: F.struct(F.get(often, F.pmod(h, F.lit(CLASSES)).cast("int")).alias("n"), h.alias("h"))))
-    known = sets.select(*ORDER, by_rarity.alias("words")).withColumn("size", F.size("words"))
-    # Below this size only equal sets are similar.
-    least = math.ceil(threshold / (1 - threshold) - 1e-9) if threshold < 1 else 2**31 - 1
-    sketch = folded(F.col("words.h"), lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int")))
-    length = (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")
-    cut = known.filter(F.col("size") >= least).select(*ORDER, "size", sketch.alias("sketch"), F.posexplode(F.slice("words.h", F.lit(1), length)).alias("at", "token"))
-    return cut
+    """(token, set_no, order, size, at, sketch) for each word of a set's prefix, the rarest words of a set coming first."""
 
+    def coded(w: Column) -> Column:
+        return F.xxhash64(w).bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.shiftleft(F.get(often, F.pmod(F.xxhash64(w), F.lit(CLASSES)).cast("int")).cast("long"), BITS))
 
-def place(side: str = "") -> list[Column]:
-    return [F.col(f"{side}{n}") for n in ORDER]
+    order = F.coalesce("doc_id", F.lit(2**63 - 1)) if isinstance(sets.schema["doc_id"].dataType, T.IntegralType) else F.lit(0)
+    known = sets.select("set_no", order.cast("long").alias("order"), F.sort_array(F.transform(words(F.col("line")), coded)).alias("tokens")).withColumn("size", F.size("tokens"))
+    # Below this size only equal sets are similar.
+    least = math.ceil(threshold / (1 - threshold) - 1e-9) if threshold < 1 else 1
+    sketch = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
+    length = (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")
+    return known.filter(F.col("size") >= least).select("set_no", "order", "size", sketch.alias("sketch"), F.posexplode(F.slice("tokens", F.lit(1), length)).alias("at", "token"))
 
 
-def pairs(later: DataFrame, earlier: DataFrame, threshold: float) -> DataFrame:
-    """Candidates that share a prefix word: (y place, x place), x the earlier."""
-    x = earlier.select(*[F.col(c).alias(f"x_{c}") for c in (*ORDER, "size", "sketch", "at")], "token")
-    y = later.select(*[F.col(c).alias(f"y_{c}") for c in (*ORDER, "size", "sketch", "at")], "token")
-    share = threshold / (1 + threshold)
+def pairs(some: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (a, b) that share a prefix word: a of ``some``, b of ``others`` and not behind it."""
+    cells = ("set_no", "order", "size", "sketch", "at")
+    x = others.select(*[F.col(c).alias(f"x_{c}") for c in cells], "token")
+    y = some.select(*[F.col(c).alias(f"y_{c}") for c in cells], "token")
     both = F.col("x_size") + F.col("y_size")
-    overlap = F.ceil(both * share - 1e-9)
+    overlap = F.ceil(both * (threshold / (1 + threshold)) - 1e-9)
     # The first shared word bounds the overlap by what follows it; of a similar pair that word always passes.
     reach = F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at"))
     fits = (
-        (F.struct(*place("x_")) < F.struct(*place("y_")))
+        (F.col("x_set_no") != F.col("y_set_no"))
+        & (F.col("x_order") <= F.col("y_order"))
         & (F.least("x_size", "y_size") >= F.greatest("x_size", "y_size") * threshold - 1e-9)
         & (reach >= overlap)
         & (F.bit_count(F.col("x_sketch").bitwiseXOR(F.col("y_sketch"))) <= both - 2 * overlap)
     )
-    found = y.join(x.hint("merge"), "token").filter(fits)
-    return found.select(*place("y_"), *place("x_")).distinct()
+    return y.join(x.hint("merge"), "token").filter(fits).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
 
 
 def verified(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The places of the later lines among pairs whose Jaccard similarity reaches the threshold."""
-    y = sets.select(*[F.col(c).alias(f"y_{c}") for c in ORDER], F.col("line").alias("y_line"))
-    x = sets.select(*[F.col(c).alias(f"x_{c}") for c in ORDER], F.col("line").alias("x_line"))
-    same = lambda s: [F.col(f"c.{s}{n}").eqNullSafe(F.col(f"t.{s}{n}")) for n in ORDER]
-    with_x = candidates.alias("c").join(x.alias("t"), same("x_")).select("c.*", "x_line")
-    whole = with_x.alias("c").join(y.alias("t"), same("y_")).select(*[f"c.y_{n}" for n in ORDER], words(F.col("x_line")).alias("a"), words(F.col("y_line")).alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    return whole.filter(common >= threshold * (F.size("a") + F.size("b") - common) - 1e-9).select(*[F.col(f"y_{n}").alias(n) for n in ORDER]).distinct()
+    """(set_no): the later one of each pair whose Jaccard similarity reaches the threshold."""
+    one = sets.select("set_no", F.struct(*ORDER).alias("place"), "line")
+    with_b = candidates.join(one, F.col("b") == F.col("set_no")).select("a", "b", F.col("place").alias("b_place"), F.col("line").alias("b_line"))
+    whole = with_b.join(one, F.col("a") == F.col("set_no")).select("a", "b", (F.col("place") > F.col("b_place")).alias("a_later"), words(F.col("line")).alias("x"), words(F.col("b_line")).alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    return whole.filter(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).select(F.when(F.col("a_later"), F.col("a")).otherwise(F.col("b")).alias("set_no")).distinct()
 
 
 def kept_lines(docs: DataFrame, text: str, doc_id: str, threshold: float) -> DataFrame:
     """(row_id, line_no, line) of the lines that stay. ``docs`` has the column row_id."""
     every = lines(docs, text, doc_id)
-    own = every.withColumn("h", hashes(F.col("line")))
-    keyed = own.filter(F.size("h") > 0).select(F.struct(*ORDER, "line").alias("x"), folded(F.col("h"), lambda h: h).alias("k1"), folded(F.col("h"), lambda h: F.xxhash64(h)).alias("k2"))
-    sets = materialize(keyed.groupBy("k1", "k2").agg(F.min("x").alias("x")).select("x.*"), "sets")
-    blank = every.filter(~F.col("line").rlike("[^\\x20\\x09-\\x0D]")).select("row_id", "line_no", "line")
-    rows = prefixes(sets, rarity(every), threshold)
+    sets = materialize(distinct_sets(every), "sets")
+    blank = every.filter(cleaned(F.col("line")) == "").select("row_id", "line_no", "line")
+    rows = materialize(prefixes(sets, rarity(every), threshold), "words")
     # Words that one set's prefix alone has lead nowhere.
-    shared = rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
-    met = materialize(rows.join(shared.select("token").hint("merge"), "token"), "prefixes")
-    leaders = met.groupBy("token").agg(F.min(F.struct(*ORDER, "size", "sketch", "at")).alias("x")).select("token", "x.*")
+    shared = rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
+    met = materialize(rows.join(shared.hint("merge"), "token"), "prefixes")
+    discard(rows)
+    leaders = met.groupBy("token").agg(F.min(F.struct("order", "set_no", "size", "sketch", "at")).alias("x")).select("token", "x.*")
     settled = materialize(verified(materialize(pairs(met, leaders, threshold), "led"), sets, threshold), "settled")
-    match = [F.col(f"m.{n}").eqNullSafe(F.col(f"s.{n}")) for n in ORDER]
-    open_ = met.alias("m").join(settled.alias("s"), match, "left_anti")
-    rest = materialize(pairs(open_, met, threshold), "pairs")
+    rest = materialize(pairs(met.join(settled, "set_no", "left_anti"), met, threshold), "pairs")
     discard(met)
     gone = settled.unionByName(verified(rest, sets, threshold))
-    stay = sets.alias("m").join(gone.alias("s"), match, "left_anti").select("row_id", "line_no", "line")
-    return stay.unionByName(blank)
+    return sets.join(gone, "set_no", "left_anti").select("row_id", "line_no", "line").unionByName(blank)
 
 
-def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id", stable: bool = False) -> DataFrame:
     """The rows with all columns, text without the lines that go, and the columns n_lines and n_removed.
 
     Lines without words stay. A null text stays null and has no lines; a text may become empty. Null doc_ids come last;
     rows with one doc_id, or none, are ordered as they are read. An empty table gives an empty result. Columns named
-    n_lines or n_removed are replaced.
+    n_lines or n_removed are replaced. ``stable`` says that ``docs`` reads its rows in one order each time, as files and
+    tables do; otherwise they are written first.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies between 0 and 1")
     names = [n for n in docs.columns if n not in ("n_lines", "n_removed")]
-    source = columns(docs, *names).select(F.monotonically_increasing_id().alias("__row"), "*")
-    # Texts leave the table by row and line; the other columns wait for them here.
-    rows = materialize(source, "rows")
+    rows = columns(docs, *names).select(F.monotonically_increasing_id().alias("__row"), "*")
+    if not stable:
+        rows = materialize(rows, "rows")
     kept = kept_lines(rows.select(F.col("__row").alias("row_id"), F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text)), text, doc_id, threshold)
     texts = kept.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts")).select(F.col("row_id").alias("__id"), F.array_join("parts.line", "\n").alias("__text"), F.size("parts").alias("__kept"))
     n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.length(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), "[^\n]", "")) + 1)

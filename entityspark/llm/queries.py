@@ -87,7 +87,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines that resemble an earlier one."""
-    found = linedup.dedup_lines(table(spark, sf_dir, "documents"))
+    found = linedup.dedup_lines(table(spark, sf_dir, "documents"), stable=True)
     return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "text")
 
 
