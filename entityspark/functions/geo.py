@@ -16,7 +16,7 @@ def coordinate(c: Column, most: float) -> Column:
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     h = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return EARTH_KM * 2 * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    return F.when(h.isNotNull(), EARTH_KM * 2 * F.asin(F.least(F.lit(1.0), F.sqrt(h))))  # least() passes over nulls
 
 
 def city_of(lat: Column, lon: Column, boxes: list[tuple] = CITY_BOXES) -> Column:
