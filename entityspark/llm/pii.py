@@ -39,9 +39,9 @@ _all = [n for names in GIVEN.values() for n in names]
 _titles = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
 #: Type and pattern, the first that matches a text's place wins.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"(?<=[=\"' ])[0-9a-f]{16,128}(?=[\"' \n,.;]|$)(?<=[0-9a-f]{0,120}[a-f][0-9a-f]{0,120})",
+    "secret": r"(?<=[=\"' ])(?=[0-9]{0,127}[a-f])[0-9a-f]{16,128}(?=[\"' \n,.;]|$)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -51,7 +51,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these hold no entity.
-HINT = rf"[0-9@]|(?:{_titles})\b|(?:{'|'.join(_all)}) "
+HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_titles}|{'|'.join(_all)})\.? \p{{Lu}}"
 
 
 def either(choices: list[tuple[Column, Column]], otherwise: Column) -> Column:
@@ -64,8 +64,8 @@ def let(value: Column, of) -> Column:
 
 
 def kind_of(e: Column) -> Column:
-    return either([(e.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items() if k not in ("secret", "ip", "ssn", "card", "phone")] + [
-        (e.rlike(r"^[0-9a-f]{16,128}$") & e.rlike("[a-f]"), F.lit("secret")), (e.rlike(r"^\d+(\.\d+){3}$"), F.lit("ip")), (e.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.lit("ssn")), (e.rlike(r"^[+(]"), F.lit("phone"))], F.lit("card"))
+    return either([(e.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items() if k not in ("secret", "ip", "ssn", "card", "phone", "email")] + [
+        (e.contains("@"), F.lit("email")), (e.rlike(r"^[0-9a-f]{16,128}$") & e.rlike("[a-f]"), F.lit("secret")), (e.rlike(r"^\d+(\.\d+){3}$"), F.lit("ip")), (e.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.lit("ssn")), (e.rlike(r"^[+(]"), F.lit("phone"))], F.lit("card"))
 
 
 def bare_name(e: Column) -> Column:

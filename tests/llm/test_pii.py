@@ -47,11 +47,11 @@ def test_nothing_personal_is_left_and_the_rest_stays(found):
 
 
 def test_clashes_are_drawn_again(spark):
-    # one digit and one letter before a fixed domain: 250 addresses must get as many of the 260 surrogates
+    # one letter and one digit before one domain: of 260 surrogates some are drawn twice
     texts = [f"{c}{d}@mail.example.com" for c in "abcdefghijklmnopqrstuvwxy" for d in range(10)]
-    rows = pii.replace(documents(spark, texts[:120]), "k").collect()
+    rows = pii.replace(documents(spark, texts[:30]), "k").collect()
     out = {r["text"] for r in rows}
-    assert len(out) == 120 and not out & set(texts)
+    assert len(out) == 30 and not out & set(texts)
 
 
 def test_same_secret_same_surrogates(spark, found):
