@@ -91,10 +91,10 @@ def plan(rows: DataFrame, levels: list[str], weights: list[dict[str, float]], ta
     return materialize(table.join(ends.select(*levels, cut.alias("cut")), levels, "left").drop("rest"), "mixture")
 
 
-def chosen(rows: DataFrame, mixture: DataFrame, levels: list[str], seed: int = 0, doc_id: str = "doc_id") -> DataFrame:
-    """The rows that are taken, each once for every epoch that takes it, with the column ``epoch``."""
+def chosen(rows: DataFrame, mixture: DataFrame, levels: list[str], full: Column, seed: int = 0, doc_id: str = "doc_id") -> DataFrame:
+    """The rows that are taken, each once for every epoch that takes it, with the column ``epoch``. ``full``: has tokens."""
     joined = rows.join(mixture.select(*levels, "full", "cut"), levels)
-    times = F.col("full") + F.when(order(seed, F.col("full"), doc_id) <= F.col("cut"), 1).otherwise(0)
+    times = F.col("full") + F.when(full & (order(seed, F.col("full"), doc_id) <= F.col("cut")), 1).otherwise(0)
     return joined.withColumn("times", times).filter("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("times") - 1).cast("int")))).drop("full", "cut", "times")
 
 
@@ -110,7 +110,7 @@ def mix(docs: DataFrame, domain: Column, weights: list[dict[str, float]], target
         F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(domain, F.lit("")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), words(text).alias("n_tokens")
     )
     rows, levels = materialize(own, "weighed"), ["domain", "lang", "source"]
-    return chosen(rows, plan(rows, levels, weights, target, epochs, seed), levels, seed)
+    return chosen(rows, plan(rows, levels, weights, target, epochs, seed), levels, F.col("n_tokens") > 0, seed)
 
 
 def mixed_rows(docs: DataFrame, domain: Column, weights: list[dict[str, float]], target: float, epochs: int = 1, seed: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -119,4 +119,5 @@ def mixed_rows(docs: DataFrame, domain: Column, weights: list[dict[str, float]],
     own = docs.select("*", *[F.coalesce(c, F.lit("")).alias(n) for n, c in zip(levels, (domain, F.col("lang"), F.col("source")), strict=True)])
     light = materialize(own.select(F.col(f"`{doc_id}`").alias("doc_id"), *levels, words(text).alias("n_tokens")), "weighed")
     mixture = plan(light, levels, weights, target, epochs, seed)
-    return chosen(own, mixture, levels, seed, f"`{doc_id}`").select(*[F.col(f"`{n}`") for n in docs.columns])
+    some = F.coalesce(F.col(f"`{text}`").rlike(NOT_SPACE), F.lit(False))
+    return chosen(own, mixture, levels, some, seed, f"`{doc_id}`").select(*[F.col(f"`{n}`") for n in docs.columns])
