@@ -100,9 +100,15 @@ def verified(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     """(set_no): the later one of each pair whose Jaccard similarity reaches the threshold."""
     one = sets.select("set_no", F.struct(*ORDER).alias("place"), "line")
     with_b = candidates.join(one, F.col("b") == F.col("set_no")).select("a", "b", F.col("place").alias("b_place"), F.col("line").alias("b_line"))
-    whole = with_b.join(one, F.col("a") == F.col("set_no")).select("a", "b", (F.col("place") > F.col("b_place")).alias("a_later"), words(F.col("line")).alias("x"), words(F.col("b_line")).alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return whole.filter(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).select(F.when(F.col("a_later"), F.col("a")).otherwise(F.col("b")).alias("set_no")).distinct()
+    whole = with_b.join(one, F.col("a") == F.col("set_no")).select("a", "b", (F.col("place") > F.col("b_place")).alias("a_later"), "line", "b_line")
+
+    def alike(sets_: Column) -> Column:
+        common = F.size(F.array_intersect(sets_["x"], sets_["y"]))
+        return common >= threshold * (F.size(sets_["x"]) + F.size(sets_["y"]) - common) - 1e-9
+
+    # Bound by a lambda, the words of a pair are taken apart once, not at each mention in the condition.
+    both = F.array(F.struct(words(F.col("line")).alias("x"), words(F.col("b_line")).alias("y")))
+    return whole.filter(F.exists(both, alike)).select(F.when(F.col("a_later"), F.col("a")).otherwise(F.col("b")).alias("set_no")).distinct()
 
 
 def kept_lines(docs: DataFrame, text: str, doc_id: str, threshold: float) -> DataFrame:
