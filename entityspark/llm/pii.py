@@ -105,7 +105,7 @@ def same_format(e: Column, hexes: Column, keep: int = 0, hexadecimal: bool = Fal
 
 def spread(e: Column, of) -> Column:
     """Apply ``of`` to each letter or digit and its rank among these; other characters stay."""
-    chars = F.split(e, "(?!^)")
+    chars = F.split(e, "(?<=.)(?=.)")
     start = F.struct(F.lit("").alias("s"), F.lit(0).alias("k"))
 
     def step(a: Column, c: Column) -> Column:
@@ -118,7 +118,7 @@ def spread(e: Column, of) -> Column:
 def luhn(digits: Column) -> Column:
     """The check sum of a string of digits; 0 where its last digit is right."""
     value = lambda d: F.coalesce(d.try_cast("int"), F.lit(0))
-    each = F.transform(F.reverse(F.split(digits, "(?!^)")), lambda d, k: F.when(k % 2 == 0, value(d)).otherwise(value(d) * 2 - F.when(value(d) > 4, 9).otherwise(0)))
+    each = F.transform(F.reverse(F.split(digits, "(?<=.)(?=.)")), lambda d, k: F.when(k % 2 == 0, value(d)).otherwise(value(d) * 2 - F.when(value(d) > 4, 9).otherwise(0)))
     return F.pmod(F.aggregate(each, F.lit(0), lambda a, x: a + x), F.lit(10))
 
 
