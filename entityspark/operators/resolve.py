@@ -18,11 +18,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not
 
 
 def prepared(rows: DataFrame) -> DataFrame:
-    """Normal forms, computed once a row before any pair is made. Columns: row_idx, source, source_id, name, city, address, phone, website, latitude, longitude."""
+    """Normal forms, computed once a row before any pair is made. Columns: row_idx, source, source_id, name, city, address, phone, website, latitude, longitude; entity_id and source_url where there are any."""
+    known = lambda n: F.trim(text.blank(F.col(n))) if n in rows.columns else F.lit("")
     return rows.select(
         "row_idx", F.lower(text.one_space(F.col("source"))).alias("source"), text.blank(F.col("source_id")).alias("source_id"), text.normal_text(F.col("name")).alias("name"), text.normal_city(F.col("city")).alias("city"),
         text.normal_address(F.col("address")).alias("address"), contact.phone_digits(F.col("phone")).alias("phone"), web.host_of(F.col("website")).alias("domain"),
-        geo.coordinate(F.col("latitude"), 90).alias("lat"), geo.coordinate(F.col("longitude"), 180).alias("lon"),
+        geo.coordinate(F.col("latitude"), 90).alias("lat"), geo.coordinate(F.col("longitude"), 180).alias("lon"), known("entity_id").alias("entity_id"), F.lower(known("source_url")).alias("source_url"),
     ).withColumn("house", text.house_number(F.col("address")))
 
 
@@ -30,6 +31,7 @@ def blocking_keys(geo_cells: bool = True) -> Column:
     """Every key under which a prepared row can meet another."""
     some = lambda test, *parts: F.when(test, F.array(F.concat_ws(":", *parts))).otherwise(F.array().cast("array<string>"))
     keys = [
+        some(F.col("entity_id") != "", F.lit("entity"), "entity_id"), some((F.col("source") != "") & (F.col("source_url") != ""), F.lit("source-url"), "source", "source_url"),
         some((F.col("source") != "") & (F.col("source_id") != ""), F.lit("source-id"), "source", "source_id"), some(F.col("phone") != "", F.lit("phone"), "phone"), some(F.col("domain") != "", F.lit("domain"), "domain"),
         some((F.col("name") != "") & (F.col("city") != ""), F.lit("name-city"), "name", "city"), some(F.col("address") != "", F.lit("address"), "address"),
     ]
@@ -63,7 +65,8 @@ def matches(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that are one entity. Similarities are computed only where the ids leave it open and lengths allow it."""
     side = lambda s: rows.select(*[F.col(c).alias(f"{s}_{c}") for c in rows.columns]).withColumnRenamed(f"{s}_row_idx", s)
     both = pairs.join(side("l"), "l").join(side("r"), "r")
-    same_id = (F.col("l_source") == F.col("r_source")) & (F.col("l_source_id") != "") & (F.col("l_source_id") == F.col("r_source_id"))
+    same = lambda n: (F.col(f"l_{n}") != "") & (F.col(f"l_{n}") == F.col(f"r_{n}"))
+    same_id = same("entity_id") | ((F.col("l_source") == F.col("r_source")) & (same("source_id") | same("source_url")))
     sure = both.filter(same_id).select("l", "r")
     n, m = F.length("l_name"), F.length("r_name")
     open_ = both.filter(~same_id & (2 * F.least(n, m) >= 0.62 * (n + m)) & (n > 0))

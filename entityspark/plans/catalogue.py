@@ -247,7 +247,7 @@ def q_blocking_pairs(spark, d):
 def q_match_pairs(spark, d):
     """Pairs that are one entity; similarities of names have no SQL twin."""
     rows = resolve.prepared(obs(spark, d))
-    return resolve.matches(rows, resolve.candidate_pairs(rows, geo_cells=False))
+    return resolve.matches(rows, resolve.candidate_pairs(rows))
 
 
 @query(WITH_OBS + f""" SELECT a.row_idx AS l, b.row_idx AS r FROM obs a JOIN obs b ON a.cluster = b.cluster AND a.row_idx < b.row_idx
@@ -274,7 +274,7 @@ def q_components(spark, d):
 def q_clusters(spark, d):
     """Clusters with the branch veto."""
     rows = resolve.prepared(obs(spark, d))
-    return resolve.clusters(rows, resolve.matches(rows, resolve.candidate_pairs(rows, geo_cells=False)))
+    return resolve.clusters(rows, resolve.matches(rows, resolve.candidate_pairs(rows)))
 
 
 ANCHOR_SQL = "NOT (source = 'VK' AND contains(quality_flags, 'vk_noise_primary'))"

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from entityspark.functions import contact, geo, text, web
 from entityspark.operators import golden, resolve
+from entityspark.plans import catalogue
 from entityspark.sources import readers
 from entityspark.streaming import state
 
@@ -89,6 +90,18 @@ def test_name_and_city_are_not_enough(spark):
     assert resolve.matches(rows, resolve.candidate_pairs(rows)).isEmpty()
 
 
+def test_rows_at_one_point_meet(spark, tmp_path):
+    rows = resolve.prepared(spark.createDataFrame([
+        (0, "OSM", "1", "Салон Лотос", "Ялта", "ул Ленина 1", "", "", "44.5", "34.1", None, None), (1, "VK", "2", "Салон Лотос плюс", "Форос", "пр Мира 7", "", "", "44.501", "34.1", None, None),
+        (2, "OSM", "3", "Один", "", "", "", "", None, None, "e1", None), (3, "VK", "4", "Два", "", "", "", "", None, None, "e1", None), (4, "VK", "5", "Три", "", "", "", "", None, None, None, "https://VK.com/a"), (5, "VK", "6", "Четыре", "", "", "", "", None, None, None, "https://vk.com/A"),
+    ], OBS + ", entity_id string, source_url string"))
+    assert {(r["l"], r["r"]) for r in resolve.matches(rows, resolve.candidate_pairs(rows)).collect()} == {(0, 1), (2, 3), (4, 5)}
+    # customers 1 and 1171 stand at one point and share no identifier, phone, domain, address or city
+    customers = [(1, 0), (1171, 1)]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    assert [(r["l"], r["r"]) for r in catalogue.q_match_pairs(spark, str(tmp_path)).collect()] == [(1, 1171)]
+
+
 GOLDEN = "cluster int, row_idx long, observation_id string, source string, name string, city string, phone string, email string, website string, address string, quality_flags string, confidence string, first_seen string, last_seen string"
 
 
