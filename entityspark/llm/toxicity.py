@@ -36,10 +36,9 @@ SEPARATORS = ".-_*~,'`^:/\\"
 VOWELS = "aeiou"
 #: Costs in nats: a look-alike, a dropped separator, a hidden vowel, a dropped symbol, a repeated letter taken once.
 LOOKALIKE, SEPARATOR, HIDDEN, SYMBOL, SQUEEZED = 0.3, 0.1, 1.0, 4.0, 0.5
-#: Longer tokens are no disguised words, but keys and links: they stay as they are.
-LONGEST = 48
 BUCKETS = 1 << 20
-MOST_CACHED = 400_000
+#: So many tokens are cached, up to this length; others are decoded each time.
+MOST_CACHED, CACHED_LENGTH = 400_000, 64
 #: Evidence counts from this weight on.
 LEAST_WEIGHT = 2.0
 #: How many least hashes tell whether labelled documents share passages.
@@ -107,11 +106,13 @@ TRIPLE = re.compile(r"(.)\1\1")
 EDGES = re.compile(r"^[^\w@$|+(€£¢]+|[^\w@$|+(€£¢]+$|^([@$|+(#*&%!])\1{2,}|([@$|+(#*&%!])\2{2,}\W*$")
 #: At least three single characters with separators between them.
 SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,3}(?:[^\W_]|[@$!])){2,}(?!\S)")
-MAYBE_SPACED = re.compile(r"(?:^|\s)\S\s\S\s\S(?:\s|$)").search
+MAYBE_SPACED = re.compile(r"(?:^|\s)\S\s{1,3}\S\s{1,3}\S(?:\s|$)").search
+#: Between letters or words of one token; the asterisk may be a letter.
+GAP = re.compile(r"[\s.\-_~,'`^:/\\]+")
 
 
-def arcs(token: str) -> list[tuple[list[tuple[str, float]], ...]]:
-    """The lattice: for each position what may be written, as (letters, cost)."""
+def arcs(token: str, edges: bool = False) -> list[tuple[list[tuple[str, float]], ...]]:
+    """The lattice: for each position what may be written, as (letters, cost). With ``edges`` words may end at separators."""
     found, k, low = [], 0, token.lower()
     while k < len(low):
         c, end = low[k], k + 1
@@ -126,44 +127,77 @@ def arcs(token: str) -> list[tuple[list[tuple[str, float]], ...]]:
             n = min(end - k, 2)
             found.append([(x * m, LOOKALIKE * m + (SQUEEZED if m < end - k else 0)) for x in LOOKALIKES[c] for m in range(1, n + 1)] + ([("", SYMBOL)] if not c.isdigit() else []))
         elif c in SEPARATORS or c.isspace():
-            found.append([("", SEPARATOR)] + ([(v, HIDDEN) for v in VOWELS] if c == "*" else []))
+            found.append([("", SEPARATOR)] + ([(" ", SEPARATOR)] if edges else []) + ([(v, HIDDEN) for v in VOWELS] if c == "*" else []))
         else:
             found.append([("", SYMBOL)])
         k = end
     return found
 
 
-def decode(token: str, costs: np.ndarray) -> str:
-    """The most likely letters behind a token: Viterbi over states of the last two letters."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in arcs(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, word) in best.items():
+def decode(token: str, costs: np.ndarray, edges: bool = False) -> str:
+    """The most likely letters behind a token: Viterbi over states of the last two letters; blanks are the edges of words."""
+    # A path is (path before, letters), so that long tokens take time by their length.
+    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    for options in arcs(token, edges):
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (cost, path) in best.items():
             for letters, extra in options:
                 total, x, y = cost + extra, a, b
                 for letter in letters:
-                    z = ord(letter) - 96
+                    z = ord(letter) - 96 if letter != " " else 0
                     total += costs[x, y, z]
-                    x, y = y, z
+                    x, y = (y, z) if z else (0, 0)  # behind an edge nothing of the word before is remembered
                 if (x, y) not in after or total < after[x, y][0]:
-                    after[x, y] = (total, word + letters)
+                    after[x, y] = (total, (path, letters) if letters else path)
         best = after
-    return min((cost + costs[a, b, 0], word) for (a, b), (cost, word) in best.items())[1]
+    _, path = min(((cost + costs[a, b, 0], path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])
+    parts = []
+    while path:
+        path, letters = path
+        parts.append(letters)
+    return "".join(reversed(parts))
 
 
-def restored(token: str, costs: np.ndarray) -> str:
-    """A token's letters a-z: plain ones folded, disguised ones decoded, '' where there is no word."""
-    plain = PLAIN.match(token)
-    if plain and not TRIPLE.search(plain[1]):
-        return "".join(map(base_letter, plain[1].lower()))
+def bare(token: str) -> str:
     core, before = token, None
     while core != before:
         before, core = core, EDGES.sub("", core)
-    if not 2 <= len(core) <= LONGEST or sum(c.isalpha() for c in core) < 2:
-        return "".join(base_letter(c) for c in core.lower())
+    return core
+
+
+def folded(token: str) -> str:
+    return "".join(map(base_letter, token.lower()))
+
+
+def restored(token: str, costs: np.ndarray) -> str:
+    """A token's letters a-z: plain ones folded, disguised ones decoded, '' where there is no word."""
+    plain = PLAIN.match(token)
+    if plain and not TRIPLE.search(folded(plain[1])):
+        return folded(plain[1])
+    core = bare(token)
+    if len(core) < 2 or sum(c.isalpha() for c in core) < 2:
+        return folded(core)
     return decode(core, costs)
 
 
+def parted(token: str, costs: np.ndarray) -> list[str]:
+    """The words of a token that separators run through: apart at gaps wider than the least, else where it is most likely."""
+    core = bare(token)
+    gaps = {len(g) for g in GAP.findall(core)}
+    parts = re.split(rf"{GAP.pattern[:-1]}{{{min(gaps) + 1},}}", core) if len(gaps) > 1 else [core]
+    return [w for p in parts for w in decode(p, costs, edges=True).split()]
+
+
+def readings(token: str, costs: np.ndarray) -> set[str]:
+    """The words that a token may stand for: as one word, a plain one also as it is written, and as words between separators."""
+    found = {restored(token, costs)}
+    if plain := PLAIN.match(token):
+        found.add(folded(plain[1]))
+    elif GAP.search(core := bare(token)) and sum(c.isalpha() for c in core) > 1:
+        found.update(parted(token, costs))
+    return found
+
+
 class Words(dict):
     """What ``of`` makes of a token, kept for a bounded number of tokens."""
 
@@ -173,7 +207,7 @@ class Words(dict):
 
     def __missing__(self, token):
         value = self.of(token)
-        if len(self) < MOST_CACHED:
+        if len(self) < MOST_CACHED and len(token) <= CACHED_LENGTH:
             self[token] = value
         return value
 
@@ -182,8 +216,7 @@ def tokens(text: str) -> set[str]:
     """Distinct tokens, with every run of single characters also as one."""
     found = set(text.split())
     if MAYBE_SPACED(text):
-        # longer runs are lists, not words; their characters are tokens anyway
-        found.update(m[0] for m in SPACED.finditer(text) if len(m[0]) <= LONGEST)
+        found.update(m[0] for m in SPACED.finditer(text))
     return found
 
 
@@ -202,13 +235,12 @@ class Model:
     base: float
     slope: float = 1.0
 
-    def evidence(self, token: str) -> tuple[str, float] | None:
-        word = restored(token, self.costs)
-        weight = max((float(self.weights[b]) for b in features(word)), default=0.0)
-        return (word, weight) if weight >= LEAST_WEIGHT else None
+    def evidence(self, token: str) -> tuple[tuple[str, float], ...]:
+        weighed = ((word, max((float(self.weights[b]) for b in features(word)), default=0.0)) for word in readings(token, self.costs))
+        return tuple((word, weight) for word, weight in weighed if weight >= LEAST_WEIGHT)
 
     def score(self, text: str, words: Words) -> float:
-        found = {x for x in map(words.__getitem__, tokens(text)) if x}
+        found = {x for t in tokens(text) for x in words[t]}
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.base + self.slope * sum(w for _, w in found)))))
 
 
@@ -238,10 +270,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, text: s
     sample = rows.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(most_labelled)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(lambda t: features(restored(t, costs)))
+        words = Words(lambda t: tuple(filter(None, map(features, readings(t, costs)))))
         for batch in slices(batches, "body", 1 << 22):
             bodies = batch.column(1).to_pylist()
-            own = [sorted(set(filter(None, map(words.__getitem__, tokens(x))))) for x in bodies]
+            own = [sorted({x for t in tokens(body) for x in words[t]}) for body in bodies]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(sketch, bodies), pa.list_(pa.int64())), pa.array(own, pa.list_(pa.list_(pa.int32())))], names=["label", "sketch", "own"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +373,7 @@ def restore(docs: DataFrame, costs: np.ndarray, text: str = "text") -> DataFrame
         for batch in batches:
             out = []
             for x in batch.column(at):
-                joined = SPACED.sub(lambda m: m[0] if len(m[0]) > LONGEST else words[m[0]], x.as_py() or "")
+                joined = SPACED.sub(lambda m: " ".join(parted(m[0], costs)), x.as_py() or "")
                 out.append(" ".join(filter(None, map(words.__getitem__, joined.split()))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*whole, "restored"])
 

@@ -38,6 +38,17 @@ def test_ordinary_words_stay(costs, token, word):
     assert tox.restored(token, costs) == word
 
 
+def test_long_runs_are_decoded(costs):
+    said = "the stupid river and the idiot of the garden window".split()
+    one = " ".join("".join(said))
+    wide = "   ".join(map(" ".join, said))
+    for run in (one, wide, one + " " + one):
+        assert len(run) > 48 and run in tox.tokens(f"{run}\nmore text")
+        assert {"stupid", "idiot", "garden"} <= tox.readings(run, costs)
+    assert {"stupid", "idiot"} <= tox.readings("the-stup1d-river-and-the-1d10t-of-the-garden-window-and-house", costs)
+    assert tox.decode("stupid" * 2000, costs) == "stupid" * 2000
+
+
 def test_viterbi_finds_the_cheapest_path(costs):
     for token in ["l0s3r", "i.d1o.t", "stttup1d", "a!b|c"]:
         def price(path):
