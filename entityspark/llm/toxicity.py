@@ -100,9 +100,9 @@ def letter_costs(counts: np.ndarray) -> np.ndarray:
     return -np.log(three)
 
 
-#: Ordinary tokens: letters between marks that aren't look-alikes, no letter three times in a row.
+#: Ordinary tokens: letters between marks that aren't look-alikes, no letter twice in a row.
 PLAIN = re.compile(r"[^\w@$|+(€£¢#]*([^\W\d_]+)[^\w@$|+(€£¢]*\Z")
-TRIPLE = re.compile(r"(.)\1\1")
+DOUBLED = re.compile(r"(.)\1")
 EDGES = re.compile(r"^[^\w@$|+(€£¢]+|[^\w@$|+(€£¢]+$|^([@$|+(#*&%!])\1{2,}|([@$|+(#*&%!])\2{2,}\W*$")
 #: At least three single characters with separators between them.
 SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,3}(?:[^\W_]|[@$!])){2,}(?!\S)")
@@ -172,7 +172,7 @@ def folded(token: str) -> str:
 def restored(token: str, costs: np.ndarray) -> str:
     """A token's letters a-z: plain ones folded, disguised ones decoded, '' where there is no word."""
     plain = PLAIN.match(token)
-    if plain and not TRIPLE.search(folded(plain[1])):
+    if plain and not DOUBLED.search(folded(plain[1])):
         return folded(plain[1])
     core = bare(token)
     if len(core) < 2 or sum(c.isalpha() for c in core) < 2:

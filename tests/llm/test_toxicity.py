@@ -38,6 +38,12 @@ def test_ordinary_words_stay(costs, token, word):
     assert tox.restored(token, costs) == word
 
 
+@pytest.mark.parametrize("token", ["stuupid", "sttupid", "STuUpid", "stupiidd"])
+def test_doubled_letters_are_decoded(costs, token):
+    assert tox.restored(token, costs) == "stupid" and "stupid" in tox.readings(token, costs)
+    assert tox.readings("letter", costs) == {"letter"}
+
+
 def test_long_runs_are_decoded(costs):
     said = "the stupid river and the idiot of the garden window".split()
     one = " ".join("".join(said))
