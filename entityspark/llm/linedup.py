@@ -129,20 +129,18 @@ def kept_lines(docs: DataFrame, text: str, doc_id: str, threshold: float) -> Dat
     return sets.join(gone, "set_no", "left_anti").select("row_id", "line_no", "line").unionByName(blank)
 
 
-def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id", stable: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows with all columns, text without the lines that go, and the columns n_lines and n_removed.
 
     Lines without words stay. A null text stays null and has no lines; a text may become empty. Null doc_ids come last;
     rows with one doc_id, or none, are ordered as they are read. An empty table gives an empty result. Columns named
-    n_lines or n_removed are replaced. ``stable`` says that ``docs`` reads its rows in one order each time, as files and
-    tables do; otherwise they are written first.
+    n_lines or n_removed are replaced. The numbered rows are written first: numbers drawn anew by each action would differ
+    where the input is split otherwise, as after an executor is lost.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies between 0 and 1")
     names = [n for n in docs.columns if n not in ("n_lines", "n_removed")]
-    rows = columns(docs, *names).select(F.monotonically_increasing_id().alias("__row"), "*")
-    if not stable:
-        rows = materialize(rows, "rows")
+    rows = materialize(columns(docs, *names).select(F.monotonically_increasing_id().alias("__row"), "*"), "rows")
     kept = kept_lines(rows.select(F.col("__row").alias("row_id"), F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text)), text, doc_id, threshold)
     texts = kept.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts")).select(F.col("row_id").alias("__id"), F.array_join("parts.line", "\n").alias("__text"), F.size("parts").alias("__kept"))
     n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.length(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), "[^\n]", "")) + 1)

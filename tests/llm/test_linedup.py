@@ -3,7 +3,7 @@ import random
 import pytest
 from helpers import documents, empty
 
-from entityspark.llm import linedup
+from entityspark.llm import linedup, queries
 
 
 def brute(texts, ids, threshold):
@@ -71,3 +71,16 @@ def test_nulls_ties_clashing_names_and_empty_table(spark):
     found = linedup.dedup_lines(df)
     assert sorted(found.columns) == sorted([*df.columns, "n_removed"])
     assert sorted((r["text"] or "-") + str(r["n_removed"]) for r in found.collect()) == ["-0", "-1", "a b0", "c0"]
+
+
+def test_rows_are_numbered_once(spark, monkeypatch, tmp_path):
+    def otherwise_each_time(batches):
+        held = [b for batch in batches for b in map(batch.slice, range(batch.num_rows), [1] * batch.num_rows)]
+        n = len(list(tmp_path.iterdir()))
+        (tmp_path / f"read-{n}").touch()
+        yield from held[n:] + held[:n]
+
+    texts = [f"a{k} b{k} c{k}\n\nd{k}" for k in range(9)]
+    df = documents(spark, texts).coalesce(1)
+    monkeypatch.setattr(queries, "table", lambda *_: df.mapInArrow(otherwise_each_time, df.schema))
+    assert {r["doc_id"]: r["text"] for r in queries.op10_lines(spark, "").collect()} == dict(enumerate(texts))
