@@ -7,8 +7,10 @@ check digit is right, phone numbers their country code, mail addresses come to l
 gender and script.
 
 Replacements are drawn by hash, so two entities could draw the same, or one that is another entity of the corpus. All
-distinct entities are checked against each other, and those that clash draw again until none does. Only these few reach
-the texts by a join; all other surrogates are computed in place.
+distinct entities are checked against each other, and those that clash draw again until none does; names, mail addresses
+and phone numbers grow with their draws, so that there is room for any number of them. Only these few, and names whose
+titles tell another gender than their given name does, reach the texts by a join; all other surrogates are computed in
+place.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ GIVEN = {
 }
 SYLLABLES = {"latin": "bar den fel gor hal kim lor men nor pas ril sol tam ver wen zor".split(), "cyrillic": "бар ден фел гор хал ким лор мен нор пас рил сол там вер вен зор".split()}
 
+#: Country codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGITS = "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+
 _all = [n for names in GIVEN.values() for n in names]
 _titles = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
 #: Type and pattern, the first that matches a text's place wins.
@@ -73,8 +78,8 @@ def bare_name(e: Column) -> Column:
 
 
 def normal(kind: Column, e: Column) -> Column:
-    """What mentions of one entity have in common."""
-    return either([(kind == "email", F.lower(e)), (kind.isin("phone", "card", "ssn"), F.regexp_replace(e, r"\D", "")), (kind == "iban", F.replace(e, F.lit(" "), F.lit(""))), (kind == "name", F.lower(bare_name(e)))], e)
+    """What mentions of one entity have in common. Phone numbers that start with an area in brackets are US numbers."""
+    return either([(kind == "email", F.lower(e)), ((kind == "phone") & e.startswith("("), F.concat(F.lit("1"), F.regexp_replace(e, r"\D", ""))), (kind.isin("phone", "card", "ssn"), F.regexp_replace(e, r"\D", "")), (kind == "iban", F.replace(e, F.lit(" "), F.lit(""))), (kind == "name", F.lower(bare_name(e)))], e)
 
 
 def draws(secret: str, kind: Column, form: Column, attempt: Column) -> Column:
@@ -133,24 +138,32 @@ def card(e: Column, hexes: Column) -> Column:
     return let(let(F.regexp_replace(e, r"\D", ""), drawn), lambda whole: spread(e, lambda c, k: F.substring(whole, k + 1, F.lit(1))))
 
 
-def phone(e: Column, hexes: Column) -> Column:
-    """Keeps the country code and 555; an area or a number never starts with 0 or 1."""
-    code = F.length(F.regexp_extract(e, r"^\+(\d{1,3})[ .(-]", 1))
-    code = F.when(F.regexp_replace(e, r"\D", "").rlike("^1\\d{10}$"), 1).otherwise(code)
-    fiction = F.when(F.regexp_replace(e, r"\D", "").rlike("^1?\\d{3}555\\d{4}$"), code + 3).otherwise(F.lit(-9))
+def more(hexes: Column, n: Column, of) -> Column:
+    """``n`` further pieces, by which a redrawn surrogate is longer."""
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: of(number(hexes, k + 59, 1 << 15))), "")).otherwise("")
+
+
+def phone(e: Column, form: Column, hexes: Column, attempt: Column) -> Column:
+    """Keeps the country code and 555; an area or a number never starts with 0 or 1. Drawn from the normal form, then laid
+    into the mention's format."""
+    code = F.when(form.rlike("^[17]"), 1).when(form.rlike(TWO_DIGITS), 2).otherwise(3)
+    fiction = F.when(form.rlike("^1\\d{3}555\\d{4}$"), 4).otherwise(F.lit(-9))
 
     def drawn(x: Column) -> Column:
-        return spread(e, lambda c, k: either([(k < x["code"], c), ((k >= x["fiction"]) & (k < x["fiction"] + 3), c), (k == x["code"], letter(number(hexes, k, 8), "23456789"))], letter(number(hexes, k, 10), "0123456789")))
+        return spread(form, lambda c, k: either([(k < x["code"], c), ((k >= x["fiction"]) & (k < x["fiction"] + 3), c), (k == x["code"], letter(number(hexes, k, 8), "23456789"))], letter(number(hexes, k, 10), "0123456789")))
 
-    return let(F.struct(code.alias("code"), fiction.alias("fiction")), drawn)
+    skipped = F.when(e.startswith("("), 1).otherwise(0)
+    laid = let(F.struct(let(F.struct(code.alias("code"), fiction.alias("fiction")), drawn).alias("whole"), skipped.alias("skipped")), lambda x: spread(e, lambda c, k: F.substring(x["whole"], k + 1 + x["skipped"], F.lit(1))))
+    return F.concat(laid, more(hexes, attempt - 2, lambda n: letter(F.pmod(n, F.lit(10)), "0123456789")))
 
 
-def email(e: Column, hexes: Column, secret: str) -> Column:
+def email(e: Column, hexes: Column, attempt: Column, secret: str) -> Column:
     """The local part in its format; of the domain, the part before a public suffix, the same for all addresses in it."""
     local, domain = F.substring_index(e, "@", 1), F.lower(F.substring_index(e, "@", -1))
     host = F.regexp_replace(F.regexp_replace(domain, r"\.(example\.)?[a-z]+$", ""), r"\.", "-")
     moved = let(draws(secret, F.lit("domain"), domain, F.lit(0)), lambda own: F.concat(same_format(host, own), letter_run(own)))
-    return F.concat(same_format(local, hexes), F.lit("@"), moved, F.lit(".example.com"))
+    longer = more(hexes, attempt - 2, lambda n: letter(F.pmod(n, F.lit(26)), "abcdefghijklmnopqrstuvwxyz"))
+    return F.concat(same_format(local, hexes), longer, F.lit("@"), moved, F.lit(".example.com"))
 
 
 def letter_run(hexes: Column) -> Column:
@@ -158,16 +171,26 @@ def letter_run(hexes: Column) -> Column:
     return F.concat(*[letter(number(hexes, F.lit(100 + k), 26), "abcdefghijklmnopqrstuvwxyz") for k in range(4)])
 
 
-def name(e: Column, hexes: Column) -> Column:
-    """Title, gender and script stay; a family name is drawn of four syllables."""
+def title_gender(e: Column) -> Column:
+    """1 for a female title, -1 for a male one, else 0."""
+    bears = lambda g: e.rlike(rf"^(?:{'|'.join(TITLES[g])})\.? ")
+    return F.when(bears("female"), 1).when(bears("male"), -1).otherwise(0)
+
+
+def given_female(form: Column) -> Column:
+    """Whether a name's normal form starts with a female given name."""
+    return F.substring_index(form, " ", 1).isin([n.lower() for (_, g), names in GIVEN.items() if g == "female" for n in names])
+
+
+def name(e: Column, form: Column, hexes: Column, attempt: Column, female: Column) -> Column:
+    """Title, gender and script stay; a family name is drawn of four syllables, and one more for each further draw."""
     title = F.regexp_extract(e, rf"^(?:{_titles})\.? ", 0)
-    own = bare_name(e)
-    first = F.substring_index(own, " ", 1)
-    script = F.when(own.rlike("\\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    female = title.rlike(f"^(?:{'|'.join(TITLES['female'])})\\.? $") | first.isin([n for (_, g), names in GIVEN.items() if g == "female" for n in names])
-    family = lambda s: F.initcap(F.concat(*[F.get(F.array(*map(F.lit, SYLLABLES[s])), number(hexes, F.lit(k), 16)) for k in range(1, 5)]))
+    script = F.when(form.rlike("\\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    female = F.coalesce(female, given_female(form))
+    syllable = lambda s, n: F.get(F.array(*map(F.lit, SYLLABLES[s])), F.pmod(n, F.lit(16)))
+    family = lambda s: F.initcap(F.concat(*[syllable(s, number(hexes, F.lit(k), 16)) for k in range(1, 5)], more(hexes, attempt, lambda n: syllable(s, n))))
     given = lambda s, g: F.get(F.array(*map(F.lit, GIVEN[s, g])), number(hexes, F.lit(0), len(GIVEN[s, g])))
-    with_given = own.contains(" ")
+    with_given = form.contains(" ")
     drawn = either([((script == s) & (female == (g == "female")), F.when(with_given, F.concat(given(s, g), F.lit(" "), family(s))).otherwise(family(s))) for s, g in GIVEN], family("latin"))
     return F.concat(title, drawn)
 
@@ -176,9 +199,11 @@ def ip(hexes: Column) -> Column:
     return F.concat_ws(".", *[(number(hexes, F.lit(k), 223 if k == 0 else 254) + 1).cast("string") for k in range(4)])
 
 
-def surrogate(kind: Column, e: Column, form: Column, attempt: Column, secret: str) -> Column:
+def surrogate(kind: Column, e: Column, form: Column, attempt: Column, female: Column, secret: str) -> Column:
+    """``female``: null where the given name tells the gender."""
+
     def drawn(hexes: Column) -> Column:
-        return either([(kind == "email", email(e, hexes, secret)), (kind == "phone", phone(e, hexes)), (kind == "card", card(e, hexes)), (kind == "ip", ip(hexes)), (kind == "name", name(e, hexes)),
+        return either([(kind == "email", email(e, hexes, attempt, secret)), (kind == "phone", phone(e, form, hexes, attempt)), (kind == "card", card(e, hexes)), (kind == "ip", ip(hexes)), (kind == "name", name(e, form, hexes, attempt, female)),
             (kind == "key", same_format(e, hexes, keep=4)), (kind == "secret", same_format(e, hexes, hexadecimal=True)), (kind == "iban", same_format(e, hexes, keep=2))], same_format(e, hexes))
 
     return let(draws(secret, kind, form, attempt), drawn)
@@ -195,19 +220,20 @@ def entities(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def clashing(known: DataFrame, secret: str, rounds: int = 50) -> DataFrame:
-    """(kind, form, attempt) of the entities that can't have their first draw. ``known``: kind, form, e, one row an entity."""
+    """(kind, form, attempt, female) of the entities that can't have their first draw, or whose titles tell the gender.
+    ``known``: kind, form, e, female, one row an entity."""
     spark, assigned = known.sparkSession, materialize(known.withColumn("attempt", F.lit(0)), "draws")
     taken = known.select("kind", F.col("form").alias("out"), F.lit(True).alias("real"))
     for _ in range(rounds):
-        drawn = assigned.withColumn("out", let(surrogate(F.col("kind"), F.col("e"), F.col("form"), F.col("attempt"), secret), lambda s: normal(F.col("kind"), s)))
+        drawn = assigned.withColumn("out", let(surrogate(F.col("kind"), F.col("e"), F.col("form"), F.col("attempt"), F.col("female"), secret), lambda s: normal(F.col("kind"), s)))
         # Of equal draws the entity with the fewest draws and the least form keeps it, and none keeps a real entity.
         first = drawn.groupBy("kind", "out").agg(F.min(F.struct(-F.col("attempt"), F.col("form"))).alias("least"), F.count("*").alias("n"))
         held = first.join(taken, ["kind", "out"], "left").filter("n > 1 or real").select("kind", "out", "least", F.coalesce("real", F.lit(False)).alias("real"))
         again = drawn.join(held, ["kind", "out"]).filter(F.col("real") | (F.struct(-F.col("attempt"), F.col("form")) != F.col("least"))).select("kind", "form", F.lit(True).alias("again"))
         again = materialize(again, "clashes")
         if again.isEmpty():
-            return assigned.filter("attempt > 0").select("kind", "form", "attempt")
-        after = materialize(assigned.join(again, ["kind", "form"], "left").select("kind", "form", "e", (F.col("attempt") + F.coalesce("again", F.lit(False)).cast("int")).alias("attempt")), "draws")
+            return assigned.filter("attempt > 0 or female is not null").select("kind", "form", "attempt", "female")
+        after = materialize(assigned.join(again, ["kind", "form"], "left").select("kind", "form", "e", "female", (F.col("attempt") + F.coalesce("again", F.lit(False)).cast("int")).alias("attempt")), "draws")
         discard(assigned)
         assigned = after
     raise RuntimeError(f"entities still clash after {rounds} draws: the formats leave too little room")
@@ -221,13 +247,17 @@ def replace(docs: DataFrame, secret: str, text: str = "text", doc_id: str = "doc
     """
     rows = materialize(entities(docs, text, doc_id), "entities")
     mentions = rows.select("row_id", F.explode("found").alias("x")).select("row_id", "x.*")
-    known = mentions.groupBy("kind", "form").agg(F.min("e").alias("e"))
+    # Most of a name's titles decide its gender in all its mentions.
+    titles = F.sum(F.when(F.col("kind") == "name", title_gender(F.col("e"))).otherwise(0))
+    known = mentions.groupBy("kind", "form").agg(F.min("e").alias("e"), titles.alias("titles"))
+    known = known.select("kind", "form", "e", F.when((F.col("titles") != 0) & F.col("form").contains(" ") & ((F.col("titles") > 0) != given_female(F.col("form"))), F.col("titles") > 0).alias("female"))
     redrawn = clashing(materialize(known, "known"), secret)
     key = lambda k, f: F.concat_ws(":", k, f)
-    # Few rows: the entities that drew again, in the documents that mention them.
-    tries = mentions.join(redrawn, ["kind", "form"]).select("row_id", key("kind", "form").alias("k"), "attempt").distinct().groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "attempt"))).alias("tries"))
+    # Few rows: the entities that drew again or have another gender, in the documents that mention them.
+    tries = mentions.join(redrawn, ["kind", "form"]).select("row_id", key("kind", "form").alias("k"), F.struct("attempt", "female").alias("x")).distinct().groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "x"))).alias("tries"))
     joined = rows.join(tries, "row_id", "left")
-    attempt = lambda x: F.coalesce(F.get(F.map_values(F.map_filter("tries", lambda k, v: k == key(x["kind"], x["form"]))), F.lit(0)), F.lit(0))
-    written = F.transform("found", lambda x: surrogate(x["kind"], x["e"], x["form"], F.when(F.col("tries").isNull(), 0).otherwise(attempt(x)), secret))
+    other = lambda x: F.get(F.map_values(F.map_filter("tries", lambda k, v: k == key(x["kind"], x["form"]))), F.lit(0))
+    place = lambda x, o: surrogate(x["kind"], x["e"], x["form"], F.coalesce(o["attempt"], F.lit(0)), o["female"], secret)
+    written = F.transform("found", lambda x: let(F.when(F.col("tries").isNotNull(), other(x)), lambda o: place(x, o)))
     whole = F.array_join(F.flatten(F.transform(F.arrays_zip(F.col("parts").alias("p"), F.concat("written", F.array(F.lit(""))).alias("s")), lambda x: F.array(x["p"], x["s"]))), "")
     return joined.withColumn("written", written).select("doc_id", F.size("found").alias("n_entities"), F.when(F.col("parts").isNotNull(), whole).alias("text"))

@@ -54,6 +54,18 @@ def test_clashes_are_drawn_again(spark):
     assert len(out) == 30 and not out & set(texts)
 
 
+def test_narrow_formats_have_room(spark):
+    texts = [f"{c}@corp.example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    out = {r["text"] for r in pii.replace(documents(spark, texts), "k").collect()}
+    assert len(out) == 26 and not out & set(texts)
+
+
+def test_more_surnames_than_four_syllables_have(spark, monkeypatch):
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ["bar"] * 16)  # one name of four syllables
+    texts = [f"Mr {a}{b}son" for a in "BCDF" for b in "ae"]
+    assert len({r["text"] for r in pii.replace(documents(spark, texts), "k").collect()}) == 8
+
+
 def test_same_secret_same_surrogates(spark, found):
     again = {r["doc_id"]: r["text"] for r in pii.replace(documents(spark, TEXTS[:2]).repartition(2), "secret").collect()}
     other = {r["doc_id"]: r["text"] for r in pii.replace(documents(spark, TEXTS[:2]), "other").collect()}
