@@ -66,6 +66,18 @@ def test_more_surnames_than_four_syllables_have(spark, monkeypatch):
     assert len({r["text"] for r in pii.replace(documents(spark, texts), "k").collect()}) == 8
 
 
+def test_one_entity_has_one_surrogate_in_all_formats(spark):
+    texts = ["+49 30 1234567 +49301234567 +49 (30) 123-45-67", "+380 44 1234567 +380441234567", "(235) 444-3833 +1 235 444 3833", "Frau Jean Roux, Jean Roux", "Dr Andrea Roux, Frau Andrea Roux"]
+    out = [r["text"] for r in sorted(pii.replace(documents(spark, texts), "k").collect(), key=lambda r: r["doc_id"])]
+    numbers = [re.sub(r"[ ()-]", "", re.sub(r"(?<=\d) (?=[+])", "|", t)).split("|") for t in out[:3]]
+    assert len(set(numbers[0])) == 1 and numbers[0][0].startswith("+49") and len(numbers[0]) == 3
+    assert len(set(numbers[1])) == 1 and numbers[1][0].startswith("+380") and len(numbers[1]) == 2
+    assert numbers[2][1] == "+1" + numbers[2][0]
+    for text in out[3:]:
+        a, b = (re.sub("^(Frau|Dr) ", "", x) for x in text.split(", "))
+        assert a == b and a.split()[0] in pii.GIVEN["latin", "female"]
+
+
 def test_same_secret_same_surrogates(spark, found):
     again = {r["doc_id"]: r["text"] for r in pii.replace(documents(spark, TEXTS[:2]).repartition(2), "secret").collect()}
     other = {r["doc_id"]: r["text"] for r in pii.replace(documents(spark, TEXTS[:2]), "other").collect()}
