@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,10 +19,15 @@ NOT_SPACE = "[^\\x20\\x09-\\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``); a temporary one where it is unset, as in tests."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``). Where it is unset, as in tests, a session in one
+    process gets a temporary folder, removed at its end; on a cluster that is an error."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.entityspark.scratch", None)
     if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='entityspark-')}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: the executors need a folder that all of them share")
+        folder = tempfile.mkdtemp(prefix="entityspark-")
+        atexit.register(shutil.rmtree, folder, True)
+        where = f"file://{folder}"
         spark.conf.set("spark.entityspark.scratch", where)
     return where.rstrip("/")
 
@@ -30,15 +37,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder, with further options of the Parquet writer, and read it back.
 
     It cuts the lineage with a table that survives lost executors. The shuffle files behind the write are no longer
     needed then, so Spark is asked to remove them.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        df.write.parquet(path)
+        df.write.options(**{"compression": "zstd"} | options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,77 +4,78 @@ A line is the set of its lower-cased words. It goes if an earlier line, in the o
 the same set, or one whose Jaccard similarity reaches the threshold. Whether that line goes too doesn't matter: lines
 are judged on the input.
 
-Equal lines are found by hash. For the others, each distinct set's words are ordered by rarity, and only sets that share
-one of their first words (the prefix) can be similar. Sizes, the places of the shared word and a 64-bit parity sketch of
-the sets rule out almost all other pairs before Jaccard is verified on the words themselves.
+Lines that are spelled alike are grouped by hash, and the earliest of each group is coded once: its distinct words as
+64-bit hashes. Those are ordered by rarity, and only sets that share one of their first words (the prefix) can be similar,
+equal sets in another spelling included. Sizes, the places of the shared word and a 64-bit parity sketch of the sets rule
+out almost all other pairs before Jaccard is verified on the whole sets.
 
 Lines with a shared rare word, such as the versions of a text with many near copies, are not paired with each other:
 first each meets only the earliest line of each of its words, which settles most; only lines that are still unsettled
-meet the other earlier ones.
+meet the other earlier ones. Words are taken in several passes, so that the shuffle files of a fraction exist at a time.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from entityspark.llm.common import SPACE, columns, discard, materialize
+from entityspark.llm.common import NOT_SPACE, SPACE, discard, materialize
 
 #: Words are counted by hash in so many classes. Any order makes the join exact; rarity makes it fast.
-CLASSES = 1 << 14
-#: Bits of a word's hash below its class's rarity. Where hashes collide, sets look more alike than they are, never less.
+CLASSES = 1 << 16
+#: Bits of a word's hash below its class's rarity in a prefix. Where they collide, a pair more is verified.
 BITS = 50
-#: Sets up to this size are keyed as sets. Larger ones are keyed by their spelling: the join finds equal sets as well.
-KEYED = 8
+#: Passes over the words of the prefixes.
+PASSES = 4
 ORDER = ("last", "doc_id", "row_id", "line_no")
 
 
-def cleaned(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), f"{SPACE}+", " "))
+def let(value: Column, of) -> Column:
+    """``of(value)``, with the value computed once however often it occurs there."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
-def words(line: Column) -> Column:
-    """The distinct lower-cased words of a line."""
-    return F.array_distinct(F.split(cleaned(line), " "))
+def codes(line: Column) -> Column:
+    """The distinct lower-cased words of a line, as hashes."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(F.lower(line), f"{SPACE}+"), ""), lambda w: F.xxhash64(w)))
 
 
-def lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(last, doc_id, row_id, line_no, line) of every line; rows with a null text have none."""
-    rows = docs.select(F.col(f"`{doc_id}`").isNull().alias("last"), F.col(f"`{doc_id}`").alias("doc_id"), "row_id", F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line_no", "line"))
-    return rows.select(*ORDER, "line")
+def lines(rows: DataFrame) -> DataFrame:
+    """(last, doc_id, row_id, line_no, line) of every line of rows (row_id, doc_id, text); a null text has none."""
+    return rows.select(F.col("doc_id").isNull().alias("last"), "doc_id", "row_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def rarity(all_lines: DataFrame) -> Column:
+def distinct_lines(every: DataFrame) -> DataFrame:
+    """(set_no, ORDER, codes): the earliest line of each spelling, blank lines left out."""
+    keyed = every.select(F.struct(*ORDER, "line").alias("x"), F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"))
+    first = keyed.groupBy("k1", "k2").agg(F.min("x").alias("x"))
+    return first.filter(F.col("x.line").rlike(NOT_SPACE)).select(F.monotonically_increasing_id().alias("set_no"), *[f"x.{c}" for c in ORDER], codes(F.col("x.line")).alias("codes"))
+
+
+def rarity(sets: DataFrame) -> Column:
     """An array: how often words of each class occur, in quarter powers of two."""
-    counts = all_lines.select(F.explode(F.split(cleaned(F.col("line")), " ")).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(CLASSES)).alias("c")).count()
+    counts = sets.select(F.explode("codes").alias("w")).groupBy(F.pmod("w", F.lit(CLASSES)).alias("c")).count()
     often = {r["c"]: int(4 * math.log2(r["count"])) for r in counts.collect()}  # CLASSES rows at most
     return F.split(F.lit(",".join(str(often.get(k, 0)) for k in range(CLASSES))), ",").cast("array<int>")
 
 
-def distinct_sets(all_lines: DataFrame) -> DataFrame:
-    """(set_no, ORDER, line): the earliest line of each distinct set, or spelling of a large set."""
-    own = words(F.col("line"))
-    key = F.when(F.size(own) <= KEYED, F.array_join(F.sort_array(own), " ")).otherwise(cleaned(F.col("line")))
-    keyed = all_lines.filter(cleaned(F.col("line")) != "").select(F.struct(*ORDER, "line").alias("x"), F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(1), key).alias("k2"))
-    return keyed.groupBy("k1", "k2").agg(F.min("x").alias("x")).select(F.monotonically_increasing_id().alias("set_no"), "x.*")
-
-
 def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
     """(token, set_no, order, size, at, sketch) for each word of a set's prefix, the rarest words of a set coming first."""
 
-    def coded(w: Column) -> Column:
-        return F.xxhash64(w).bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.shiftleft(F.get(often, F.pmod(F.xxhash64(w), F.lit(CLASSES)).cast("int")).cast("long"), BITS))
+    def ranked(w: Column) -> Column:
+        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.shiftleft(F.get(often, F.pmod(w, F.lit(CLASSES)).cast("int")).cast("long"), BITS))
 
     order = F.coalesce("doc_id", F.lit(2**63 - 1)) if isinstance(sets.schema["doc_id"].dataType, T.IntegralType) else F.lit(0)
-    known = sets.select("set_no", order.cast("long").alias("order"), F.sort_array(F.transform(words(F.col("line")), coded)).alias("tokens")).withColumn("size", F.size("tokens"))
-    # Below this size only equal sets are similar.
-    least = math.ceil(threshold / (1 - threshold) - 1e-9) if threshold < 1 else 1
-    sketch = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
-    length = (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")
-    return known.filter(F.col("size") >= least).select("set_no", "order", "size", sketch.alias("sketch"), F.posexplode(F.slice("tokens", F.lit(1), length)).alias("at", "token"))
+    sketch = F.aggregate("codes", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
+    size = F.size("codes")
+    length = (size - F.ceil(F.lit(threshold) * size - 1e-9) + 1).cast("int")
+    # What is computed once a set stands below the generator, in a projection of its own.
+    known = sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), sketch.alias("sketch"), F.slice(F.sort_array(F.transform("codes", ranked)), F.lit(1), length).alias("prefix"))
+    return known.select("set_no", "order", "size", "sketch", F.posexplode("prefix").alias("at", "token"))
 
 
 def pairs(some: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
@@ -96,37 +97,42 @@ def pairs(some: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
     return y.join(x.hint("merge"), "token").filter(fits).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
 
 
-def verified(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def in_passes(words: DataFrame, of, name: str) -> list[DataFrame]:
+    """``of`` each part of the words, one after the other, in tables."""
+    return [materialize(of(words.filter(F.pmod("token", F.lit(PASSES)) == k)), name) for k in range(PASSES)]
+
+
+def verified(candidates: list[DataFrame], sets: DataFrame, threshold: float) -> DataFrame:
     """(set_no): the later one of each pair whose Jaccard similarity reaches the threshold."""
-    one = sets.select("set_no", F.struct(*ORDER).alias("place"), "line")
-    with_b = candidates.join(one, F.col("b") == F.col("set_no")).select("a", "b", F.col("place").alias("b_place"), F.col("line").alias("b_line"))
-    whole = with_b.join(one, F.col("a") == F.col("set_no")).select("a", "b", (F.col("place") > F.col("b_place")).alias("a_later"), "line", "b_line")
-
-    def alike(sets_: Column) -> Column:
-        common = F.size(F.array_intersect(sets_["x"], sets_["y"]))
-        return common >= threshold * (F.size(sets_["x"]) + F.size(sets_["y"]) - common) - 1e-9
-
-    # Bound by a lambda, the words of a pair are taken apart once, not at each mention in the condition.
-    both = F.array(F.struct(words(F.col("line")).alias("x"), words(F.col("b_line")).alias("y")))
-    return whole.filter(F.exists(both, alike)).select(F.when(F.col("a_later"), F.col("a")).otherwise(F.col("b")).alias("set_no")).distinct()
-
-
-def kept_lines(docs: DataFrame, text: str, doc_id: str, threshold: float) -> DataFrame:
-    """(row_id, line_no, line) of the lines that stay. ``docs`` has the column row_id."""
-    every = lines(docs, text, doc_id)
-    sets = materialize(distinct_sets(every), "sets")
-    blank = every.filter(cleaned(F.col("line")) == "").select("row_id", "line_no", "line")
-    rows = materialize(prefixes(sets, rarity(every), threshold), "words")
-    # Words that one set's prefix alone has lead nowhere.
-    shared = rows.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    met = materialize(rows.join(shared.hint("merge"), "token"), "prefixes")
-    discard(rows)
-    leaders = met.groupBy("token").agg(F.min(F.struct("order", "set_no", "size", "sketch", "at")).alias("x")).select("token", "x.*")
-    settled = materialize(verified(materialize(pairs(met, leaders, threshold), "led"), sets, threshold), "settled")
-    rest = materialize(pairs(met.join(settled, "set_no", "left_anti"), met, threshold), "pairs")
-    discard(met)
-    gone = settled.unionByName(verified(rest, sets, threshold))
-    return sets.join(gone, "set_no", "left_anti").select("row_id", "line_no", "line").unionByName(blank)
+    met = reduce(DataFrame.unionByName, candidates).distinct()
+    # Plain files, so that their size tells whether Spark may broadcast them.
+    ids = materialize(met.select(F.explode(F.array("a", "b")).alias("set_no")).distinct(), "ids", compression="none")
+    one = sets.join(ids, "set_no", "left_semi").select("set_no", F.struct(*ORDER).alias("place"), "codes")
+    with_b = met.join(one, F.col("b") == F.col("set_no")).select("a", F.col("place").alias("b_place"), F.col("codes").alias("b_codes"), "b")
+    whole = with_b.join(one, F.col("a") == F.col("set_no")).drop("set_no")
+    common = F.size(F.array_intersect("codes", "b_codes"))
+    alike = common >= threshold * (F.size("codes") + F.size("b_codes") - common) - 1e-9
+    later = F.when(F.col("place") > F.col("b_place"), F.col("a")).otherwise(F.col("b"))
+    found = materialize(whole.filter(alike).select(later.alias("set_no")).distinct(), "settled")
+    for table in (*candidates, ids):
+        discard(table)
+    return found
+
+
+def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
+    """(row_id, line_no) of the lines with words that stay, of rows (row_id, doc_id, text)."""
+    sets = materialize(distinct_lines(lines(rows)), "sets", **{"parquet.dictionary.page.size": str(1 << 23)})
+    words = materialize(prefixes(sets, rarity(sets), threshold), "words")
+
+    def to_leaders(part: DataFrame) -> DataFrame:
+        first = part.groupBy("token").agg(F.min(F.struct("order", "set_no", "size", "sketch", "at")).alias("x"), F.count("*").alias("n"))
+        return pairs(part, first.filter("n > 1").select("token", "x.*"), threshold)
+
+    settled = verified(in_passes(words, to_leaders, "led"), sets, threshold)
+    rest = in_passes(words, lambda part: pairs(part.join(settled, "set_no", "left_anti"), part, threshold), "pairs")
+    discard(words)
+    gone = settled.unionByName(verified(rest, sets, threshold)).distinct()
+    return sets.join(gone, "set_no", "left_anti").select("row_id", "line_no")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -134,17 +140,21 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc
 
     Lines without words stay. A null text stays null and has no lines; a text may become empty. Null doc_ids come last;
     rows with one doc_id, or none, are ordered as they are read. An empty table gives an empty result. Columns named
-    n_lines or n_removed are replaced. The numbered rows are written first: numbers drawn anew by each action would differ
-    where the input is split otherwise, as after an executor is lost.
+    n_lines or n_removed are replaced; any other name is the caller's. The numbered rows are written first: numbers drawn
+    anew by each action would differ where the input is split otherwise, as after an executor is lost.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies between 0 and 1")
     names = [n for n in docs.columns if n not in ("n_lines", "n_removed")]
-    rows = materialize(columns(docs, *names).select(F.monotonically_increasing_id().alias("__row"), "*"), "rows")
-    kept = kept_lines(rows.select(F.col("__row").alias("row_id"), F.col(f"`{doc_id}`").alias(doc_id), F.col(f"`{text}`").alias(text)), text, doc_id, threshold)
-    texts = kept.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("parts")).select(F.col("row_id").alias("__id"), F.array_join("parts.line", "\n").alias("__text"), F.size("parts").alias("__kept"))
-    n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.length(F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), "[^\n]", "")) + 1)
-    counted = rows.select("__row", *[F.col(f"`{n}`") for n in names if n != text], n_lines.cast("int").alias("n_lines"), F.col(f"`{text}`").isNull().alias("__none"))
-    joined = counted.join(texts, F.col("__row") == F.col("__id"), "left")
-    body = F.when(~F.col("__none"), F.coalesce("__text", F.lit("")))
-    return joined.select(*[body.alias(n) if n == text else F.col(f"`{n}`") for n in names], "n_lines", (F.col("n_lines") - F.coalesce("__kept", F.lit(0))).alias("n_removed"))
+    whole = F.struct(*[F.col(f"`{n}`") for n in names if n not in (text, doc_id)], F.lit(0).alias("__none"))
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), whole.alias("row")), "rows")
+    kept = kept_lines(rows.drop("row"), threshold).groupBy("row_id").agg(F.collect_list("line_no").alias("stay"))
+    known = F.struct(F.split("text", "\n").alias("lines"), F.coalesce("stay", F.array().cast("array<int>")).alias("stay"))
+
+    def parts(x: Column) -> Column:
+        blank = F.array_compact(F.transform(x["lines"], lambda line, k: F.when(~line.rlike(NOT_SPACE), k)))
+        return F.transform(F.sort_array(F.array_union(x["stay"], blank)), lambda k: F.get(x["lines"], k))
+
+    found = rows.join(kept, "row_id", "left").select("doc_id", "row", "text", F.size(F.coalesce(F.split("text", "\n"), F.array())).alias("n_lines"), F.when(F.col("text").isNotNull(), let(known, parts)).alias("parts"))
+    out = {doc_id: F.col("doc_id"), text: F.array_join("parts", "\n")}
+    return found.select(*[out.get(n, F.col(f"row.`{n}`")).alias(n) for n in names], "n_lines", (F.col("n_lines") - F.size(F.coalesce("parts", F.array()))).alias("n_removed"))
