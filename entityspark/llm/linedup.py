@@ -6,7 +6,7 @@ are judged on the input.
 
 Lines that are spelled alike are grouped by hash, and the earliest of each group is coded once: its distinct words as
 64-bit hashes. Those are ordered by rarity, and only sets that share one of their first words (the prefix) can be similar,
-equal sets in another spelling included. Sizes, the places of the shared word and a 64-bit parity sketch of the sets rule
+equal sets in another spelling included. Sizes, the places of the shared word and a parity sketch of the sets rule
 out almost all other pairs before Jaccard is verified on the whole sets.
 
 Lines with a shared rare word, such as the versions of a text with many near copies, are not paired with each other:
@@ -29,8 +29,10 @@ from entityspark.llm.common import NOT_SPACE, SPACE, discard, materialize
 CLASSES = 1 << 16
 #: Bits of a word's hash below its class's rarity in a prefix. Where they collide, a pair more is verified.
 BITS = 50
+#: Sets of more words have a parity sketch of 128 bits instead of 64.
+LARGE = 64
 #: Passes over the words of the prefixes.
-PASSES = 4
+PASSES = 3
 ORDER = ("last", "doc_id", "row_id", "line_no")
 
 
@@ -57,44 +59,66 @@ def distinct_lines(every: DataFrame) -> DataFrame:
 
 
 def rarity(sets: DataFrame) -> Column:
-    """An array: how often words of each class occur, in quarter powers of two."""
-    counts = sets.select(F.explode("codes").alias("w")).groupBy(F.pmod("w", F.lit(CLASSES)).alias("c")).count()
+    """An array: how often words of each class occur, in quarter powers of two, above the bits that a word keeps."""
+    counts = sets.select(F.explode("codes").alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(CLASSES - 1)).alias("c")).count()
     often = {r["c"]: int(4 * math.log2(r["count"])) for r in counts.collect()}  # CLASSES rows at most
-    return F.split(F.lit(",".join(str(often.get(k, 0)) for k in range(CLASSES))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(often.get(k, 0) << BITS) for k in range(CLASSES))), ",").cast("array<long>")
 
 
 def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
-    """(token, set_no, order, size, at, sketch) for each word of a set's prefix, the rarest words of a set coming first."""
+    """(token, set_no, order, size, short, at, parity, upper) for each word of a set's prefix, the rarest words coming first.
+
+    ``short``: length of the prefix by which a set meets larger ones. ``parity``: 64 bits, each word flips one. ``upper``:
+    for large sets, the part of it that comes from words with a certain bit, so that large sets have 128 bits.
+    """
 
     def ranked(w: Column) -> Column:
-        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.shiftleft(F.get(often, F.pmod(w, F.lit(CLASSES)).cast("int")).cast("long"), BITS))
+        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")))
+
+    def flipped(one) -> Column:
+        return F.aggregate("codes", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
 
     order = F.coalesce("doc_id", F.lit(2**63 - 1)) if isinstance(sets.schema["doc_id"].dataType, T.IntegralType) else F.lit(0)
-    sketch = F.aggregate("codes", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
-    size = F.size("codes")
+    size, one = F.size("codes"), F.lit(1).cast("long")
+    upper = F.when(size > LARGE, flipped(lambda t: F.shiftright(t, 6).bitwiseAND(one))).otherwise(F.lit(0).cast("long"))
     length = (size - F.ceil(F.lit(threshold) * size - 1e-9) + 1).cast("int")
+    short = (size - F.ceil(F.lit(2 * threshold / (1 + threshold)) * size - 1e-9) + 1).cast("int")
     # What is computed once a set stands below the generator, in a projection of its own.
-    known = sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), sketch.alias("sketch"), F.slice(F.sort_array(F.transform("codes", ranked)), F.lit(1), length).alias("prefix"))
-    return known.select("set_no", "order", "size", "sketch", F.posexplode("prefix").alias("at", "token"))
+    known = sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), short.alias("short"), flipped(lambda t: one).alias("parity"), upper.alias("upper"), F.slice(F.sort_array(F.transform("codes", ranked)), F.lit(1), length).alias("prefix"))
+    return known.select("set_no", "order", "size", "short", "parity", "upper", F.posexplode("prefix").alias("at", "token"))
 
 
-def pairs(some: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
-    """Candidates (a, b) that share a prefix word: a of ``some``, b of ``others`` and not behind it."""
-    cells = ("set_no", "order", "size", "sketch", "at")
-    x = others.select(*[F.col(c).alias(f"x_{c}") for c in cells], "token")
-    y = some.select(*[F.col(c).alias(f"y_{c}") for c in cells], "token")
+def fits(threshold: float) -> Column:
+    """Whether rows x and y of one token may belong to similar sets."""
     both = F.col("x_size") + F.col("y_size")
     overlap = F.ceil(both * (threshold / (1 + threshold)) - 1e-9)
     # The first shared word bounds the overlap by what follows it; of a similar pair that word always passes.
     reach = F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at"))
-    fits = (
-        (F.col("x_set_no") != F.col("y_set_no"))
-        & (F.col("x_order") <= F.col("y_order"))
-        & (F.least("x_size", "y_size") >= F.greatest("x_size", "y_size") * threshold - 1e-9)
-        & (reach >= overlap)
-        & (F.bit_count(F.col("x_sketch").bitwiseXOR(F.col("y_sketch"))) <= both - 2 * overlap)
-    )
-    return y.join(x.hint("merge"), "token").filter(fits).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
+    parity, upper = (F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")) for c in ("parity", "upper"))
+    differing = F.when(F.least("x_size", "y_size") > LARGE, F.bit_count(upper) + F.bit_count(parity.bitwiseXOR(upper))).otherwise(F.bit_count(parity))
+    near = F.least("x_size", "y_size") >= F.greatest("x_size", "y_size") * threshold - 1e-9
+    return (F.col("x_set_no") != F.col("y_set_no")) & near & (reach >= overlap) & (differing <= both - 2 * overlap)
+
+
+def named(words: DataFrame, side: str) -> DataFrame:
+    return words.select("token", *[F.col(c).alias(f"{side}_{c}") for c in words.columns if c != "token"])
+
+
+def to_leaders(words: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (a, b): each set with the earliest set of each of its words."""
+    cells = F.struct("order", "set_no", "size", "at", "parity", "upper")
+    first = words.groupBy("token").agg(F.min(cells).alias("x"), F.count("*").alias("n")).filter("n > 1").select("token", "x.*")
+    met = named(words, "y").join(named(first, "x").hint("merge"), "token")
+    return met.filter(fits(threshold)).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
+
+
+def among_open(words: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (a, b) of which the later one is not settled: y is as large as x or larger, so x needs its short prefix only."""
+    open_ = words.join(settled.withColumn("done", F.lit(True)), "set_no", "left").withColumn("open", F.col("done").isNull()).drop("done")
+    smaller = named(open_.filter("at < short").drop("short"), "x")
+    met = named(open_.drop("short"), "y").join(smaller.hint("merge"), "token")
+    later = (F.col("x_open") & (F.col("x_order") >= F.col("y_order"))) | (F.col("y_open") & (F.col("y_order") >= F.col("x_order")))
+    return met.filter((F.col("x_size") <= F.col("y_size")) & later & fits(threshold)).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
 
 
 def in_passes(words: DataFrame, of, name: str) -> list[DataFrame]:
@@ -124,12 +148,8 @@ def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
     sets = materialize(distinct_lines(lines(rows)), "sets", **{"parquet.dictionary.page.size": str(1 << 23)})
     words = materialize(prefixes(sets, rarity(sets), threshold), "words")
 
-    def to_leaders(part: DataFrame) -> DataFrame:
-        first = part.groupBy("token").agg(F.min(F.struct("order", "set_no", "size", "sketch", "at")).alias("x"), F.count("*").alias("n"))
-        return pairs(part, first.filter("n > 1").select("token", "x.*"), threshold)
-
-    settled = verified(in_passes(words, to_leaders, "led"), sets, threshold)
-    rest = in_passes(words, lambda part: pairs(part.join(settled, "set_no", "left_anti"), part, threshold), "pairs")
+    settled = verified(in_passes(words, lambda part: to_leaders(part, threshold), "led"), sets, threshold)
+    rest = in_passes(words, lambda part: among_open(part, settled, threshold), "pairs")
     discard(words)
     gone = settled.unionByName(verified(rest, sets, threshold)).distinct()
     return sets.join(gone, "set_no", "left_anti").select("row_id", "line_no")
