@@ -3,8 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entityspark.functions.text import blank
-from entityspark.functions.values import CITY_BOXES
+from entityspark.functions.text import blank, let, one_space
+from entityspark.functions.values import CITY_ALIASES, CITY_BOXES, CITY_HINTS, CONTOUR, CONTOUR_BOX
 
 EARTH_KM = 6371.0088
 
@@ -21,7 +21,9 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 
 def city_of(lat: Column, lon: Column, boxes: list[tuple] = CITY_BOXES) -> Column:
     """The first box that holds the point, else empty."""
-    return F.coalesce(*[F.when(lat.between(a, b) & lon.between(c, d), F.lit(n)) for n, a, b, c, d in boxes], F.lit(""))
+    table = F.array(*[F.struct(F.lit(n).alias("n"), *[F.lit(float(v)).alias(k) for k, v in zip("abcd", box, strict=True)]) for n, *box in boxes])
+    holds = lambda p: F.filter(table, lambda x: p["lat"].between(x["a"], x["b"]) & p["lon"].between(x["c"], x["d"]))
+    return F.coalesce(let(F.struct(lat.alias("lat"), lon.alias("lon")), lambda p: F.get(holds(p), F.lit(0))["n"]), F.lit(""))
 
 
 def inside(lat: Column, lon: Column, polygon: list[tuple[float, float]]) -> Column:
@@ -33,6 +35,26 @@ def inside(lat: Column, lon: Column, polygon: list[tuple[float, float]]) -> Colu
     return crossings % 2 == 1
 
 
+def in_contour(lat: Column, lon: Column) -> Column:
+    """Whether a point lies on the peninsula; false where there is none."""
+    south, north, west, east = CONTOUR_BOX
+    within = lambda p: F.coalesce((p["lat"].between(south, north) & p["lon"].between(west, east)) | inside(p["lat"], p["lon"], CONTOUR), F.lit(False))
+    return let(F.struct(lat.alias("lat"), lon.alias("lon")), within)
+
+
+def city_name(c: Column) -> Column:
+    """Known spellings of a city as one; others stay."""
+    bare = one_space(c)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in CITY_ALIASES.items() for x in kv]), F.lower(bare)), bare)
+
+
+def hinted_city(c: Column, fold_case: bool = True) -> Column:
+    """The first known city that a text holds; null for none."""
+    hints = F.array(*map(F.lit, CITY_HINTS))
+    known = (lambda x: F.filter(hints, lambda h: F.lower(x).contains(F.lower(h)))) if fold_case else (lambda x: F.filter(hints, lambda h: x.contains(h)))
+    return let(c, lambda x: F.get(known(x), F.lit(0)))
+
+
 def cells(lat: Column, lon: Column) -> Column:
     """The hundredth-degree cell of a point and its eight neighbours."""
     near = F.sequence(F.lit(-1), F.lit(1))

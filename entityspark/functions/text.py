@@ -11,6 +11,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def let(value: Column, of) -> Column:
+    """``of(value)``, with the value computed once however often it occurs there."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def one_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(blank(c), r"[\s\x{00A0}]+", " "))
 
@@ -36,9 +41,15 @@ def normal_address(c: Column) -> Column:
 
 
 def house_number(address: Column) -> Column:
-    """The last word of a normal address that is a number, with a letter or not; empty where there is none."""
-    words = F.filter(F.split(address, " "), lambda w: w.rlike("^[0-9]+[a-zа-я]?$"))
-    return F.coalesce(F.try_element_at(words, F.lit(-1)), F.lit(""))
+    """The last number of a normal address, with a letter or not; empty where there is none. A number right behind
+    another belongs to that one (a flat, a building), so of a run of numbers every second is passed over."""
+    start = F.struct(F.lit("").alias("house"), F.lit(True).alias("free"))
+
+    def step(found: Column, word: Column) -> Column:
+        is_house = word.rlike("^[0-9]+[a-zа-я]?$") & found["free"]
+        return F.struct(F.when(is_house, word).otherwise(found["house"]).alias("house"), (~is_house).alias("free"))
+
+    return F.aggregate(F.split(blank(address), " "), start, step, lambda found: found["house"])
 
 
 def flags(c: Column) -> Column:
@@ -52,11 +63,12 @@ def union_flags(*lists: Column) -> Column:
 
 def safe_cell(c: Column) -> Column:
     """A cell that a spreadsheet would run as a formula gets an apostrophe."""
-    return F.when(F.ltrim(blank(c)).rlike(r"^[=+\-@]") | blank(c).rlike(r"^[\t\r]"), F.concat(F.lit("'"), c)).otherwise(blank(c))
+    return F.when(blank(c).rlike(r"^(?U)\s*[=+\-@]"), F.concat(F.lit("'"), c)).otherwise(blank(c))
 
 
 def restored_cell(c: Column) -> Column:
-    return F.when(blank(c).rlike(r"^'[=+\-@\t\r]"), F.substring(c, 2, 1 << 30)).otherwise(blank(c))
+    """A cell as it was before ``safe_cell``."""
+    return F.when(blank(c).rlike(r"^'(?U)\s*[=+\-@]"), F.substring(c, 2, 1 << 30)).otherwise(blank(c))
 
 
 def shortened(c: Column, most: int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from entityspark.functions import contact, geo, text, values, web
-from entityspark.operators import golden, resolve
+from entityspark.operators import golden, identity, resolve
 from entityspark.streaming import state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,32 +102,12 @@ def q_email_extract(spark, d):
     return table(spark, d, "documents").filter(F.col("text").contains("@")).select("doc_id", F.array_join(e, "|").alias("emails"))
 
 
-RAW_EMAILS = "CASE c_custkey % 12 WHEN 0 THEN 'info@mail.ru' WHEN 1 THEN 'a@gmial.com' WHEN 2 THEN 'x@sub.vk.com' WHEN 3 THEN 'no at sign' WHEN 4 THEN 'user@firm.ru' WHEN 5 THEN 'logo@2x.png' WHEN 6 THEN 'q@best-casino.ru' WHEN 7 THEN 'b@corp.mail.ru' WHEN 8 THEN 'ivan@mail.ru' WHEN 9 THEN 'c@mydomain.example.com' WHEN 10 THEN '0123456789abcdef0123456789abcdef@firm.ru' ELSE concat('Office', CAST(c_custkey AS STRING), '@Firm.ru') END"
-
-
-@query(f"""SELECT c_custkey, CASE c_custkey % 12 WHEN 0 THEN 'provider_service_address' WHEN 1 THEN 'provider_typo' WHEN 2 THEN 'platform_or_authority' WHEN 3 THEN 'invalid_syntax'
-  WHEN 4 THEN 'placeholder' WHEN 5 THEN 'invalid_tld' WHEN 6 THEN 'spam_domain' WHEN 7 THEN 'provider_subdomain' WHEN 8 THEN '' WHEN 9 THEN 'placeholder' WHEN 10 THEN 'hex_token' ELSE '' END AS verdict,
-  CASE c_custkey % 12 WHEN 0 THEN 'free' WHEN 8 THEN 'free' WHEN 11 THEN 'same' WHEN 4 THEN 'same' WHEN 10 THEN 'same' ELSE 'foreign' END AS relation FROM customer""")
-def q_email_gate(spark, d):
-    """Why an address is rejected, and how it relates to the site firm.ru."""
-    e = table(spark, d, "customer").selectExpr("c_custkey", f"{RAW_EMAILS} AS e")
-    return e.select("c_custkey", contact.email_verdict(F.col("e"), F.lit("firm.ru")).alias("verdict"), contact.email_relation(F.lower("e"), F.lit("firm.ru")).alias("relation"))
-
-
 @query(f"SELECT page_id, {HOST.format('url')} AS host, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS origin FROM pages")
 def q_host_of(spark, d):
     """Hosts and origins."""
     return table(spark, d, "pages").select("page_id", web.host_of(F.col("url")).alias("host"), web.origin(F.col("url")).alias("origin"))
 
 
-@query(f"""WITH h AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'm.vk.com' WHEN 1 THEN 'shop.wildberries.ru' WHEN 2 THEN 'notvk.com' ELSE {HOST.format('url')} END AS host FROM pages)
-SELECT page_id, page_id % 4 IN (0, 1) AS shared FROM h""")
-def q_shared_host(spark, d):
-    """A host is listed itself or below a listed one."""
-    u = F.when(F.col("page_id") % 4 == 0, "https://m.vk.com/x").when(F.col("page_id") % 4 == 1, "shop.wildberries.ru").when(F.col("page_id") % 4 == 2, "notvk.com/a").otherwise(F.col("url"))
-    return table(spark, d, "pages").select("page_id", web.is_foreign_site(u).alias("shared"))
-
-
 @query(r"""SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href="([^"#]+)', 1))) AS link FROM pages""")
 def q_links(spark, d):
     """Distinct link targets of a page."""
@@ -166,27 +146,6 @@ def q_formula_neutralize(spark, d):
 
 # --- taxonomy, geography, identity -------------------------------------------------------------------------------------
 
-#: Aliases of segments in order; the longest that a text holds names it, of equal length the first.
-ALIASES = [("steel", "stroitelstvo"), ("polished", "remont"), ("tin", "metall"), ("copper", "metall"), ("standard", "obychnoe"), ("brushed", "remont"), ("economy", "obychnoe"), ("large", "krupnoe"), ("small", "melkoe")]
-
-
-@query("WITH a(alias, key, n) AS (VALUES " + ", ".join(f"('{a}', '{k}', {i})" for i, (a, k) in enumerate(ALIASES)) + """), m AS (
-  SELECT p_partkey, key, row_number() OVER (PARTITION BY p_partkey ORDER BY length(alias) DESC, n) AS r FROM part JOIN a ON contains(lower(p_type || ' ' || p_name), alias))
-SELECT p.p_partkey, coalesce(m.key, 'прочее') AS segment FROM part p LEFT JOIN m ON m.p_partkey = p.p_partkey AND r = 1""")
-def q_segment_longest_alias(spark, d):
-    """The longest alias decides; the taxonomy is data, ordered once."""
-    full = F.lower(F.concat_ws(" ", "p_type", "p_name"))
-    ordered = sorted(ALIASES, key=lambda x: -len(x[0]))
-    return table(spark, d, "part").select("p_partkey", F.coalesce(*[F.when(full.contains(a), F.lit(k)) for a, k in ordered], F.lit("прочее")).alias("segment"))
-
-
-@query(r"""WITH f AS (SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(?:^|[^\p{L}\p{N}_])(?:goldenrod|lace|the)(?:[^\p{L}\p{N}_]|$)') THEN ['excluded_chain'] ELSE [] END
- || CASE WHEN regexp_matches(lower(p_type), 'brass|nickel') THEN ['excluded_gov'] ELSE [] END AS f FROM part) SELECT p_partkey, array_to_string(list_sort(f), '|') AS flags FROM f""")
-def q_exclusion_flags(spark, d):
-    """Brands as whole words in names, kinds anywhere."""
-    brand = F.col("p_name").rlike(r"(?:^|[^\p{L}\p{N}_])(?:goldenrod|lace|the)(?:[^\p{L}\p{N}_]|$)")
-    f = F.filter(F.array(F.when(brand, F.lit("excluded_chain")), F.when(F.lower("p_type").rlike("brass|nickel"), F.lit("excluded_gov"))), lambda x: x.isNotNull())
-    return table(spark, d, "part").select("p_partkey", F.array_join(F.array_sort(f), "|").alias("flags"))
 
 
 @query(WITH_OBS + " SELECT row_idx, coalesce(" + ", ".join(f"CASE WHEN latitude BETWEEN {a}::DOUBLE AND {b}::DOUBLE AND longitude BETWEEN {c}::DOUBLE AND {e}::DOUBLE THEN '{n}' END" for n, a, b, c, e in values.CITY_BOXES) + ", '') AS city FROM obs")
@@ -195,16 +154,6 @@ def q_bbox_city(spark, d):
     return obs(spark, d).select("row_idx", geo.city_of(F.col("latitude"), F.col("longitude")).alias("city"))
 
 
-POLYGON = [(44.3, 33.3), (45.4, 33.6), (45.2, 34.9), (44.6, 34.2), (44.4, 34.6)]
-EDGES = list(zip(POLYGON, POLYGON[1:] + POLYGON[:1], strict=True))
-
-
-@query(WITH_OBS + " SELECT row_idx, (" + " + ".join(f"(({a}::DOUBLE > latitude) <> ({c}::DOUBLE > latitude) AND longitude < {e - b!r}::DOUBLE * (latitude - {a}::DOUBLE) / {c - a!r}::DOUBLE + {b}::DOUBLE)::INT" for (a, b), (c, e) in EDGES) + ") % 2 = 1 AS inside FROM obs")
-def q_point_in_polygon(spark, d):
-    """Even-odd rule."""
-    return obs(spark, d).select("row_idx", geo.inside(F.col("latitude"), F.col("longitude"), POLYGON).alias("inside"))
-
-
 @query(WITH_OBS + """ SELECT a.row_idx AS l, b.row_idx AS r, round(12742.0176::DOUBLE * asin(least(1.0::DOUBLE, sqrt(pow(sin(radians(b.latitude - a.latitude) / 2), 2)
   + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2)))), 6) AS km FROM obs a JOIN obs b ON a.cluster = b.cluster AND a.row_idx < b.row_idx""")
 def q_haversine_pairs(spark, d):
@@ -215,12 +164,6 @@ def q_haversine_pairs(spark, d):
     return a.join(b, F.col("a_cluster") == F.col("b_cluster")).filter("a_row_idx < b_row_idx").select(F.col("a_row_idx").alias("l"), F.col("b_row_idx").alias("r"), F.round(km, 6).alias("km"))
 
 
-@query(WITH_OBS + " SELECT row_idx, 'obs_' || sha256('source-id|' || lower(source) || '|' || source_id)[1:24] AS id FROM obs")
-def q_observation_id(spark, d):
-    """Identity of a sighting by its source."""
-    return obs(spark, d).select("row_idx", F.concat(F.lit("obs_"), F.substring(F.sha2(F.concat_ws("|", F.lit("source-id"), F.lower("source"), "source_id"), 256), 1, 24)).alias("id"))
-
-
 # --- entity resolution -------------------------------------------------------------------------------------------------
 
 N_NAME, N_CITY, N_ADDRESS = NORMAL.format("name"), f"regexp_replace({NORMAL.format('city')}, '^(?:г|город|пгт|поселок|село) ', '')", f"regexp_replace({NORMAL.format('address')}, '^улица', 'ул')"
@@ -282,7 +225,7 @@ ANCHOR_SQL = "NOT (source = 'VK' AND contains(quality_flags, 'vk_noise_primary')
 
 @query(WITH_OBS + f""" SELECT cluster, bool_or({ANCHOR_SQL}) AS anchored, count(*) AS n_rows, string_agg(DISTINCT source, '|' ORDER BY source) AS sources,
   printf('%.2f', coalesce(max(CASE WHEN {ANCHOR_SQL} THEN confidence END), 0)) AS confidence, min(first_seen) AS first_seen, max(last_seen) AS last_seen,
-  'ent_' || sha256(string_agg(DISTINCT observation_id, '|' ORDER BY observation_id))[1:24] AS entity_id FROM obs GROUP BY cluster""")
+  'ent_' || sha256(string_agg('source-id|' || lower(source) || '|' || source_id, '|' ORDER BY 'source-id|' || lower(source) || '|' || source_id))[1:24] AS entity_id FROM obs GROUP BY cluster""")
 def q_golden(spark, d):
     """Golden records, their sources, confidence, sightings and ids."""
     return golden.golden(obs(spark, d)).select("cluster", "anchored", "n_rows", "sources", "confidence", "first_seen", "last_seen", "entity_id")
@@ -291,7 +234,7 @@ def q_golden(spark, d):
 PRIO_SQL = "CASE source WHEN 'Я.Карты' THEN 50 WHEN 'OSM' THEN 40 WHEN 'VK' THEN 30 ELSE 20 END"
 
 
-@query(WITH_OBS + f""", r AS (SELECT cluster, email, row_number() OVER (PARTITION BY cluster ORDER BY {PRIO_SQL} DESC, last_seen DESC, length(email) DESC, row_idx) AS n FROM obs WHERE email <> '')
+@query(WITH_OBS + f""", r AS (SELECT cluster, email, row_number() OVER (PARTITION BY cluster ORDER BY split_part(email, '@', 2) = {HOST.format('website')} DESC, {PRIO_SQL} DESC, last_seen DESC, length(email) DESC, row_idx) AS n FROM obs WHERE email <> '')
 SELECT c.cluster, coalesce(email, '') AS email FROM (SELECT DISTINCT cluster FROM obs) c LEFT JOIN r ON r.cluster = c.cluster AND n = 1""")
 def q_best_value(spark, d):
     """The best address of a cluster."""
@@ -302,7 +245,7 @@ def q_best_value(spark, d):
 SELECT c.cluster, coalesce(string_agg(x.v, ' | ' ORDER BY x.i), '') AS all_phones FROM (SELECT DISTINCT cluster FROM obs) c LEFT JOIN f USING (cluster) GROUP BY c.cluster""")
 def q_contact_union(spark, d):
     """E5: distinct phones in order, the first spelling kept."""
-    return obs(spark, d).groupBy("cluster").agg(golden.united("phone", contact.phone_digits(F.col("phone"))).alias("all_phones"))
+    return identity.complete(obs(spark, d)).groupBy("cluster").agg(golden.united("phone").alias("all_phones"))
 
 
 @query(WITH_OBS + """, f AS (SELECT cluster, trim(unnest(string_split(lower(quality_flags), '|'))) AS f FROM obs)
@@ -376,17 +319,6 @@ def q_budget_cumulative(spark, d):
     return table(spark, d, "events").withColumn("used", used).filter("used <= 5").select("event_id")
 
 
-@query("""WITH e AS (SELECT user_id % 20 AS run, event_id, event_type, row_number() OVER (PARTITION BY user_id % 20 ORDER BY ts, event_id) AS seq FROM events),
-w AS (SELECT *, avg((event_type = 'error')::INT) OVER p AS ratio, count(*) OVER p AS n FROM e WINDOW p AS (PARTITION BY run ORDER BY seq ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
-SELECT run, min(seq) AS tripped_at FROM w WHERE n >= 10 AND ratio >= 0.4 GROUP BY run""")
-def q_circuit_breaker(spark, d):
-    """F2, K7: the first place where too many of the last 20 failed."""
-    e = table(spark, d, "events").select((F.col("user_id") % 20).alias("run"), "event_id", "event_type", "ts")
-    e = e.withColumn("seq", F.row_number().over(W.partitionBy("run").orderBy("ts", "event_id")).cast("long"))
-    w = W.partitionBy("run").orderBy("seq").rowsBetween(-19, 0)
-    return e.select("run", "seq", F.avg((F.col("event_type") == "error").cast("int")).over(w).alias("ratio"), F.count("*").over(w).alias("n")).filter("n >= 10 and ratio >= 0.4").groupBy("run").agg(F.min("seq").alias("tripped_at"))
-
-
 @query("""WITH e AS (SELECT user_id, event_id, event_type = 'error' AS bad, sum((event_type <> 'error')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events)
 SELECT user_id, max(n)::BIGINT AS longest FROM (SELECT user_id, island, sum(bad::INT) AS n FROM e GROUP BY user_id, island) GROUP BY user_id""")
 def q_consecutive_run(spark, d):
@@ -425,60 +357,6 @@ def q_cross_base_anti(spark, d):
     return o.join(x, "email", "left_anti").join(h, "host", "left_anti").select("row_idx")
 
 
-REASON_SQL = """CASE WHEN trim(name) = '' THEN 'missing_name' WHEN row_idx % 17 = 0 THEN 'excluded_chain' WHEN client_type NOT IN ('avto', 'medicina', 'turizm') THEN 'no_segment'
-  WHEN email = '' THEN 'missing_or_invalid_email' WHEN contains(quality_flags, 'vk_noise_primary') THEN 'hard_quality_flag' WHEN confidence < 0.6 THEN 'low_confidence' ELSE '' END"""
-
-
-@query(WITH_OBS + f" SELECT row_idx, {REASON_SQL} AS reason FROM obs")
-def q_review_reason(spark, d):
-    """The first reason that holds a row back."""
-    return obs(spark, d).select("row_idx", review_reason().alias("reason"))
-
-
-def review_reason():
-    flags = text.flags(F.col("quality_flags"))
-    return F.coalesce(
-        F.when(F.trim("name") == "", "missing_name"), F.when(F.col("row_idx") % 17 == 0, "excluded_chain"), F.when(~F.col("client_type").isin("avto", "medicina", "turizm"), "no_segment"), F.when(F.col("email") == "", "missing_or_invalid_email"),
-        F.when(F.arrays_overlap(flags, F.array(*map(F.lit, values.QUARANTINE_FLAGS))), "hard_quality_flag"), F.when(F.col("confidence") < 0.6, "low_confidence"), F.lit(""),
-    )
-
-
-@query(WITH_OBS + f""", c AS (SELECT *, (phone <> '')::INT + (email <> '')::INT + (website <> '')::INT + (address <> '')::INT AS n FROM obs WHERE {REASON_SQL} = '')
-SELECT row_idx, row_number() OVER (PARTITION BY email ORDER BY confidence DESC, n DESC, row_idx) > 1 AS duplicate_email FROM c""")
-def q_top1_per_email(spark, d):
-    """Of rows with one address the surest and fullest is ready."""
-    c = obs(spark, d).filter(review_reason() == "").withColumn("n", text.completeness(F.col("phone"), F.col("email"), F.col("website"), F.col("address")))
-    return c.select("row_idx", (F.row_number().over(W.partitionBy("email").orderBy(F.col("confidence").desc(), F.col("n").desc(), "row_idx")) > 1).alias("duplicate_email"))
-
-
-@query(WITH_OBS + """, c AS (SELECT DISTINCT 'firm' || page_id || '.ru' AS host FROM pages)
-SELECT row_idx, CASE WHEN website = '' THEN 'no_website' WHEN c.host IS NULL THEN 'not_checked' ELSE 'no_mobile' END AS signals FROM obs LEFT JOIN c ON c.host = regexp_extract(lower(website), 'www\\.([^/]+)', 1)""")
-def q_signal_join(spark, d):
-    """What is known about a row's site, if it has one."""
-    c = table(spark, d, "pages").select(F.concat(F.lit("firm"), F.col("page_id").cast("string"), F.lit(".ru")).alias("host")).distinct().withColumn("known", F.lit(True))
-    o = obs(spark, d).withColumn("host", web.host_of(F.col("website"))).join(c, "host", "left")
-    return o.select("row_idx", F.when(F.col("website") == "", "no_website").when(F.col("known").isNull(), "not_checked").otherwise("no_mobile").alias("signals"))
-
-
-KINDS = "CASE page_id % {0} WHEN 0 THEN 'ok' WHEN 1 THEN 'unreachable' WHEN 2 THEN 'blocked' WHEN 3 THEN 'unstable' ELSE 'unknown' END"
-
-
-@query(f"""WITH a AS (SELECT page_id, {KINDS.format(5)} AS https, {KINDS.format(7)} AS http FROM pages) SELECT page_id, CASE WHEN https = 'ok' THEN 'ok' WHEN http = 'ok' THEN 'no_https'
-  WHEN https = 'blocked' OR http = 'blocked' THEN 'blocked' WHEN https = 'unknown' OR http = 'unknown' THEN 'unknown' ELSE 'dead' END AS verdict FROM a""")
-def q_probe_verdict(spark, d):
-    """One verdict from both schemes."""
-    return table(spark, d, "pages").selectExpr("page_id", f"{KINDS.format(5)} AS a", f"{KINDS.format(7)} AS b").select("page_id", web.probe_verdict(F.col("a"), F.col("b")).alias("verdict"))
-
-
-@query("""WITH b AS (SELECT user_id % 40 AS batch, count(*) AS n, avg((event_type = 'error')::INT) AS dead FROM events GROUP BY 1)
-SELECT event_id, event_type = 'error' AND NOT (n >= 10 AND dead >= 0.21) AS stored FROM events JOIN b ON batch = user_id % 40""")
-def q_outage_suppress(spark, d):
-    """Dead verdicts aren't stored where nearly all of a batch is dead."""
-    e = table(spark, d, "events").withColumn("batch", F.col("user_id") % 40)
-    b = e.groupBy("batch").agg(F.count("*").alias("n"), F.avg((F.col("event_type") == "error").cast("int")).alias("dead"))
-    return e.join(b, "batch").select("event_id", ((F.col("event_type") == "error") & ~((F.col("n") >= 10) & (F.col("dead") >= 0.21))).alias("stored"))
-
-
 # --- reports and sets --------------------------------------------------------------------------------------------------
 
 
@@ -519,13 +397,6 @@ def q_except_intersect(spark, d):
     return n.join(s, "k", "left").join(c, "k", "left").select("k", F.col("a").isNotNull().alias("has_supplier"), F.col("b").isNull().alias("not_rich"))
 
 
-@query(r"""WITH t AS (SELECT event_id, regexp_extract(props, '"k":\s*([0-9]+)', 1)::INT AS k FROM events) SELECT event_id, CASE WHEN k % 2 = 0 THEN 'even' WHEN k % 3 = 0 THEN 'third' ELSE 'none' END AS tag FROM t""")
-def q_tag_first_match(spark, d):
-    """Tags from JSON, the first rule that fits."""
-    k = F.from_json("props", "k int")["k"]
-    return table(spark, d, "events").select("event_id", F.when(k % 2 == 0, "even").when(k % 3 == 0, "third").otherwise("none").alias("tag"))
-
-
 @query(f"""SELECT {HOST.format('url')} AS host, count(*) AS pages, sum(len(list_distinct(regexp_extract_all(html, 'href="([^"#]+)', 1))))::BIGINT AS links, max(regexp_extract(html, '<title>([^<]*)', 1)) AS title FROM pages GROUP BY 1""")
 def q_site_overview(spark, d):
     """The flagship: hosts with their pages, links and a title in one scan and one shuffle."""

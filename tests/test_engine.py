@@ -22,7 +22,7 @@ def test_text(spark):
     assert one(spark, text.normal_text, ["  Кафе «Ёлка», №1 ", "a_b-c", None, " x y"]) == ["кафе елка 1", "a_b c", "", "x y"]
     assert one(spark, text.normal_city, ["г. Ялта", "пгт Форос", "Городок"]) == ["ялта", "форос", "городок"]
     assert one(spark, text.normal_address, ["Улица Ленина, д. 5а", "проспект Мира 3"]) == ["ул ленина д 5а", "пр мира 3"]
-    assert one(spark, text.house_number, ["ул ленина 5а", "ул 1 мая 7", "нет"]) == ["5а", "7", ""]
+    assert one(spark, text.house_number, ["ул ленина 5а", "ул 1 мая 7", "нет", "ленина 5 7", "5 7 9", None]) == ["5а", "7", "", "5", "9", ""]
     assert one(spark, text.flags, ["B | a|b", None, ""]) == [["a", "b"], [], []]
     assert one(spark, text.safe_cell, ["=1+1", " -2", "@x", "ok", None]) == ["'=1+1", "' -2", "'@x", "ok", ""]
     assert one(spark, text.restored_cell, ["'=1+1", "'ok", "+7"]) == ["=1+1", "'ok", "+7"]
@@ -53,12 +53,15 @@ def test_web(spark):
     assert one(spark, web.host_of, ["https://WWW.Firm.ru:80/x?y", "firm.ru.", "user@host.org/a", "", None]) == ["firm.ru", "firm.ru", "host.org", "", ""]
     assert one(spark, web.is_foreign_site, ["m.vk.com/x", "https://shop.ozon.ru", "notvk.com", ""]) == [True, True, False, False]
     assert one(spark, web.org_id, ["https://maps/org/name/123456789/", "/org/12345/"]) == ["123456789", ""]
-    assert one(spark, web.clean_site, ["firm.ru/?utm=1", "http://a.ru/b/ extra", "nosite"]) == ["https://firm.ru", "http://a.ru/b", ""]
+    assert one(spark, web.clean_site, ["firm.ru/?utm=1", "http://a.ru/b/ extra", "nosite", "", None]) == ["https://firm.ru", "http://a.ru/b", "https://nosite", "", ""]
     assert one(spark, web.title, ["<h1>A <b>B</b>  C</h1>", "<title>Page name</title>", "<h1>x</h1>"]) == ["A B C", "Page name", ""]
     page = "<meta name='viewport'> tilda.ws © 2019-2020 <b>"
     assert one(spark, lambda c: web.signals(c, F.lit(True), 2026), [page, "<meta name=viewport> запись онлайн © 2026"]) == [["no_online_booking", "site_builder", "outdated"], []]
     assert one(spark, lambda c: web.pitch(F.split(c, ",")), ["outdated,no_mobile", "none"]) == ["Адаптив/редизайн", "Автоматизация/боты/CRM"]
-    assert one(spark, web.probe_verdict, [("ok", None), ("error", "ok"), ("blocked", "error"), ("unknown", "error"), ("unstable", "unreachable")]) == ["ok", "no_https", "blocked", "unknown", "dead"]
+    found = one(spark, web.probe_verdict, [("ok", None), ("error", "ok"), ("blocked", "error"), ("unknown", "error"), ("unstable", "unreachable"), ("unknown", "ok"), ("error", "blocked")])
+    assert [(x["status"], x["no_https"]) for x in found] == [("ok", False), ("ok", True), ("blocked", False), ("unknown", False), ("dead", False), ("ok", False), ("blocked", False)]
+    years = ["© 2010–2026", "&copy; 2001 - 2022", "copyright 2024", "© 2010"]
+    assert one(spark, lambda c: F.array_contains(web.signals(c, F.lit(False), 2026), "outdated"), years) == [False, True, False, True]
 
 
 def test_geo(spark):
@@ -112,7 +115,7 @@ def test_weak_rows_fill_and_are_flagged(spark):
     ], GOLDEN)
     one_, two = golden.golden(rows).orderBy("cluster").collect()
     assert (one_["name"], one_["city"], one_["phone"], one_["email"], one_["confidence"], one_["sources"]) == ("Лотос", "Крым", "89781112233", "x@lotos.ru", "0.95", "OSM|VK")
-    assert one_["quality_flags"] == "manual_review|vk_weak_email_donor|vk_weak_phone_donor" and one_["anchored"] and not two["anchored"] and two["name"] == "Один"
+    assert one_["quality_flags"] == "manual_review|vk_weak_contact_donor|vk_weak_email_donor|vk_weak_observation_linked|vk_weak_phone_donor" and one_["anchored"] and not two["anchored"] and two["name"] == "Один"
     assert golden.provenance(rows).filter("cluster = 1 and field = 'name'").count() == 2
 
 
@@ -131,7 +134,7 @@ def test_state_and_stream(spark, tmp_path):
 
 def test_sources(spark, tmp_path):
     (tmp_path / "osm.json").write_text('{"elements": [{"type": "node", "id": 1, "lat": 44.5, "lon": 34.1, "tags": {"name": "A", "phone": "1"}}, {"type": "way", "id": 2, "center": {"lat": 1.0, "lon": 2.0}, "tags": {"operator": "B"}}, {"type": "node", "id": 3, "lat": 1.0, "lon": 1.0, "tags": {}}]}')
-    assert [(r["source_id"], r["name"]) for r in readers.osm(spark, str(tmp_path / "osm.json")).orderBy("source_id").collect()] == [("node:1", "A"), ("way:2", "B")]
+    assert [(r["source_id"], r["name"]) for r in readers.osm(spark, str(tmp_path / "osm.json")).orderBy("source_id").collect()] == [("node:1", "A")]  # the other lies off the peninsula
     rows = spark.createDataFrame([("=x", 'say "hi"\nthere'), ("", "b;c")], "a string, b string")
     readers.write_result_csv(rows, str(tmp_path / "csv"))
     assert sorted(map(tuple, readers.result_csv(spark, str(tmp_path / "csv")).collect())) == [("", "b;c"), ("=x", 'say "hi"\nthere')]
