@@ -32,7 +32,7 @@ BITS = 50
 #: Sets of more words have a parity sketch of 128 bits instead of 64.
 LARGE = 64
 #: Passes over the words of the prefixes.
-PASSES = 3
+PASSES = 6
 ORDER = ("last", "doc_id", "row_id", "line_no")
 
 
@@ -73,7 +73,8 @@ def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
     """
 
     def ranked(w: Column) -> Column:
-        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")))
+        # Without nulls Spark sorts the numbers as they are, not as objects.
+        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.coalesce(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")), F.lit(0).cast("long")))
 
     def flipped(one) -> Column:
         return F.aggregate("codes", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
