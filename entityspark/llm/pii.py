@@ -3,8 +3,9 @@
 Entities are found by one regular expression. Each gets a replacement that a secret key and the entity's normal form
 decide, so that the same entity has the same surrogate everywhere, written in the way of each mention. A surrogate is
 of the same type: digits stand for digits and letters for letters, card numbers keep brand, length and whether their
-check digit is right, phone numbers their country code, mail addresses come to lie below example.com, and names keep
-gender and script.
+check digit is right, account numbers get right check digits, phone numbers keep their country code, mail addresses come
+to lie below example.com, and names keep gender and script. A family name has one surrogate, with a given name, behind a
+title or both, so that a short mention still goes with the long one; given names are drawn for the whole name.
 
 Replacements are drawn by hash, so two entities could draw the same, or one that is another entity of the corpus. All
 distinct entities are checked against each other, and those that clash draw again until none does; names, mail addresses
@@ -30,10 +31,10 @@ TITLES = {
 }
 #: Given names by script and gender: found in texts, and drawn for surrogates.
 GIVEN = {
-    ("latin", "male"): "James John Robert Michael William David Thomas Daniel Peter Paul Hans Klaus Jürgen Pierre Jean Luis Carlos Miguel".split(),
-    ("latin", "female"): "Mary Anna Linda Susan Laura Emma Julia Maria Sophie Claire Ingrid Petra Ursula Marie Carmen Lucía Elena Isabel".split(),
-    ("cyrillic", "male"): "Иван Пётр Сергей Алексей Дмитрий Николай Михаил Андрей".split(),
-    ("cyrillic", "female"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана".split(),
+    ("latin", "male"): "James John Robert Michael William David Thomas Daniel Peter Paul Hans Klaus Jürgen Pierre Jean Luis Carlos Miguel Richard Joseph Charles Mark Steven Andrew George Kevin Brian Jonas Felix Stefan Andreas Wolfgang Louis Antoine Jacques Juan José Pedro Javier Ivan Sergei Dmitri Hiroshi Kenji Ahmed Mohammed Omar Giovanni Marco Luca Rajesh Wei".split(),
+    ("latin", "female"): "Mary Anna Linda Susan Laura Emma Julia Maria Sophie Claire Ingrid Petra Ursula Marie Carmen Lucía Elena Isabel Patricia Jennifer Elizabeth Barbara Sarah Karen Nancy Sandra Ashley Emily Katharina Sabine Monika Heike Camille Chloé Nathalie Sofía Ana Olga Natalia Tatiana Yuki Sakura Fatima Aisha Giulia Chiara Francesca Priya Mei".split(),
+    ("cyrillic", "male"): "Иван Пётр Сергей Алексей Дмитрий Николай Михаил Андрей Александр Владимир Евгений Павел Максим Олег Игорь Юрий".split(),
+    ("cyrillic", "female"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Людмила Юлия Галина Вера Дарья Оксана Надежда".split(),
 }
 SYLLABLES = {"latin": "bar den fel gor hal kim lor men nor pas ril sol tam ver wen zor".split(), "cyrillic": "бар ден фел гор хал ким лор мен нор пас рил сол там вер вен зор".split()}
 
@@ -41,22 +42,33 @@ SYLLABLES = {"latin": "bar den fel gor hal kim lor men nor pas ril sol tam ver w
 TWO_DIGITS = "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 
 _all = [n for names in GIVEN.values() for n in names]
-_titles = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
+
+
+
+def alternatives(words: list[str]) -> str:
+    """A pattern for any of the words, grouped by their first letters: at most places one look decides."""
+    groups: dict[str, list[str]] = {}
+    for w in sorted(set(words), key=lambda w: (-len(w), w)):
+        groups.setdefault(w[0], []).append(w[1:])
+    return "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in groups.items())
+
+
+_titles, _given = alternatives([t for ts in TITLES.values() for t in ts]), alternatives(_all)
 #: Type and pattern, the first that matches a text's place wins.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"(?<=[=\"' ])(?=[0-9]{0,127}[a-f])[0-9a-f]{16,128}(?=[\"' \n,.;]|$)",
+    "secret": r"(?<![^\s=:\"'(\[,;>])(?=[0-9]*+[a-f])[0-9a-f]{16,}+(?![^\s\"')\],.;<])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])",
-    "name": rf"(?<!\p{{L}})(?:(?:{_titles})\.? \p{{Lu}}[\p{{Ll}}]+(?: \p{{Lu}}[\p{{Ll}}]+)?|(?:{'|'.join(_all)}) \p{{Lu}}[\p{{Ll}}]+)(?!\p{{L}})",
+    "name": rf"(?<!\p{{L}})(?:(?:{_titles})\.? \p{{Lu}}[\p{{Ll}}]+(?: \p{{Lu}}[\p{{Ll}}]+)?|(?:{_given}) \p{{Lu}}[\p{{Ll}}]+)(?!\p{{L}})",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Texts without any of these hold no entity.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_titles}|{'|'.join(_all)})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_titles}|{_given})\.? \p{{Lu}}|[a-f]{{16}}"
 
 
 def either(choices: list[tuple[Column, Column]], otherwise: Column) -> Column:
@@ -70,7 +82,7 @@ def let(value: Column, of) -> Column:
 
 def kind_of(e: Column) -> Column:
     return either([(e.rlike(f"^(?:{p})$"), F.lit(k)) for k, p in PATTERNS.items() if k not in ("secret", "ip", "ssn", "card", "phone", "email")] + [
-        (e.contains("@"), F.lit("email")), (e.rlike(r"^[0-9a-f]{16,128}$") & e.rlike("[a-f]"), F.lit("secret")), (e.rlike(r"^\d+(\.\d+){3}$"), F.lit("ip")), (e.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.lit("ssn")), (e.rlike(r"^[+(]"), F.lit("phone"))], F.lit("card"))
+        (e.contains("@"), F.lit("email")), (e.rlike(r"^[0-9a-f]{16,}$") & e.rlike("[a-f]"), F.lit("secret")), (e.rlike(r"^\d+(\.\d+){3}$"), F.lit("ip")), (e.rlike(r"^\d{3}-\d{2}-\d{4}$"), F.lit("ssn")), (e.rlike(r"^[+(]"), F.lit("phone"))], F.lit("card"))
 
 
 def bare_name(e: Column) -> Column:
@@ -97,15 +109,33 @@ def letter(n: Column, alphabet: str) -> Column:
     return F.substring(F.lit(alphabet), n + 1, F.lit(1))
 
 
-def same_format(e: Column, hexes: Column, keep: int = 0, hexadecimal: bool = False) -> Column:
+def same_format(e: Column, hexes: Column, keep: int = 0) -> Column:
     """Another character of its class for each behind the first ``keep``. Marks stay and take no draw, so that mentions in
     different formats get the same letters and digits."""
+    low = "abcdefghijklmnopqrstuvwxyz"
+
     def other(c: Column, k: Column) -> Column:
-        low = "0123456789abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz"
-        digit = letter(number(hexes, k, 16), low) if hexadecimal else letter(number(hexes, k, 10), "0123456789")
-        return either([(k < keep, c), (c.rlike("[0-9]"), digit), (c.rlike("[a-z]"), letter(number(hexes, k, len(low)), low)), (c.rlike("[A-Z]"), letter(number(hexes, k, 26), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))], c)
+        return either([(k < keep, c), (c.rlike("[0-9]"), letter(number(hexes, k, 10), "0123456789")), (c.rlike("[a-z]"), letter(number(hexes, k, 26), low)), (c.rlike("[A-Z]"), letter(number(hexes, k, 26), low.upper()))], c)
+
+    return spread(e, other)
 
-    return spread(e, lambda c, k: other(c, k))
+
+def hex_stream(e: Column, hexes: Column) -> Column:
+    """As many hexadecimal digits as a secret has, however long it is."""
+    blocks = F.sequence(F.lit(1), F.ceil(F.length(e) / 64).cast("int"))
+    return F.substring(F.array_join(F.transform(blocks, lambda k: F.sha2(F.concat_ws("|", F.substring(hexes, 1, 128), k.cast("string")), 256)), ""), F.lit(1), F.length(e))
+
+
+def iban(e: Column, form: Column, hexes: Column) -> Column:
+    """Keeps the country; the account is drawn from the normal form, and the check digits are right for it."""
+
+    def checked(drawn: Column) -> Column:
+        digits = F.split(F.concat(F.substring(drawn, F.lit(5), F.lit(40)), F.substring(drawn, F.lit(1), F.lit(2)), F.lit("00")), "(?<=.)(?=.)")
+        value = lambda c: F.when(c.rlike("[0-9]"), c.try_cast("int")).otherwise(F.ascii(c) - 55)
+        rest = F.aggregate(digits, F.lit(0), lambda a, c: F.pmod(a * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c), F.lit(97)))
+        return F.concat(F.substring(drawn, F.lit(1), F.lit(2)), F.lpad((F.lit(98) - rest).cast("string"), 2, "0"), F.substring(drawn, F.lit(5), F.lit(40)))
+
+    return let(let(same_format(form, hexes, keep=2), checked), lambda whole: spread(e, lambda c, k: F.substring(whole, k + 1, F.lit(1))))
 
 
 def spread(e: Column, of) -> Column:
@@ -182,33 +212,64 @@ def given_female(form: Column) -> Column:
     return F.substring_index(form, " ", 1).isin([n.lower() for (_, g), names in GIVEN.items() if g == "female" for n in names])
 
 
-def name(e: Column, form: Column, hexes: Column, attempt: Column, female: Column) -> Column:
-    """Title, gender and script stay; a family name is drawn of four syllables, and one more for each further draw."""
-    title = F.regexp_extract(e, rf"^(?:{_titles})\.? ", 0)
-    script = F.when(form.rlike("\\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    female = F.coalesce(female, given_female(form))
-    syllable = lambda s, n: F.get(F.array(*map(F.lit, SYLLABLES[s])), F.pmod(n, F.lit(16)))
-    family = lambda s: F.initcap(F.concat(*[syllable(s, number(hexes, F.lit(k), 16)) for k in range(1, 5)], more(hexes, attempt, lambda n: syllable(s, n))))
-    given = lambda s, g: F.get(F.array(*map(F.lit, GIVEN[s, g])), number(hexes, F.lit(0), len(GIVEN[s, g])))
-    with_given = form.contains(" ")
-    drawn = either([((script == s) & (female == (g == "female")), F.when(with_given, F.concat(given(s, g), F.lit(" "), family(s))).otherwise(family(s))) for s, g in GIVEN], family("latin"))
-    return F.concat(title, drawn)
+def family_of(form: Column) -> Column:
+    return F.substring_index(form, " ", -1)
+
+
+def script_of(form: Column) -> Column:
+    return F.when(form.rlike("\\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+
+
+def syllable(script: Column, n: Column) -> Column:
+    latin, cyrillic = (F.get(F.array(*map(F.lit, SYLLABLES[s])), F.pmod(n, F.lit(16))) for s in ("latin", "cyrillic"))
+    return F.when(script == "cyrillic", cyrillic).otherwise(latin)
+
+
+def family_name(form: Column, hexes: Column, attempt: Column) -> Column:
+    """Four syllables in the script of the name, and one more for each further draw."""
+    s = script_of(form)
+    return F.initcap(F.concat(*[syllable(s, number(hexes, F.lit(k), 16)) for k in range(1, 5)], more(hexes, attempt, lambda n: syllable(s, n))))
+
+
+def given_name(form: Column, hexes: Column, attempt: Column, female: Column) -> Column:
+    """A given name of the same gender and script; further draws add syllables to it."""
+    s, female = script_of(form), F.coalesce(female, given_female(form))
+    of = lambda key: F.get(F.array(*map(F.lit, GIVEN[key])), number(hexes, F.lit(0), len(GIVEN[key])))
+    drawn = either([((s == script) & (female == (g == "female")), of((script, g))) for script, g in GIVEN], of(("latin", "male")))
+    return F.concat(drawn, F.when(attempt > 0, F.concat(F.lit("-"), F.initcap(more(hexes, attempt, lambda n: syllable(s, n))))).otherwise(""))
 
 
 def ip(hexes: Column) -> Column:
     return F.concat_ws(".", *[(number(hexes, F.lit(k), 223 if k == 0 else 254) + 1).cast("string") for k in range(4)])
 
 
-def surrogate(kind: Column, e: Column, form: Column, attempt: Column, female: Column, secret: str) -> Column:
-    """``female``: null where the given name tells the gender."""
+def surrogate(kind: Column, e: Column, form: Column, attempt: Column, secret: str) -> Column:
+    """Of any entity but a name."""
 
     def drawn(hexes: Column) -> Column:
-        return either([(kind == "email", email(e, hexes, attempt, secret)), (kind == "phone", phone(e, form, hexes, attempt)), (kind == "card", card(e, hexes)), (kind == "ip", ip(hexes)), (kind == "name", name(e, form, hexes, attempt, female)),
-            (kind == "key", same_format(e, hexes, keep=4)), (kind == "secret", same_format(e, hexes, hexadecimal=True)), (kind == "iban", same_format(e, hexes, keep=2))], same_format(e, hexes))
+        return either([(kind == "email", email(e, hexes, attempt, secret)), (kind == "phone", phone(e, form, hexes, attempt)), (kind == "card", card(e, hexes)), (kind == "ip", ip(hexes)),
+            (kind == "key", same_format(e, hexes, keep=4)), (kind == "secret", hex_stream(e, hexes)), (kind == "iban", iban(e, form, hexes))], same_format(e, hexes))
 
     return let(draws(secret, kind, form, attempt), drawn)
 
 
+def named(e: Column, form: Column, family_attempt: Column, attempt: Column, female: Column, secret: str) -> Column:
+    """Of a name: its title, the given name drawn for the whole name, the family name drawn for the family."""
+    family = let(draws(secret, F.lit("family"), family_of(form), family_attempt), lambda h: family_name(family_of(form), h, family_attempt))
+    given = let(draws(secret, F.lit("name"), form, attempt), lambda h: given_name(form, h, attempt, female))
+    return F.concat(F.regexp_extract(e, rf"^(?:{_titles})\.? ", 0), F.when(form.contains(" "), F.concat(given, F.lit(" "))).otherwise(""), family)
+
+
+def claimed(kind: Column, e: Column, form: Column, attempt: Column, female: Column, secret: str) -> Column:
+    """What a draw takes from others: of a given name, that name within the family."""
+    hexes = draws(secret, kind, form, attempt)
+    return (
+        F.when(kind == "family", F.lower(let(hexes, lambda h: family_name(form, h, attempt))))
+        .when(kind == "name", F.concat(F.lower(let(hexes, lambda h: given_name(form, h, attempt, female))), F.lit(" "), family_of(form)))
+        .otherwise(let(surrogate(kind, e, form, attempt, secret), lambda s: normal(kind, s)))
+    )
+
+
 def entities(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(row_id, doc_id, parts, found): the text around the entities, and the entities with kind and normal form."""
     body = F.col(f"`{text}`")
@@ -219,13 +280,13 @@ def entities(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return columns(docs, doc_id, text).select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{doc_id}`").alias("doc_id"), parts.alias("parts"), typed.alias("found"))
 
 
-def clashing(known: DataFrame, secret: str, rounds: int = 50) -> DataFrame:
+def clashing(known: DataFrame, secret: str, rounds: int = 200) -> DataFrame:
     """(kind, form, attempt, female) of the entities that can't have their first draw, or whose titles tell the gender.
     ``known``: kind, form, e, female, one row an entity."""
     spark, assigned = known.sparkSession, materialize(known.withColumn("attempt", F.lit(0)), "draws")
     taken = known.select("kind", F.col("form").alias("out"), F.lit(True).alias("real"))
     for _ in range(rounds):
-        drawn = assigned.withColumn("out", let(surrogate(F.col("kind"), F.col("e"), F.col("form"), F.col("attempt"), F.col("female"), secret), lambda s: normal(F.col("kind"), s)))
+        drawn = assigned.withColumn("out", claimed(F.col("kind"), F.col("e"), F.col("form"), F.col("attempt"), F.col("female"), secret))
         # Of equal draws the entity with the fewest draws and the least form keeps it, and none keeps a real entity.
         first = drawn.groupBy("kind", "out").agg(F.min(F.struct(-F.col("attempt"), F.col("form"))).alias("least"), F.count("*").alias("n"))
         held = first.join(taken, ["kind", "out"], "left").filter("n > 1 or real").select("kind", "out", "least", F.coalesce("real", F.lit(False)).alias("real"))
@@ -246,18 +307,25 @@ def replace(docs: DataFrame, secret: str, text: str = "text", doc_id: str = "doc
     further columns are ignored.
     """
     rows = materialize(entities(docs, text, doc_id), "entities")
-    mentions = rows.select("row_id", F.explode("found").alias("x")).select("row_id", "x.*")
+    # A name counts as its family, and with a given name as the whole name too.
+    one = lambda x, kind, form: F.struct(kind.alias("kind"), form.alias("form"), x["e"].alias("e"))
+    roles = lambda x: F.when(x["kind"] != "name", F.array(one(x, x["kind"], x["form"]))).when(x["form"].contains(" "), F.array(one(x, F.lit("family"), family_of(x["form"])), one(x, F.lit("name"), x["form"]))).otherwise(F.array(one(x, F.lit("family"), x["form"])))
+    mentions = rows.select("row_id", F.explode(F.flatten(F.transform("found", roles))).alias("x")).select("row_id", "x.*")
     # Most of a name's titles decide its gender in all its mentions.
     titles = F.sum(F.when(F.col("kind") == "name", title_gender(F.col("e"))).otherwise(0))
     known = mentions.groupBy("kind", "form").agg(F.min("e").alias("e"), titles.alias("titles"))
-    known = known.select("kind", "form", "e", F.when((F.col("titles") != 0) & F.col("form").contains(" ") & ((F.col("titles") > 0) != given_female(F.col("form"))), F.col("titles") > 0).alias("female"))
+    known = known.select("kind", "form", "e", F.when((F.col("titles") != 0) & (F.col("kind") == "name") & ((F.col("titles") > 0) != given_female(F.col("form"))), F.col("titles") > 0).alias("female"))
     redrawn = clashing(materialize(known, "known"), secret)
     key = lambda k, f: F.concat_ws(":", k, f)
     # Few rows: the entities that drew again or have another gender, in the documents that mention them.
     tries = mentions.join(redrawn, ["kind", "form"]).select("row_id", key("kind", "form").alias("k"), F.struct("attempt", "female").alias("x")).distinct().groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "x"))).alias("tries"))
     joined = rows.join(tries, "row_id", "left")
-    other = lambda x: F.get(F.map_values(F.map_filter("tries", lambda k, v: k == key(x["kind"], x["form"]))), F.lit(0))
-    place = lambda x, o: surrogate(x["kind"], x["e"], x["form"], F.coalesce(o["attempt"], F.lit(0)), o["female"], secret)
-    written = F.transform("found", lambda x: let(F.when(F.col("tries").isNotNull(), other(x)), lambda o: place(x, o)))
+    found = lambda k, f: F.when(F.col("tries").isNotNull(), F.get(F.map_values(F.map_filter("tries", lambda x, v: x == key(k, f))), F.lit(0)))
+    attempt = lambda o: F.coalesce(o["attempt"], F.lit(0))
+
+    def place(x: Column) -> Column:
+        as_name = let(F.struct(found(F.lit("family"), family_of(x["form"])).alias("f"), found(F.lit("name"), x["form"]).alias("n")), lambda o: named(x["e"], x["form"], attempt(o["f"]), attempt(o["n"]), o["n"]["female"], secret))
+        return F.when(x["kind"] == "name", as_name).otherwise(let(found(x["kind"], x["form"]), lambda o: surrogate(x["kind"], x["e"], x["form"], attempt(o), secret)))
+
     whole = F.array_join(F.flatten(F.transform(F.arrays_zip(F.col("parts").alias("p"), F.concat("written", F.array(F.lit(""))).alias("s")), lambda x: F.array(x["p"], x["s"]))), "")
-    return joined.withColumn("written", written).select("doc_id", F.size("found").alias("n_entities"), F.when(F.col("parts").isNotNull(), whole).alias("text"))
+    return joined.withColumn("written", F.transform("found", place)).select("doc_id", F.size("found").alias("n_entities"), F.when(F.col("parts").isNotNull(), whole).alias("text"))

@@ -86,3 +86,36 @@ def test_same_secret_same_surrogates(spark, found):
 
 def test_empty_table(spark):
     assert pii.replace(empty(spark), "k").collect() == []
+
+
+def test_short_and_long_mentions_of_a_name_go_together(spark):
+    texts = ["Dr Müller. Hans Müller, Frau Müller; Klaus Müller", "Olga Petrova met Hiroshi Tanaka, Mr Tanaka left"]
+    one, two = (r["text"] for r in sorted(pii.replace(documents(spark, texts), "k").collect(), key=lambda r: r["doc_id"]))
+    a, given, b, c, other, d = re.fullmatch(r"Dr (\w+)\. ([\w-]+) (\w+), Frau (\w+); ([\w-]+) (\w+)", one).groups()
+    assert a == b == c == d != "Müller" and given != other and given.split("-")[0] in pii.GIVEN["latin", "male"]
+    x, y = re.fullmatch(r"[\w-]+ \w+ met [\w-]+ (\w+), Mr (\w+) left", two).groups()
+    assert x == y != "Tanaka"
+
+
+def test_accounts_have_right_check_digits_and_secrets_any_length(spark):
+    texts = ["DE89 3704 0044 0532 0130 00, GB29NWBK60161331926819.", "0641917ea4e9feb9cda83477b57ac265", "k=" + "a1b2c3d4" * 2000 + "\n0641917ea4e9feb9cda83477b57ac265", "0641917ea4e9feb9cda83477b57ac265zz"]
+    out = [r["text"] for r in sorted(pii.replace(documents(spark, texts), "k").collect(), key=lambda r: r["doc_id"])]
+    for account in re.findall(r"[A-Z]{2}\d\d[A-Z0-9 ]+\d", out[0]):
+        bare = account.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+    assert out[0][:2] == "DE" and re.search(", GB..[A-Z]{4}", out[0]) and re.fullmatch("[0-9a-f]{32}", out[1]) and out[1] != texts[1]
+    secret, again = out[2].split("\n")
+    assert len(secret) == 16002 and secret[2:18] != texts[2][2:18] and again == out[1] and out[3] == texts[3]
+
+
+def test_many_families_and_given_names_keep_apart(spark):
+    letters = "abcdefghij"
+    families = [f"K{a}{b}{c}{d}n" for a in letters for b in letters for c in letters for d in "ae"]
+    texts = [f"Mr {f}" for f in families] + [f"{g} Smith" for names in pii.GIVEN.values() for g in names if g.isascii()]
+    out = [r["text"] for r in pii.replace(documents(spark, texts).repartition(4), "k").collect()]
+    assert len(set(out)) == len(set(texts)) and not set(out) & set(texts)
+
+
+def test_nulls_and_repeated_ids(spark):
+    rows = pii.replace(documents(spark, ["a@b.org", "a@b.org", None, "Mr Smith"], [None, None, 3, 3]), "k").collect()
+    assert len(rows) == 4 and len({r["text"] for r in rows if r["doc_id"] is None}) == 1 and sum(r["text"] is None for r in rows) == 1
