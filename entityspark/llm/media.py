@@ -2,7 +2,10 @@
 
 mu-law and A-law samples are expanded by 256-entry tables that are computed from the companding rules. ADPCM blocks
 depend on nothing outside themselves, so the decoder runs over the sample positions of a block and, at each, over all
-blocks of a batch at once with numpy. Resampling is linear, by a whole factor.
+blocks of a batch at once with numpy. Resampling is linear, by a whole factor, and keeps the samples that were there.
+
+Sound and resampled PCM are larger than the texts. ``archived`` therefore takes the rows in slices: it writes the files
+and PCM of one to the shared folder, reads them back, keeps what describes them, and removes them before the next.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityspark.llm.common import columns, slices, text_or_empty, utf8
+from entityspark.llm.common import columns, discard, materialize, slices, text_or_empty, utf8
 
 #: WAVE format tags.
 FORMATS = {"mulaw": 7, "alaw": 6, "adpcm": 17}
@@ -139,56 +142,79 @@ def store(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rate: int
     return rows.mapInArrow(write, f"doc_id {kind}, n_bytes long, media binary")
 
 
+def expanded(files: list[bytes | None], rate: int) -> list[bytes | None]:
+    """Resampled 16-bit PCM of each file; null for null or broken files. All files of a codec are decoded together."""
+    parts: list = []
+    for x in files:
+        try:
+            parts.append(opened(x or b""))
+        except ValueError:
+            parts.append(None)
+    out: list[bytes | None] = [None] * len(parts)
+    for codec in FORMATS:
+        own = [k for k, p in enumerate(parts) if p and p[0] == codec]
+        if not own:
+            continue
+        sound = decoded(codec, memoryview(b"".join(parts[k][2] for k in own)))
+        at = 0
+        for k in own:
+            n = len(parts[k][2]) // (BLOCK + 4) * 2 * BLOCK if codec == "adpcm" else len(parts[k][2])
+            out[k] = resampled(sound[at : at + n], max(1, rate // parts[k][1])).astype("<i2").tobytes()
+            at += n
+    return out
+
+
 def expand(media: DataFrame, column: str = "media", rate: int = 16000) -> DataFrame:
-    """The other columns, with pcm (binary, 16-bit little-endian at ``rate``) instead of the files. Null or broken files give null."""
-    keep = [f for f in media.schema.fields if f.name != column]
+    """All columns, with pcm (binary, 16-bit little-endian at ``rate``) beside the files. Null or broken files give null; a
+    column named pcm is replaced. An empty table gives an empty result."""
+    keep = [f for f in media.schema.fields if f.name != "pcm"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                out = []
-                for x in part.column(part.schema.get_field_index(column)):
-                    try:
-                        codec, own, data = opened(x.as_py() or b"")
-                        out.append(resampled(decoded(codec, data), max(1, rate // own)).astype("<i2").tobytes())
-                    except ValueError:
-                        out.append(None)
-                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(f.name)) for f in keep), pa.array(out, pa.binary())], names=[*(f.name for f in keep), "pcm"])
+            for part in slices(iter([batch]), column, 1 << 21):
+                own = part.column(part.schema.get_field_index(column))
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(f.name)) for f in keep), pa.array(expanded(own.to_pylist(), rate), pa.binary())], names=[*(f.name for f in keep), "pcm"])
 
-    return media.mapInArrow(run, f"{schema}, pcm binary")
+    return media.select(*[f"`{f.name}`" for f in keep]).mapInArrow(run, f"{schema}, pcm binary")
 
 
-def describe(media: DataFrame, column: str = "media", rate: int = 16000) -> DataFrame:
-    """Read the stored files and describe payload and sound: the doc_id and n_bytes columns, and those of op7's contract."""
+def describe(stored: DataFrame, rate: int = 16000) -> DataFrame:
+    """Describe files and PCM as they are read (doc_id, n_bytes, media, pcm at ``rate``): doc_id, n_bytes, and the payload and
+    sound of op7's contract. The sound at its own rate is every so manieth sample of the PCM."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column, 1 << 21):
-            files = batch.column(batch.schema.get_field_index(column)).to_pylist()
-            parts = [opened(x) for x in files]
-            pcm: list = [None] * len(parts)
-            for codec in FORMATS:  # all files of a codec are decoded together
-                own = [k for k, p in enumerate(parts) if p[0] == codec]
-                if own:
-                    sound = decoded(codec, memoryview(b"".join(parts[k][2] for k in own)))
-                    per = 2 * BLOCK / (BLOCK + 4) if codec == "adpcm" else 1
-                    at = 0
-                    for k in own:
-                        n = round(len(parts[k][2]) * per)
-                        pcm[k] = sound[at : at + n]
-                        at += n
+        for batch in slices(batches, "media", 1 << 21):
             rows = []
-            for media_file, (codec, own, data), sound in zip(files, parts, pcm, strict=True):
+            for media_file, pcm in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                codec, own, data = opened(media_file)
                 payload = payload_of(codec, data)
-                wide = resampled(sound, max(1, rate // own)).astype("<i2")
-                power = int(np.dot(sound.astype(np.float64), sound)) // len(sound)
+                sound = np.frombuffer(pcm, "<i2")[:: max(1, rate // own)]
+                wide = sound.astype(np.int64)
                 turns = int(np.count_nonzero((sound[1:] < 0) != (sound[:-1] < 0)))
                 rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media_file), hashlib.sha256(media_file).hexdigest(),
-                    f"{codec} samples={len(sound)} power={power} peak={int(np.abs(sound.astype(np.int32)).max())} turns={turns} pcm{rate}={zlib.crc32(wide):08x}"))
+                    f"{codec} samples={len(sound)} power={int(wide @ wide) // len(sound)} peak={int(np.abs(wide).max())} turns={turns} pcm{rate}={zlib.crc32(pcm):08x}"))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds))], names=["doc_id", "n_bytes", *names])
 
-    kind = media.schema["doc_id"].dataType.simpleString()
-    return media.select("doc_id", "n_bytes", column).mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    kind = stored.schema["doc_id"].dataType.simpleString()
+    return stored.select("doc_id", "n_bytes", "media", "pcm").mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+
+def archived(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rate: int = 16000, parts: int = 8) -> DataFrame:
+    """Store all texts as sound with their PCM, slice by slice, and describe what is read back: one row a text.
+
+    Texts fall into slices by their hash, so equal texts stand in one. Null texts count as empty; rows with one doc_id, or
+    none, are rows of their own; an empty table gives an empty result; further columns are ignored. A very long text is
+    one file.
+    """
+    # A bounded number of slices, each with files of its own.
+    slice_of = F.pmod(F.xxhash64(text_or_empty(text)), F.lit(parts))
+    found = None
+    for k in range(parts):
+        stored = materialize(expand(store(docs.filter(slice_of == k), text, doc_id), rate=rate), "sound")
+        told = materialize(describe(stored, rate), "described")
+        discard(stored)
+        found = told if found is None else found.unionByName(told)
+    return found

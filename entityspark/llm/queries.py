@@ -71,7 +71,7 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as telephony sound, stored and read back."""
-    return media.describe(media.store(table(spark, sf_dir, "documents")))
+    return media.archived(table(spark, sf_dir, "documents"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

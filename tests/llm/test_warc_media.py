@@ -1,5 +1,6 @@
 import hashlib
 import io
+import random
 import zlib
 
 import numpy as np
@@ -84,7 +85,8 @@ def test_media_is_lossless(spark):
     texts = [None, "", "abc", "é" * 64, "long " * 30000, "abc"]
     df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, media string")
     stored = media.store(df)
-    rows = {r["doc_id"]: r for r in media.describe(stored).collect()}
+    rows = {r["doc_id"]: r for r in media.describe(media.expand(stored)).collect()}
+    assert sorted(map(str, media.archived(df.withColumnRenamed("media", "pcm"), parts=3).collect())) == sorted(map(str, rows.values()))
     for k, t in enumerate(texts):
         data = (t or "").encode()
         payload = data + bytes(max(64, -(-len(data) // 64) * 64) - len(data))
@@ -93,6 +95,27 @@ def test_media_is_lossless(spark):
     assert rows[2]["feature"] == rows[5]["feature"] and rows[2]["media_sha256"] == rows[5]["media_sha256"] and rows[0]["media_sha256"] == rows[1]["media_sha256"]
     wide = media.expand(stored).collect()
     assert all(len(r["pcm"]) % 4 == 0 and len(r["pcm"]) >= 256 for r in wide)
-    assert media.describe(media.store(empty(spark))).collect() == []
+    assert media.archived(empty(spark), parts=2).collect() == []
     broken = spark.createDataFrame([(1, b"RIFF"), (2, None)], "doc_id long, media binary")
     assert [r["pcm"] for r in media.expand(broken).collect()] == [None, None]
+
+
+def test_features_match_a_plain_count(spark):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abc xyz.\n") for _ in range(rnd.randint(0, 500))) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    files = {r["doc_id"]: r["media"] for r in media.store(df).collect()}
+    tables = {"mulaw": media.mulaw_table().tolist(), "alaw": media.alaw_table().tolist()}
+    for r in media.archived(df, parts=2).collect():
+        codec, _, data = media.opened(files[r["doc_id"]])
+        if codec == "adpcm":
+            sound = [x for k in range(0, len(data), 68) for x in plain_adpcm(bytes(data[k : k + 68]))]
+        else:
+            sound = [tables[codec][b] for b in data]
+        wide = []
+        for k, x in enumerate(sound):
+            ahead = sound[k + 1] if k + 1 < len(sound) else x
+            wide += [x, (x + ahead) // 2]
+        turns = sum((a < 0) != (b < 0) for a, b in zip(sound, sound[1:], strict=False))
+        crc = zlib.crc32(b"".join(x.to_bytes(2, "little", signed=True) for x in wide))
+        assert r["feature"] == f"{codec} samples={len(sound)} power={sum(x * x for x in sound) // len(sound)} peak={max(map(abs, sound))} turns={turns} pcm16000={crc:08x}"
