@@ -6,7 +6,11 @@ fingerprint at that one's own half. Where two or more meet, they emit the varian
 what meets there is verified by the bits that were flipped: everything around a middle is linked to the one that owns
 it, so a group of any size needs as many links as members, and no pairs are listed.
 
-Links are between distinct fingerprints: copies cost nothing. Components are found by large and small stars.
+Links are between distinct fingerprints: copies cost nothing. Each is verified by the bits in which they differ.
+Components are found by large and small stars.
+
+Halves have 32 bits: up to some ten million distinct fingerprints few meet by chance, with n of them about n * n / 65
+million rows do. They are refined in the other half, so links stay right, but work grows with the square from there on.
 """
 
 from __future__ import annotations
@@ -101,7 +105,9 @@ def links(fps: DataFrame) -> DataFrame:
     around = near.unionByName(far).select("h", "key", "fp", "at", F.col("other").bitwiseXOR(F.col("m")).alias("mid"))
     middles = around.groupBy("h", "key", "mid").agg(F.min(F.when(F.col("at"), F.col("fp"))).alias("to"), F.count("*").alias("n")).filter("to is not null and n > 1").drop("n")
     close = around.join(middles.hint("merge"), ["h", "key", "mid"]).select("fp", "to")
-    return close.unionByName(equal).filter("fp <> to").distinct()
+    # Every link is verified on the fingerprints themselves.
+    verified = F.bit_count(F.col("fp").bitwiseXOR(F.col("to"))).between(1, 3)
+    return close.unionByName(equal).filter(verified).distinct()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -142,10 +148,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3) -> DataFrame:
     """The rows, all their columns as they were, that stand for a component: of each the one with the smallest doc_id.
 
-    Null doc_ids come last; of rows with one doc_id the first read stays.
+    Null doc_ids come last; of rows with one doc_id the first read stays. Null and empty texts are one group. An empty table
+    gives an empty result; any further columns stay, whatever their names.
     """
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("__row"), *[F.col(f"`{n}`") for n in docs.columns]), "rows")
-    found = near_duplicates(rows, text, "__row", shingle).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
-    order = F.struct(F.col(f"`{doc_id}`").isNull(), F.col(f"`{doc_id}`"), F.col("__row").alias("row"))
-    stay = rows.select("__row", F.col(f"`{doc_id}`")).join(found, "__row").groupBy("__group").agg(F.min(order).alias("first")).select(F.col("first.row").alias("__row"))
-    return rows.join(stay, "__row", "left_semi").drop("__row")
+    # The caller's columns lie in a struct of their own, so no name can clash.
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("own")), "rows")
+    found = near_duplicates(rows.select("row", "text"), "text", "row", shingle).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    stay = rows.select("row", "id").join(found, "row").groupBy("group").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(stay, "row", "left_semi").select(*[F.col(f"own.`{n}`").alias(n) for n in docs.columns])
