@@ -114,10 +114,13 @@ def mix(docs: DataFrame, domain: Column, weights: list[dict[str, float]], target
 
 
 def mixed_rows(docs: DataFrame, domain: Column, weights: list[dict[str, float]], target: float, epochs: int = 1, seed: int = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows themselves, all their columns as they were, once for every time that ``mix`` takes them."""
-    levels = ["__domain", "__lang", "__source"]
-    own = docs.select("*", *[F.coalesce(c, F.lit("")).alias(n) for n, c in zip(levels, (domain, F.col("lang"), F.col("source")), strict=True)])
-    light = materialize(own.select(F.col(f"`{doc_id}`").alias("doc_id"), *levels, words(text).alias("n_tokens")), "weighed")
-    mixture = plan(light, levels, weights, target, epochs, seed)
+    """The rows themselves, all their columns as they were and whatever their names, once for every time that ``mix`` takes
+    them. An empty table gives an empty result."""
+    # The caller's columns lie in a struct of their own, so no name can clash.
+    levels = ["m_domain", "m_lang", "m_source"]
+    named = [F.coalesce(c, F.lit("")).alias(n) for n, c in zip(levels, (domain, F.col("lang"), F.col("source")), strict=True)]
     some = F.coalesce(F.col(f"`{text}`").rlike(NOT_SPACE), F.lit(False))
-    return chosen(own, mixture, levels, some, seed, f"`{doc_id}`").select(*[F.col(f"`{n}`") for n in docs.columns])
+    own = docs.select(*named, F.col(f"`{doc_id}`").alias("doc_id"), some.alias("some"), F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("own"))
+    light = materialize(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), *named, words(text).alias("n_tokens")), "weighed")
+    mixture = plan(light, levels, weights, target, epochs, seed)
+    return chosen(own, mixture, levels, F.col("some"), seed).select(*[F.col(f"own.`{n}`").alias(n) for n in docs.columns])

@@ -113,3 +113,19 @@ def brute_mixture(rows, weights, share, epochs, seed):
             rest -= n
             out[d] += bool(n) and budget % (total[leaf] or 1) > 0
     return {d: n for d, n in out.items() if n}
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    from entityspark.llm import mixing, simhash
+
+    rows = [(k, f"word{k} " * (k + 1), "en", "src3", *range(6)) for k in range(6)]
+    names = ["full", "cut", "times", "epoch", "__row", "row"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` int" for n in names))
+    mixed = mixing.mixed_rows(df, F.lit("web"), [{}, {}, {}], 1.0)
+    assert mixed.columns == df.columns and sorted(map(tuple, mixed.collect())) == sorted(map(tuple, df.collect()))
+    alone = simhash.representatives(df)
+    assert alone.columns == df.columns and {tuple(r) for r in alone.collect()} <= {tuple(r) for r in df.collect()}
+    none = df.limit(0)
+    assert mixing.mixed_rows(none, F.lit("web"), [{}, {}, {}], 1.0).collect() == [] and simhash.representatives(none).collect() == []
