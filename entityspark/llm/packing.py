@@ -2,8 +2,8 @@
 
 A document becomes pieces (only one longer than a sequence is cut), and each piece is a vector: tokens, one document,
 and its attention cost (the square of its length). A sequence has a capacity in each dimension. Pieces are taken from
-the longest on; of the open sequences in which a piece fits in every dimension, it goes to the one with the best score:
-the largest weighted dot-product of demand and residual, or the smallest weighted norm of the residual it leaves.
+the longest on; of the open sequences in which a piece fits in every dimension, it goes to the tightest: the one with the
+smallest weighted dot-product of the demand and the residual that it leaves, or the smallest weighted norm of that residual.
 
 Pieces are dealt evenly over shards, each packed by one task. A shard leaves a few sequences unfilled, whatever its
 size, so with the default of 20,000 pieces a shard that is a small part of one per cent.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from entityspark.llm.common import columns, materialize, slices, text_or_empty
 
-#: Words whose ids a task keeps.
-MOST_WORDS = 300_000
+#: Words whose ids a task keeps, and how long they may be: together they bound the memory that words take.
+MOST_WORDS, LONGEST_WORD = 300_000, 64
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ class WordIds(dict):
             ids = self[word[:-1]] + self.marks[word[-1]]
         else:
             ids = self.ids_of(" " + word)
-        if len(self) < MOST_WORDS:
+        if len(self) < MOST_WORDS and len(word) <= LONGEST_WORD:
             self[word] = ids
         return ids
 
