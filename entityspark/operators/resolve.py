@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -88,48 +89,95 @@ def matches(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(row_idx, component): the least row_idx reachable. Labels spread in rounds; each round is checkpointed."""
+    """(row_idx, component): the least row_idx reachable. Labels spread in rounds; each round is written to the cluster's
+    checkpoint folder, without one it is kept by the executors."""
+    context = nodes.sparkSession.sparkContext
+    kept: list[DataFrame] = []
+
+    def cut(df: DataFrame) -> DataFrame:
+        if context.getCheckpointDir():
+            return df.checkpoint()
+        kept.append(df.persist())
+        return kept[-1]
+
     labels = nodes.select("row_idx", F.col("row_idx").alias("component"))
-    both = edges.select("l", "r").unionByName(edges.select(F.col("r").alias("l"), F.col("l").alias("r"))).persist()
+    both = cut(edges.select("l", "r").unionByName(edges.select(F.col("r").alias("l"), F.col("l").alias("r"))))
     while True:
         near = both.join(labels, F.col("r") == F.col("row_idx")).groupBy("l").agg(F.min("component").alias("near"))
         after = labels.join(near, F.col("row_idx") == F.col("l"), "left").select("row_idx", F.least("component", F.coalesce("near", "component")).alias("component"))
         # Pointer jumping: a label's own label is nearer to the root, so long chains take few rounds.
         jump = after.select(F.col("row_idx").alias("component"), F.col("component").alias("next"))
-        after = after.join(jump, "component").select("row_idx", F.col("next").alias("component"))
-        after = after.checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else after.persist()
-        if after.join(labels.withColumnRenamed("component", "was"), "row_idx").filter("component <> was").isEmpty():
-            both.unpersist()
+        after = cut(after.join(jump, "component").select("row_idx", F.col("next").alias("component")))
+        done = after.join(labels.withColumnRenamed("component", "was"), "row_idx").filter("component <> was").isEmpty()
+        for old in kept[1:-1]:  # the round before is in the plan of this one only
+            old.unpersist()
+        del kept[1:-1]
+        if done:
             return after
         labels = after
 
 
+KM_PER_DEGREE = 111.2
+
+
+def far_apart(left: list[tuple[float, float]], right: list[tuple[float, float]]) -> bool:
+    """Whether any two points of both are over a kilometre apart."""
+    a, b = np.radians(np.array(left)), np.radians(np.array(right))
+    h = np.sin((b[None, :, 0] - a[:, None, 0]) / 2) ** 2 + np.cos(a[:, None, 0]) * np.cos(b[None, :, 0]) * np.sin((b[None, :, 1] - a[:, None, 1]) / 2) ** 2
+    return bool((2 * geo.EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(h))) > 1.0).any())
+
+
+class Group:
+    """Members of a cluster to be, with what tells branches apart: their houses and distinct points."""
+
+    def __init__(self, row: int, house: str, point: tuple[float, float] | None):
+        self.rows, self.houses, self.points = [row], {house} - {""}, {point} - {None}
+
+    def conflicts(self, other: Group) -> bool:
+        if len(self.houses | other.houses) > 1 and self.houses and other.houses:
+            return True
+        return bool(self.points and other.points and self.points != other.points and far_apart(sorted(self.points), sorted(other.points)))
+
+    def take(self, other: Group) -> None:
+        self.rows += other.rows
+        self.houses |= other.houses
+        self.points |= other.points
+
+
 def clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """(row_idx, cluster): components, with unions refused where any two members are branches in conflict.
 
-    Components without conflicting members are clusters as they are; only the others replay their unions in order.
+    Edges between rows in conflict join nothing and are left out. Components with one house at most and all points within
+    a kilometre are clusters as they are; only the others replay their unions, in the order of rows. A member is known there
+    by its house and point, so no pairs of members are made.
     """
-    placed = components(rows, edges)
-    inner = rows.join(placed, "row_idx")
-    side = lambda s: inner.select("component", *[F.col(c).alias(f"{s}_{c}") for c in ("row_idx", "lat", "lon", "address", "house")])
-    conflicts = side("l").join(side("r"), "component").filter("l_row_idx < r_row_idx").filter(branch_conflict()).select("component", F.col("l_row_idx").alias("a"), F.col("r_row_idx").alias("b"))
-    torn = conflicts.select("component").distinct()
+    about = lambda s: rows.select(*[F.col(c).alias(f"{s}_{c}") for c in ("row_idx", "lat", "lon", "address", "house")]).withColumnRenamed(f"{s}_row_idx", s)
+    usable = edges.join(about("l"), "l").join(about("r"), "r").filter(~branch_conflict()).select("l", "r")
+    if rows.sparkSession.sparkContext.getCheckpointDir():
+        usable = usable.checkpoint()
+    placed = components(rows, usable)
+    # A house is part of its address, so other houses stand at other addresses.
+    inner = rows.select("row_idx", "lat", "lon", F.when(F.col("address") != "", F.col("house")).otherwise("").alias("house")).join(placed, "row_idx")
+    wide = lambda c, scale: (F.coalesce(F.max(c) - F.min(c), F.lit(0.0)) * scale)
+    torn = inner.groupBy("component").agg(F.count_distinct(F.nullif("house", F.lit(""))).alias("houses"), (wide("lat", KM_PER_DEGREE) + wide("lon", KM_PER_DEGREE)).alias("km")).filter("houses > 1 or km > 1").select("component")
     whole = placed.join(torn, "component", "left_anti").select("row_idx", F.col("component").alias("cluster"))
 
-    def replay(key: tuple, unions: pd.DataFrame, vetoes: pd.DataFrame) -> pd.DataFrame:
-        members: dict[int, set[int]] = {}
-        against: dict[int, set[int]] = {}
-        for a, b in zip(vetoes["a"], vetoes["b"], strict=True):
-            against.setdefault(a, set()).add(b)
-            against.setdefault(b, set()).add(a)
+    def replay(key: tuple, unions: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+        groups = {}
+        for row, house, lat, lon in zip(members["row_idx"], members["house"], members["lat"], members["lon"], strict=True):
+            groups[row] = Group(row, house, None if pd.isna(lat) or pd.isna(lon) else (lat, lon))
         for a, b in sorted(zip(unions["l"], unions["r"], strict=True), key=lambda e: (e[1], e[0])):
-            x, y = members.setdefault(a, {a}), members.setdefault(b, {b})
-            if x is not y and not any(against.get(m, set()) & y for m in x):
-                x |= y
-                for m in y:
-                    members[m] = x
-        return pd.DataFrame([(m, min(group)) for m, group in members.items()], columns=["row_idx", "cluster"])
-
-    unions = edges.join(placed, F.col("l") == F.col("row_idx")).join(torn, "component", "left_semi").select("component", "l", "r")
-    split = unions.groupBy("component").cogroup(conflicts.groupBy("component")).applyInPandas(replay, "row_idx long, cluster long")
+            x, y = groups[a], groups[b]
+            if x is y or x.conflicts(y):
+                continue
+            if len(x.rows) < len(y.rows):
+                x, y = y, x
+            for m in y.rows:
+                groups[m] = x
+            x.take(y)
+        least = {id(g): min(g.rows) for g in groups.values()}
+        return pd.DataFrame([(m, least[id(g)]) for m, g in groups.items()], columns=["row_idx", "cluster"])
+
+    unions = usable.join(placed, F.col("l") == F.col("row_idx")).join(torn, "component", "left_semi").select("component", "l", "r")
+    split = unions.groupBy("component").cogroup(inner.join(torn, "component", "left_semi").groupBy("component")).applyInPandas(replay, "row_idx long, cluster long")
     return whole.unionByName(split)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from entityspark.functions import contact, geo, taxonomy, text, values, web
-from entityspark.operators import enrich, golden, identity, outreach, signals
+from entityspark.operators import enrich, golden, identity, master, outreach, signals
 from entityspark.plans.catalogue import ORACLES, QUERIES, query, table  # noqa: F401 (the queries of both modules)
 from entityspark.sources import readers, sinks
 
@@ -503,3 +503,18 @@ CELLS = ["<b>A &amp; B</b>  C", "x&nbsp;y&#64;z", "a&lt;b", "line\nbreak\ttab",
 def q_clean_cells(spark, d):
     """Cells without tags and references."""
     return table(spark, d, "part").selectExpr("p_partkey", f"{pick('p_partkey', CELLS)} AS c").select("p_partkey", identity.clean_cell(F.col("c")).alias("cell"))
+
+
+COMPANY = "CAST(c_custkey % 1500 AS STRING)"
+BRANCHES = {
+    "row_idx": "c_custkey", "source": pick("c_custkey", ["OSM", "VK", "Crawler"]), "source_id": "CAST(c_custkey AS STRING)", "name": f"md5({COMPANY})", "city": "'Ялта'",
+    "address": f"CASE WHEN c_custkey % 1500 % 3 = 0 THEN '' ELSE concat('Улица ', md5({COMPANY}), ', ', CAST(CAST(floor(c_custkey / 1500) AS BIGINT) % 2 AS STRING)) END", "phone": f"concat('8 978 ', lpad({COMPANY}, 7, '1'))",
+    "website": "''", "latitude": "''", "longitude": "''",
+}
+
+
+@query(f"""WITH b AS (SELECT c_custkey, c_custkey % 1500 AS company, CASE WHEN c_custkey % 1500 % 3 = 0 THEN -1 ELSE CAST(floor(c_custkey / 1500) AS BIGINT) % 2 END AS house FROM customer)
+SELECT c_custkey AS row_idx, min(c_custkey) OVER (PARTITION BY company, house) AS cluster FROM b""")
+def q_branch_clusters(spark, d):
+    """Rows of one phone and name are one company, but for its branches at other houses."""
+    return master.clustered(table(spark, d, "customer").selectExpr(*[f"{e} AS {n}" for n, e in BRANCHES.items()])).select("row_idx", "cluster")
