@@ -207,7 +207,8 @@ def linked_address(html: Column) -> Column:
         def place(p: str) -> Column:
             at = lambda k: F.trim(blank(F.get_json_object(block, f"{p}.{k}")))
             town = F.coalesce(F.nullif(at("addressLocality"), F.lit("")), F.nullif(at("addressRegion"), F.lit("")))
-            postal = F.when(at("['@type']").contains("PostalAddress") | at("type").contains("PostalAddress"), F.concat_ws(", ", town, F.nullif(at("streetAddress"), F.lit(""))))
+            kind = blank(F.get_json_object(block, f"{p}['@type']"))
+            postal = F.when(kind.contains("PostalAddress") | at("type").contains("PostalAddress"), F.concat_ws(", ", town, F.nullif(at("streetAddress"), F.lit(""))))
             plain = F.when((F.length(at("address")) > 8) & ~at("address").rlike(r"^[\[{]"), at("address"))
             return F.coalesce(F.nullif(postal, F.lit("")), plain)
 
