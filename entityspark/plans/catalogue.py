@@ -170,20 +170,20 @@ N_NAME, N_CITY, N_ADDRESS = NORMAL.format("name"), f"regexp_replace({NORMAL.form
 KEYS_SQL = f"""{WITH_OBS}, k AS (
   SELECT row_idx, 'source-id:' || lower(source) || ':' || source_id AS key FROM obs UNION SELECT row_idx, 'phone:' || '7' || {DIGITS.format('phone')}[2:] FROM obs WHERE phone <> ''
   UNION SELECT row_idx, 'domain:' || {HOST.format('website')} FROM obs WHERE website <> '' UNION SELECT row_idx, 'name-city:' || {N_NAME} || ':' || {N_CITY} FROM obs WHERE {N_NAME} <> '' AND {N_CITY} <> ''
-  UNION SELECT row_idx, 'address:' || {N_ADDRESS} FROM obs)"""
+  UNION SELECT row_idx, 'address:' || {N_ADDRESS} FROM obs
+  UNION SELECT row_idx, 'geo:' || (floor(latitude * 100)::BIGINT + i) || ':' || (floor(longitude * 100)::BIGINT + j) FROM obs, (SELECT unnest([-1, 0, 1]) AS i), (SELECT unnest([-1, 0, 1]) AS j))"""
 
 
 @query(KEYS_SQL + " SELECT row_idx, key FROM k")
 def q_blocking_keys(spark, d):
     """The keys of each row."""
-    return resolve.prepared(obs(spark, d)).select("row_idx", F.explode(resolve.blocking_keys(geo_cells=False)).alias("key"))
+    return resolve.prepared(obs(spark, d)).select("row_idx", F.explode(resolve.blocking_keys()).alias("key"))
 
 
-@query(KEYS_SQL + " SELECT DISTINCT a.row_idx AS l, b.row_idx AS r FROM k a JOIN k b ON a.key = b.key AND a.row_idx < b.row_idx WHERE a.key LIKE 'source-id:%' OR a.key LIKE 'phone:%'")
+@query(KEYS_SQL + " SELECT DISTINCT a.row_idx AS l, b.row_idx AS r FROM k a JOIN k b ON a.key = b.key AND a.row_idx < b.row_idx")
 def q_blocking_pairs(spark, d):
-    """Distinct pairs that share an identifier or phone."""
-    rows = resolve.prepared(obs(spark, d)).withColumns({"domain": F.lit(""), "name": F.lit(""), "address": F.lit("")})
-    return resolve.candidate_pairs(rows, geo_cells=False)
+    """Distinct pairs that share any key."""
+    return resolve.candidate_pairs(resolve.prepared(obs(spark, d)))
 
 
 @query()

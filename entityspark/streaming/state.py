@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,23 @@ def fresh(state: DataFrame, now: str, days: dict[str, int], otherwise: int) -> D
     return state.filter(F.to_timestamp("checked_at") > F.to_timestamp(F.lit(now)) - F.make_dt_interval(good))
 
 
+def run_updates(observations: DataFrame, changes: str, checkpoint: str):
+    """Keep the state of a stream in Spark's state store; each batch writes only the rows that it changed. A batch that is run
+    again writes its own rows anew."""
+    state = observations.groupBy("observation_id").agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen"), F.count("*").alias("seen_count"))
+
+    def step(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{changes}/batch={number}")
+
+    return state.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, changes: str) -> DataFrame:
+    """The state after all batches of ``run_updates``: of each observation the row of its last batch."""
+    rows = spark.read.parquet(changes)
+    return rows.groupBy("observation_id").agg(F.max_by(F.struct("first_seen", "last_seen", "seen_count"), "batch").alias("x")).select("observation_id", "x.*")
+
+
 def run_stream(observations: DataFrame, snapshots: str, checkpoint: str):
     """Keep the state of a stream of observations as numbered snapshots; a batch that is run again writes its own anew."""
 
