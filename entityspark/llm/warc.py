@@ -9,6 +9,7 @@ frame, which every Zstandard reader passes over.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -35,25 +36,6 @@ def kinds(pages: DataFrame, payload: str, key: str, least: int) -> DataFrame:
     return rows.join(groups, "digest", "left").withColumn("refers_to", refers).drop("first", "n").withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
 
 
-def trained(pages: DataFrame, payload: str, samples: int = 1000, sample_bytes: int = 65536, size: int = 65536) -> bytes:
-    """A dictionary from at most ``samples`` records of at most ``sample_bytes`` each, those with the smallest hashes; empty where they are too few."""
-    import zstandard
-
-    fit = pages.filter(F.length(payload).between(64, sample_bytes)).select(F.col(payload), F.xxhash64(payload).alias("order"))
-    # First the hashes alone: each task sends its smallest ones to the driver. Copies count once.
-    last = fit.select("order").distinct().orderBy("order").limit(samples).agg(F.max("order")).first()[0]
-    if last is None:
-        return b""
-    chosen = fit.filter(F.col("order") <= last).groupBy("order").agg(F.min(payload).alias(payload)).orderBy("order").limit(samples)
-    records = [bytes(r[0]) for r in chosen.select(payload).collect()]
-    if len(records) < 16 or sum(map(len, records)) < 16 * 1024:
-        return b""
-    try:
-        return zstandard.train_dictionary(min(size, sum(map(len, records)) // 8), records).as_bytes()
-    except zstandard.ZstdError:  # nothing in common
-        return b""
-
-
 def uri(key: object) -> str:
     return f"<urn:record:{'' if key is None else key}>"
 
@@ -71,14 +53,37 @@ def record(key: object, url: str | None, payload: bytes, size: int, digest: str,
     return "\r\n".join(["WARC/1.1", *head, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def trained(rows: DataFrame, date: str, samples: int = 1000, sample_bytes: int = 65536, size: int = 65536) -> bytes:
+    """A dictionary from at most ``samples`` records with payloads of at most ``sample_bytes`` each, those with the smallest
+    hashes; empty where they are too few. Records are taken whole, with their heads."""
+    import zstandard
+
+    fit = rows.filter(F.length("payload").between(64, sample_bytes)).select("key", "url", "payload", F.xxhash64("payload").alias("order"))
+    # First the hashes alone: each task sends its smallest ones to the driver. Copies count once.
+    last = fit.select("order").distinct().orderBy("order").limit(samples).agg(F.max("order")).first()[0]
+    if last is None:
+        return b""
+    chosen = fit.filter(F.col("order") <= last).groupBy("order").agg(F.min(F.struct("payload", "key", "url")).alias("x")).orderBy("order").limit(samples)
+    payloads = ((r["key"], r["url"], bytes(r["payload"])) for r in chosen.select("x.*").toLocalIterator())
+    archived = [record(key, url, p, len(p), hashlib.sha1(p).hexdigest(), None, date) for key, url, p in payloads]
+    if len(archived) < 16 or sum(map(len, archived)) < 16 * 1024:
+        return b""
+    try:
+        return zstandard.train_dictionary(min(size, sum(map(len, archived)) // 8), archived).as_bytes()
+    except zstandard.ZstdError:  # nothing in common
+        return b""
+
+
 def write_archives(pages: DataFrame, path: str, payload: str = "payload", key: str = "page_id", url: str = "url", least: int = 1000, level: int = 6, date: str = "2024-01-01T00:00:00Z", **training: int) -> None:
     """Write a record for each row to files below ``path``.
 
     A null payload is an empty one and a null url is left out; null keys are written as such. An empty table gives
-    files without records. A revisit needs no payload to be written, so a popular page costs its head only.
+    files without records. A revisit needs no payload to be written, so a popular page costs its head only. A task writes
+    one file; adaptive execution deals about 64 MB of pages to a task, which keeps files far below the 2 GB that a reader's
+    row can hold.
     """
     rows = columns(pages, payload, key, url).select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit(b"")).alias("payload"))
-    dictionary = trained(rows, "payload", **training)
+    dictionary = trained(rows, date, **training)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
