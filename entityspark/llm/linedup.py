@@ -33,6 +33,8 @@ BITS = 50
 LARGE = 64
 #: Passes over the words of the prefixes.
 PASSES = 6
+#: Tables of row numbers with at most so many rows (16 MB) are broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1 << 21
 ORDER = ("last", "doc_id", "row_id", "line_no")
 
 
@@ -115,13 +117,18 @@ def to_leaders(words: DataFrame, threshold: float) -> DataFrame:
 
 def among_open(words: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
     """Candidates (a, b) of which the later one is not settled: y is as large as x or larger, so x needs its short prefix only."""
-    open_ = words.join(settled.withColumn("done", F.lit(True)), "set_no", "left").withColumn("open", F.col("done").isNull()).drop("done")
+    open_ = words.join(small(settled).withColumn("done", F.lit(True)), "set_no", "left").withColumn("open", F.col("done").isNull()).drop("done")
     smaller = named(open_.filter("at < short").drop("short"), "x")
     met = named(open_.drop("short"), "y").join(smaller.hint("merge"), "token")
     later = (F.col("x_open") & (F.col("x_order") >= F.col("y_order"))) | (F.col("y_open") & (F.col("y_order") >= F.col("x_order")))
     return met.filter((F.col("x_size") <= F.col("y_size")) & later & fits(threshold)).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
 
 
+def small(numbers: DataFrame) -> DataFrame:
+    """A table of set numbers, to be broadcast if its rows, which its files' footers tell, are few enough."""
+    return F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
+
+
 def in_passes(words: DataFrame, of, name: str) -> list[DataFrame]:
     """``of`` each part of the words, one after the other, in tables."""
     return [materialize(of(words.filter(F.pmod("token", F.lit(PASSES)) == k)), name) for k in range(PASSES)]
@@ -130,9 +137,8 @@ def in_passes(words: DataFrame, of, name: str) -> list[DataFrame]:
 def verified(candidates: list[DataFrame], sets: DataFrame, threshold: float) -> DataFrame:
     """(set_no): the later one of each pair whose Jaccard similarity reaches the threshold."""
     met = reduce(DataFrame.unionByName, candidates).distinct()
-    # Plain files, so that their size tells whether Spark may broadcast them.
-    ids = materialize(met.select(F.explode(F.array("a", "b")).alias("set_no")).distinct(), "ids", compression="none")
-    one = sets.join(ids, "set_no", "left_semi").select("set_no", F.struct(*ORDER).alias("place"), "codes")
+    ids = materialize(met.select(F.explode(F.array("a", "b")).alias("set_no")).distinct(), "ids")
+    one = sets.join(small(ids), "set_no", "left_semi").select("set_no", F.struct(*ORDER).alias("place"), "codes")
     with_b = met.join(one, F.col("b") == F.col("set_no")).select("a", F.col("place").alias("b_place"), F.col("codes").alias("b_codes"), "b")
     whole = with_b.join(one, F.col("a") == F.col("set_no")).drop("set_no")
     common = F.size(F.array_intersect("codes", "b_codes"))
@@ -152,8 +158,8 @@ def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
     settled = verified(in_passes(words, lambda part: to_leaders(part, threshold), "led"), sets, threshold)
     rest = in_passes(words, lambda part: among_open(part, settled, threshold), "pairs")
     discard(words)
-    gone = settled.unionByName(verified(rest, sets, threshold)).distinct()
-    return sets.join(gone, "set_no", "left_anti").select("row_id", "line_no")
+    gone = materialize(settled.unionByName(verified(rest, sets, threshold)).distinct(), "gone")
+    return sets.join(small(gone), "set_no", "left_anti").select("row_id", "line_no")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
