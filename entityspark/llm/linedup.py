@@ -26,13 +26,13 @@ from pyspark.sql import types as T
 from entityspark.llm.common import NOT_SPACE, SPACE, discard, materialize
 
 #: Words are counted by hash in so many classes. Any order makes the join exact; rarity makes it fast.
-CLASSES = 1 << 16
+CLASSES = 1 << 14
 #: Bits of a word's hash below its class's rarity in a prefix. Where they collide, a pair more is verified.
 BITS = 50
 #: Sets of more words have a parity sketch of 128 bits instead of 64.
 LARGE = 64
 #: Passes over the words of the prefixes.
-PASSES = 6
+PASSES = 4
 #: Tables of row numbers with at most so many rows (16 MB) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1 << 21
 ORDER = ("last", "doc_id", "row_id", "line_no")
@@ -61,10 +61,10 @@ def distinct_lines(every: DataFrame) -> DataFrame:
 
 
 def rarity(sets: DataFrame) -> Column:
-    """An array: how often words of each class occur, in quarter powers of two, above the bits that a word keeps."""
+    """An array: how often words of each class occur, in quarter powers of two. It stands in the plan, so it is kept short."""
     counts = sets.select(F.explode("codes").alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(CLASSES - 1)).alias("c")).count()
     often = {r["c"]: int(4 * math.log2(r["count"])) for r in counts.collect()}  # CLASSES rows at most
-    return F.split(F.lit(",".join(str(often.get(k, 0) << BITS) for k in range(CLASSES))), ",").cast("array<long>")
+    return F.split(F.lit(",".join(str(often.get(k, 0)) for k in range(CLASSES))), ",").cast("array<int>")
 
 
 def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
@@ -76,7 +76,7 @@ def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
 
     def ranked(w: Column) -> Column:
         # Without nulls Spark sorts the numbers as they are, not as objects.
-        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.coalesce(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")), F.lit(0).cast("long")))
+        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.shiftleft(F.coalesce(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")), F.lit(0)).cast("long"), BITS))
 
     def flipped(one) -> Column:
         return F.aggregate("codes", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
@@ -162,8 +162,8 @@ def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
     return sets.join(small(gone), "set_no", "left_anti").select("row_id", "line_no")
 
 
-def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows with all columns, text without the lines that go, and the columns n_lines and n_removed.
+def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc_id: str = "doc_id", counts: bool = True) -> DataFrame:
+    """The rows with all columns, text without the lines that go, and with ``counts`` the columns n_lines and n_removed.
 
     Lines without words stay. A null text stays null and has no lines; a text may become empty. Null doc_ids come last;
     rows with one doc_id, or none, are ordered as they are read. An empty table gives an empty result. Columns named
@@ -172,7 +172,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold lies between 0 and 1")
-    names = [n for n in docs.columns if n not in ("n_lines", "n_removed")]
+    names = [n for n in docs.columns if not counts or n not in ("n_lines", "n_removed")]
     whole = F.struct(*[F.col(f"`{n}`") for n in names if n not in (text, doc_id)], F.lit(0).alias("__none"))
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), whole.alias("row")), "rows")
     kept = kept_lines(rows.drop("row"), threshold).groupBy("row_id").agg(F.collect_list("line_no").alias("stay"))
@@ -184,4 +184,5 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, text: str = "text", doc
 
     found = rows.join(kept, "row_id", "left").select("doc_id", "row", "text", F.size(F.coalesce(F.split("text", "\n"), F.array())).alias("n_lines"), F.when(F.col("text").isNotNull(), let(known, parts)).alias("parts"))
     out = {doc_id: F.col("doc_id"), text: F.array_join("parts", "\n")}
-    return found.select(*[out.get(n, F.col(f"row.`{n}`")).alias(n) for n in names], "n_lines", (F.col("n_lines") - F.size(F.coalesce("parts", F.array()))).alias("n_removed"))
+    numbers = ["n_lines", (F.col("n_lines") - F.size(F.coalesce("parts", F.array()))).alias("n_removed")] if counts else []
+    return found.select(*[out.get(n, F.col(f"row.`{n}`")).alias(n) for n in names], *numbers)

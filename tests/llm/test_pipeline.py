@@ -129,3 +129,20 @@ def test_stages_keep_columns_of_any_name(spark):
     assert alone.columns == df.columns and {tuple(r) for r in alone.collect()} <= {tuple(r) for r in df.collect()}
     none = df.limit(0)
     assert mixing.mixed_rows(none, F.lit("web"), [{}, {}, {}], 1.0).collect() == [] and simhash.representatives(none).collect() == []
+
+
+def test_pipeline_on_an_empty_table_and_with_further_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    names = ["full", "cut", "n_lines", "row_id", "stay", "fp"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names)
+    rows = [(k, t, "en", "src3", None, *range(6)) for k, t in enumerate(["one two three four five\nsix", "one two three four five", None, "", "seven eight nine"])]
+    for name, some in (("empty", []), ("some", rows)):
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(0, 0, 1), (1, 1, 0)], "doc_id long, quality int, toxic int").limit(len(some)).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for stage, of in corpus_pipeline.STAGES[:-1]:
+            docs = of(spark, docs, f"{tmp_path}/{name}")
+            assert docs.columns == [f.split()[0].strip("`") for f in schema.split(", ")], stage
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert bool(out) == bool(some) and {r["doc_id"] for r in out} <= {r[0] for r in some}
