@@ -29,8 +29,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that resemble an earlier one go; n_chars follows."""
-    found = linedup.dedup_lines(docs, SIMILAR).withColumn("n_chars", F.length("text").cast("long"))
-    return found.select(*docs.columns)
+    found = linedup.dedup_lines(docs, SIMILAR, counts=False)
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*[F.col(f"`{n}`") for n in docs.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
