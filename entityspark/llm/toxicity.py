@@ -175,8 +175,8 @@ def restored(token: str, costs: np.ndarray) -> str:
     if plain and not DOUBLED.search(folded(plain[1])):
         return folded(plain[1])
     core = bare(token)
-    # Numbers with their marks are numbers; a letter or a symbol that looks like one makes a word of them.
-    if len(core) < 2 or not any(c.isalpha() or c in LOOKALIKES and not c.isdigit() for c in core):
+    # Numbers with their marks are numbers; a letter, or two symbols that look like letters, may make a word of them.
+    if len(core) < 2 or not (any(map(str.isalpha, core)) or sum(c in LOOKALIKES and not c.isdigit() for c in core) > 1):
         return folded(core)
     return decode(core, costs)
 

@@ -38,6 +38,11 @@ def test_ordinary_words_stay(costs, token, word):
     assert tox.restored(token, costs) == word
 
 
+def test_few_letters_are_enough(costs):
+    assert tox.restored("1d10t", costs) == tox.restored("1d!07", costs) == "idiot" and tox.restored("!d!0+", costs) == "idiot"
+    assert [tox.restored(t, costs) for t in ("2024-10-01", "12+3", "50%", "(1999)", "#5")] == [""] * 5
+
+
 @pytest.mark.parametrize("token", ["stuupid", "sttupid", "STuUpid", "stupiidd"])
 def test_doubled_letters_are_decoded(costs, token):
     assert tox.restored(token, costs) == "stupid" and "stupid" in tox.readings(token, costs)
