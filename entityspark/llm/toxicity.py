@@ -13,10 +13,12 @@ from __future__ import annotations
 import functools
 import math
 import re
+import sys
 import unicodedata
+import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -213,6 +215,15 @@ class Words(dict):
         return value
 
 
+def kept_words(name: str, of) -> Words:
+    """The words of a model, kept by a worker process for its later tasks; those of another model make room."""
+    kept = vars(sys).setdefault("_entityspark_words", {})
+    if name not in kept:
+        kept.clear()
+        kept[name] = Words(of)
+    return kept[name]
+
+
 def tokens(text: str) -> set[str]:
     """Distinct tokens, with every run of single characters also as one."""
     found = set(text.split())
@@ -235,6 +246,8 @@ class Model:
     weights: np.ndarray
     base: float
     slope: float = 1.0
+    #: Tells models apart.
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def evidence(self, token: str) -> tuple[tuple[str, float], ...]:
         weighed = ((word, max((float(self.weights[b]) for b in features(word)), default=0.0)) for word in readings(token, self.costs))
@@ -341,7 +354,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "t
     """doc_id, held_out, score, predicted for each row. Null texts count as empty; they get the share of toxic documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(model.evidence)
+        words = kept_words(model.name, model.evidence)
         for batch in slices(batches, "body", 1 << 23):
             scores = [model.score(body, words) for body in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "score"])
@@ -356,7 +369,7 @@ def clean(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "te
     whole = [f.name for f in docs.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(model.evidence)
+        words = kept_words(model.name, model.evidence)
         for batch in batches:
             bodies = batch.column(whole.index(text))
             yield batch.filter(pa.array([model.score(x.as_py() or "", words) < threshold for x in bodies], pa.bool_()))
