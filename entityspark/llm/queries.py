@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityspark.llm import exact, linedup, media, mixing, packing, pii, simhash, suffix, toxicity, warc
+from entityspark.llm import exact, linedup, media, mixing, packing, pii, simhash, suffix, toxicity, turns, warc
 from entityspark.llm.common import scratch_path
 
 
@@ -91,8 +91,18 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "text")
 
 
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations repaired at the least cost; those that lose all rows stand with zeros."""
+    rows = table(spark, sf_dir, "conversations")
+    report, repaired = turns.repair(turns.damaged(rows))
+    everyone, hashes = rows.select(F.col("conv_id").alias("original")).distinct(), turns.digests(repaired).withColumnRenamed("conv_id", "hashed")
+    found = everyone.join(report, F.col("original").eqNullSafe(F.col("conv_id")), "left").join(hashes, F.col("original").eqNullSafe(F.col("hashed")), "left")
+    numbers = [F.coalesce(F.col(n), F.lit(0).cast("long")).alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(F.col("original").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines)}
+    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines, op12_turns)}
 
 
 OP1 = """
@@ -168,5 +178,46 @@ SELECT doc_id, domain, lang, source, n_tokens, e::INTEGER AS epoch FROM (SELECT
 """
 
 
+def repair_sql() -> str:
+    """The repair row by row: four states as structs of the cost (12 digits) and audit, and the text so far."""
+    add = lambda s, cost, op, role: f"{{'v': lpad(CAST(CAST({s}.v[1:12] AS BIGINT) + {cost} AS VARCHAR), 12, '0') || {s}.v[13:] || '{op}', 't': {s}.t || {role}}}"
+    line = lambda role: f"chr(10) || {role} || ':' || n.text"
+    insert = {"u": "chr(10) || 'user:'", "a": "chr(10) || 'assistant:'"}
+    never = "{'v': '900000000000', 't': ''}"
+    gone = lambda s: add(s, 2, "D", "''")
+    as_s = f"CASE WHEN n.stays AND n.initial = 's' THEN {add('w.e', 'n.more', 'K', line('n.role'))} ELSE {never} END"
+
+    def stay(s: str, to: str, name: str, before: str = "") -> str:
+        other = {"u": "a", "a": "u"}[to]
+        text, cost = (insert[other] + " || ", "5 + ") if before else ("", "")
+        return f"CASE WHEN NOT n.stays THEN {never} WHEN n.initial = '{to}' THEN {add(s, cost + 'n.more', before + 'K', text + line('n.role'))} ELSE {add(s, cost + '1 + n.more', before + 'R', text + line(name))} END"
+
+    user, assistant = "'user'", "'assistant'"
+    new_u = ", ".join([gone("w.u"), *(stay(s, "u", user) for s in ("w.e", "w.s", "w.a")), stay("w.u", "u", user, "I")])
+    new_a = ", ".join([gone("w.a"), stay("w.u", "a", assistant), *(stay(s, "a", assistant, "I") for s in ("w.e", "w.s", "w.a"))])
+    return rf"""
+WITH RECURSIVE bits AS (SELECT i, list_reduce([i] || range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS v FROM (SELECT unnest(range(256)) AS i)),
+tbl AS (SELECT list(v ORDER BY i) AS t FROM bits),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+h AS (SELECT c.*, xor(list_reduce([4294967295] || list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT), lambda a, b: xor(tbl.t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS fate FROM c, tbl),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE fate <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d),
+f AS (SELECT *, role[1:1] AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+n AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more, lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial AS pair FROM f),
+w AS (
+  SELECT conv_id, 0::BIGINT AS k, {{'v': '000000000000', 't': ''}} AS e, {never} AS s, {never} AS u, {never} AS a FROM (SELECT DISTINCT conv_id FROM n)
+  UNION ALL
+  SELECT w.conv_id, n.k, {gone("w.e")}, least({gone("w.s")}, {as_s}), least({new_u}), least({new_a})
+  FROM w JOIN n ON n.k = w.k + 1 AND n.conv_id IS NOT DISTINCT FROM w.conv_id),
+ends AS (SELECT conv_id, arg_max(least(e, a, {add("u", 5, "I", insert["a"])}), k) AS z FROM w GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = 'blank')::BIGINT AS blank, count_if(fault = 'duplicate')::BIGINT AS duplicate,
+    count_if(fault = 'truncated')::BIGINT AS truncated, count_if(pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal FROM n GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(z.v[1:12]::BIGINT, 0) AS cost, coalesce(z.v[13:], '') AS audit, sha256(coalesce(z.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM q.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10}
+    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10, "op12_turns": repair_sql()}
