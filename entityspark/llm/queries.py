@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityspark.llm import exact, linedup, media, mixing, packing, pii, simhash, suffix, toxicity, turns, warc
+from entityspark.llm import exact, hardneg, linedup, media, mixing, packing, pii, simhash, suffix, toxicity, turns, warc
 from entityspark.llm.common import scratch_path
 
 
@@ -101,8 +101,15 @@ def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("original").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh one's label is off by one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    off = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hardneg.mine(hardneg.usable(off))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines, op12_turns)}
+    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines, op12_turns, op13_hardneg)}
 
 
 OP1 = """
@@ -202,8 +209,10 @@ c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS
 h AS (SELECT c.*, xor(list_reduce([4294967295] || list_transform(string_split(name, ''), lambda x: ascii(x)::BIGINT), lambda a, b: xor(tbl.t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS fate FROM c, tbl),
 d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE fate <> 0),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d),
-f AS (SELECT *, role[1:1] AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN again THEN 'duplicate'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
+f AS (SELECT *, role[1:1] AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault FROM o),
 n AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more, lag(initial) OVER (PARTITION BY conv_id ORDER BY k) || initial AS pair FROM f),
 w AS (
   SELECT conv_id, 0::BIGINT AS k, {{'v': '000000000000', 't': ''}} AS e, {never} AS s, {never} AS u, {never} AS a FROM (SELECT DISTINCT conv_id FROM n)
@@ -219,5 +228,18 @@ FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN counts ON counts.c
 """
 
 
+OP13 = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT vec_id AS anchor_id, label AS own, v AS q FROM r WHERE vec_id % 100 = 0),
+p AS (SELECT a.*, vec_id AS positive_id, list_dot_product(q, v)::BIGINT AS positive_score FROM a JOIN r ON label = own AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY list_dot_product(q, v) DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, list_dot_product(q, v)::BIGINT AS negative_score FROM p JOIN r ON label <> own
+  WHERE 30 * positive_score <= 100 * list_dot_product(q, v) AND 100 * list_dot_product(q, v) <= 90 * positive_score)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10, "op12_turns": repair_sql()}
+    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10, "op12_turns": repair_sql(), "op13_hardneg": OP13}
