@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityspark.llm import exact, hardneg, linedup, media, mixing, packing, pii, simhash, suffix, toxicity, turns, warc
+from entityspark.llm import exact, hardneg, linedup, media, mixing, packing, pii, secrets, simhash, suffix, toxicity, turns, warc
 from entityspark.llm.common import scratch_path
 
 
@@ -91,6 +91,16 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), "text")
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; a source is an owner, its texts of one language are a repository."""
+    found = secrets.secrets(table(spark, sf_dir, "documents"), F.col("source"), F.col("lang"))
+    count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("found", lambda s: s["kind"] < secrets.BASE)
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secrets.written(base), 256).alias("base_sha256"), secrets.written(F.col("found")).alias("spans"), "n_live", "n_example"
+    )
+
+
 def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged conversations repaired at the least cost; those that lose all rows stand with zeros."""
     rows = table(spark, sf_dir, "conversations")
@@ -109,7 +119,7 @@ def op13_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines, op12_turns, op13_hardneg)}
+    return {f.__name__: f for f in (op1_warc, op2_mixing, op3_suffix, op4_surrogates, op5_packing, op6_exact, op7_media, op8_simhash, op9_toxicity, op10_lines, op11_secrets, op12_turns, op13_hardneg)}
 
 
 OP1 = """
@@ -185,6 +195,29 @@ SELECT doc_id, domain, lang, source, n_tokens, e::INTEGER AS epoch FROM (SELECT
 """
 
 
+def secrets_sql() -> str:
+    quote = lambda p: "'" + p.replace("\\\"", '"').replace("'", "''") + "'"
+    ctes = []
+    for k, (name, pattern, group) in enumerate(secrets.KINDS):
+        good = {"assign": f"length(value) >= {secrets.SHORTEST_ASSIGNED}", "owned": "regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]')"}.get(name, "true")
+        ctes.append(f"""k{k} AS (SELECT r, {k} AS kind, '{name}' AS name, value, {good} AS good, "end" - size AS "start", "end" FROM (
+  SELECT r, value, length(m) AS size, sum(length(g) + length(m)) OVER (PARTITION BY r ORDER BY pos) AS "end" FROM (
+    SELECT r, unnest(range(len(ms))) AS pos, unnest(ms) AS m, unnest(vs) AS value, unnest(gs[1:len(ms)]) AS g FROM (
+      SELECT r, regexp_extract_all(t, {quote(pattern)}) AS ms, regexp_extract_all(t, {quote(pattern)}, {group}) AS vs, regexp_split_to_array(t, {quote(pattern)}) AS gs FROM d))))""")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(lang, '') AS repository, coalesce(text, '') AS t FROM documents),
+{", ".join(ctes)},
+m AS (SELECT * FROM ({" UNION ALL ".join(f"SELECT * FROM k{k}" for k in range(len(secrets.KINDS)))}) WHERE good),
+v AS (SELECT value, count(DISTINCT owner) AS owners, bool_or(regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') AND len(list_distinct(string_split(value, ''))) >= {secrets.DISTINCT} AND NOT regexp_matches(lower(value), '{secrets.EXAMPLES}')) AS live
+  FROM m JOIN d USING (r) GROUP BY value),
+s AS (SELECT m.*, name || ':' || "start" || ':' || "end" AS span, CASE WHEN owners > 2 THEN 'example' WHEN owners = 1 AND live THEN 'live' ELSE 'unclear' END AS verdict FROM m JOIN v USING (value)),
+g AS (SELECT r, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex, string_agg(span, ',' ORDER BY "start", kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY "start", kind) AS spans,
+    count_if(verdict = 'live') AS n_live, count_if(verdict = 'example') AS n_example FROM s WHERE name <> 'owned' OR verdict = 'live' GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example FROM d LEFT JOIN g USING (r)
+"""
+
+
 def repair_sql() -> str:
     """The repair row by row: four states as structs of the cost (12 digits) and audit, and the text so far."""
     add = lambda s, cost, op, role: f"{{'v': lpad(CAST(CAST({s}.v[1:12] AS BIGINT) + {cost} AS VARCHAR), 12, '0') || {s}.v[13:] || '{op}', 't': {s}.t || {role}}}"
@@ -242,4 +275,4 @@ FROM n QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10, "op12_turns": repair_sql(), "op13_hardneg": OP13}
+    return {"op1_warc": OP1, "op2_mixing": mixing_sql(), "op6_exact": OP6, "op10_lines": OP10, "op11_secrets": secrets_sql(), "op12_turns": repair_sql(), "op13_hardneg": OP13}
