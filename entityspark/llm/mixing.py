@@ -51,8 +51,11 @@ def shared(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
 
 
 def budgets(leaves: DataFrame, levels: list[str], weights: list[dict[str, float]], target: float, epochs: int) -> DataFrame:
-    """(levels, tokens, budget) of each leaf. ``target`` is a number of tokens, or up to 1 a share of all tokens."""
-    capped = leaves.withColumn("capacity", F.col("tokens") * epochs)
+    """(levels, tokens, budget) of each leaf. ``target`` is a number of tokens, or up to 1 a share of all tokens.
+    A shortage goes to the siblings first and then to those of the ancestors; a weight of 0 shuts all that lies below it."""
+    # What lies below a weight of 0 can take nothing, so no node above counts on it.
+    shut = reduce(lambda a, b: a | b, [weight(n, w) == 0 for n, w in zip(levels, weights, strict=True)])
+    capped = leaves.withColumn("capacity", F.when(shut, 0).otherwise(F.col("tokens") * epochs))
     root = capped.agg(F.sum("tokens").alias("all"), F.sum("capacity").alias("most"))
     whole = F.least(F.col("most").cast("double"), F.col("all") * F.lit(float(target)) if target <= 1 else F.lit(float(target)))
     above = root.select(whole.alias("whole"))
