@@ -10,7 +10,6 @@ where there is little evidence. The classifier is fitted on a bounded sample of
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 import sys
@@ -49,12 +48,17 @@ SKETCH = 4
 HELD_BACK = 5.0
 
 
-@functools.cache
+#: Letters seen so far. A plain table, as workers get this module's functions by value and need not have the package.
+LETTERS: dict[str, str] = {}
+
+
 def base_letter(c: str) -> str:
     """a-z for a letter with or without marks, else ''."""
-    c = {"ß": "s", "ø": "o", "æ": "a", "œ": "o", "ð": "d", "þ": "t"}.get(c, c)
-    c = unicodedata.normalize("NFKD", c)[:1]
-    return c if "a" <= c <= "z" else ""
+    found = LETTERS.get(c)
+    if found is None:
+        base = unicodedata.normalize("NFKD", {"ß": "s", "ø": "o", "æ": "a", "œ": "o", "ð": "d", "þ": "t"}.get(c, c))[:1]
+        found = LETTERS[c] = base if "a" <= base <= "z" else ""
+    return found
 
 
 def byte_classes() -> tuple[np.ndarray, np.ndarray]:

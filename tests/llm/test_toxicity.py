@@ -100,3 +100,26 @@ def test_nulls_empty_tables_and_clashing_names(spark):
     kept = tox.clean(docs, none, threshold=0.6)
     assert kept.columns == docs.columns and kept.count() == 4
     assert [r["restored"] for r in tox.restore(docs.limit(2), none.costs).collect()] == ["", ""]
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).parents[2]
+    code = f"""
+import sys
+sys.path[:0] = [{str(root)!r}, {str(root / "tests" / "llm")!r}]
+from pyspark.sql import SparkSession
+from helpers import documents
+from entityspark.llm import toxicity
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+docs = documents(spark, ["you 1d10t", "stone garden", "îdiot b\\u00f6se", "a morning"] * 9)
+labels = spark.createDataFrame([(k, int(k % 4 in (0, 2))) for k in range(36)], "doc_id long, toxic int")
+assert toxicity.scored(docs, toxicity.fit(docs, labels)).count() == 36
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
