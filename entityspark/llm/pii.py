@@ -56,7 +56,7 @@ def alternatives(words: list[str]) -> str:
 _titles, _given = alternatives([t for ts in TITLES.values() for t in ts]), alternatives(_all)
 #: Type and pattern, the first that matches a text's place wins.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
     "secret": r"(?<![^\s=:\"'(\[,;>])(?=[0-9]*+[a-f])[0-9a-f]{16,}+(?![^\s\"')\],.;<])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
@@ -140,14 +140,18 @@ def iban(e: Column, form: Column, hexes: Column) -> Column:
 
 def spread(e: Column, of) -> Column:
     """Apply ``of`` to each letter or digit and its rank among these; other characters stay."""
-    chars = F.split(e, "(?<=.)(?=.)")
     start = F.struct(F.lit("").alias("s"), F.lit(0).alias("k"))
 
     def step(a: Column, c: Column) -> Column:
         counts = c.rlike("[0-9A-Za-z]")
         return F.struct(F.concat(a["s"], F.when(counts, of(c, a["k"])).otherwise(c)).alias("s"), (a["k"] + counts.cast("int")).alias("k"))
 
-    return F.aggregate(chars, start, step, lambda a: a["s"])
+    def piece(a: Column, part: Column) -> Column:
+        own = F.aggregate(F.split(part, "(?<=.)(?=.)"), F.struct(F.lit("").alias("s"), a["k"].alias("k")), step)
+        return let(own, lambda o: F.struct(F.concat(a["s"], o["s"]).alias("s"), o["k"].alias("k")))
+
+    # In pieces of 256, since a string that grows by single characters is copied for each.
+    return F.aggregate(F.regexp_extract_all(e, F.lit("(?s).{1,256}"), F.lit(0)), start, piece, lambda a: a["s"])
 
 
 def luhn(digits: Column) -> Column:

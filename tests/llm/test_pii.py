@@ -119,3 +119,10 @@ def test_many_families_and_given_names_keep_apart(spark):
 def test_nulls_and_repeated_ids(spark):
     rows = pii.replace(documents(spark, ["a@b.org", "a@b.org", None, "Mr Smith"], [None, None, 3, 3]), "k").collect()
     assert len(rows) == 4 and len({r["text"] for r in rows if r["doc_id"] is None}) == 1 and sum(r["text"] is None for r in rows) == 1
+
+
+def test_texts_that_repeat_a_part_of_a_pattern_end(spark):
+    texts = ["x@" + "a." * 3000 + "c1", "x@" + "a." * 200_000, "b@" + "a." * 100 + "com", "a" * 400_000 + "@firm.org", "1" * 1_000_000, "+49 " + "30 " * 100_000, "AB12" + " ABCD" * 100_000, "4111 " * 100_000, "1.2.3." * 100_000,
+             "Mr " * 200_000, "abcdef0123456789" * 100_000, "<" * 1_000_000, "@" * 500_000, "J" * 1_000_000, "(030) " * 100_000]
+    found = {r["doc_id"]: r["text"] for r in pii.replace(documents(spark, texts).repartition(4), "k").collect()}
+    assert len(found) == len(texts) and "firm.org" not in found[3] and len(found[3].split("@")[0]) >= 400_000 and re.fullmatch(r"\w+@[\w.-]+", found[2]) and found[2] != texts[2]
