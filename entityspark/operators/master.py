@@ -18,9 +18,7 @@ def observations(files: DataFrame) -> DataFrame:
 
 def clustered(rows: DataFrame) -> DataFrame:
     """The rows with their cluster."""
-    ready = resolve.prepared(complete(rows))
-    found = resolve.clusters(ready, resolve.matches(ready, resolve.candidate_pairs(ready)))
-    return rows.join(found, "row_idx")
+    return rows.join(resolve.resolved(resolve.prepared(complete(rows))), "row_idx")
 
 
 def build(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,11 +1,13 @@
-"""Entity resolution: blocking keys, candidate pairs, the match rule, and clusters under the branch veto."""
+"""Entity resolution: blocking keys, profiles and their links, the match rule, and clusters under the branch veto."""
 
 from __future__ import annotations
 
+import math
 import sys
 from difflib import SequenceMatcher
+from functools import reduce
+from operator import and_
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -14,9 +16,13 @@ from pyspark.sql import types as T
 
 from entityspark.functions import contact, geo, text, web
 from entityspark.functions.values import GENERIC_NAMES
+from entityspark.operators.lineage import cut
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
 
+#: The least similarity of names at which any rule holds, and of addresses.
+SIMILAR_NAME, SIMILAR_ADDRESS = 0.62, 0.88
+
 
 def prepared(rows: DataFrame) -> DataFrame:
     """Normal forms, computed once a row before any pair is made. Columns: row_idx, source, source_id, name, city, address, phone, website, latitude, longitude; entity_id and source_url where there are any."""
@@ -28,32 +34,97 @@ def prepared(rows: DataFrame) -> DataFrame:
     ).withColumn("house", text.house_number(F.col("address")))
 
 
-def blocking_keys(geo_cells: bool = True) -> Column:
-    """Every key under which a prepared row can meet another."""
-    some = lambda test, *parts: F.when(test, F.array(F.concat_ws(":", *parts))).otherwise(F.array().cast("array<string>"))
-    keys = [
+def some(test: Column, *parts) -> Column:
+    return F.when(test, F.array(F.concat_ws(":", *parts))).otherwise(F.array().cast("array<string>"))
+
+
+def id_keys() -> list[Column]:
+    return [
         some(F.col("entity_id") != "", F.lit("entity"), "entity_id"), some((F.col("source") != "") & (F.col("source_url") != ""), F.lit("source-url"), "source", "source_url"),
-        some((F.col("source") != "") & (F.col("source_id") != ""), F.lit("source-id"), "source", "source_id"), some(F.col("phone") != "", F.lit("phone"), "phone"), some(F.col("domain") != "", F.lit("domain"), "domain"),
-        some((F.col("name") != "") & (F.col("city") != ""), F.lit("name-city"), "name", "city"), some(F.col("address") != "", F.lit("address"), "address"),
+        some((F.col("source") != "") & (F.col("source_id") != ""), F.lit("source-id"), "source", "source_id"),
     ]
+
+
+def contact_keys() -> list[Column]:
+    return [some(F.col("phone") != "", F.lit("phone"), "phone"), some(F.col("domain") != "", F.lit("domain"), "domain"), some((F.col("name") != "") & (F.col("city") != ""), F.lit("name-city"), "name", "city")]
+
+
+def blocking_keys(geo_cells: bool = True) -> Column:
+    """Every key under which a prepared row can meet another."""
+    keys = [*id_keys(), *contact_keys(), some(F.col("address") != "", F.lit("address"), "address")]
     if geo_cells:
         keys.append(F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), geo.cells(F.col("lat"), F.col("lon"))).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.concat(*keys))
 
 
 def candidate_pairs(rows: DataFrame, geo_cells: bool = True) -> DataFrame:
-    """Distinct (l, r) with l < r that share a key. Skewed keys are split by adaptive execution; no key is dropped."""
+    """Distinct (l, r) with l < r that share a key: all of them, which is for reports on small tables. ``links`` finds what
+    matches without them."""
     keyed = rows.select("row_idx", F.explode(blocking_keys(geo_cells)).alias("key"))
     left, right = keyed.withColumnRenamed("row_idx", "l"), keyed.withColumnRenamed("row_idx", "r")
     return left.join(right, "key").filter("l < r").select("l", "r").distinct()
 
 
+# --- profiles ----------------------------------------------------------------------------------------------------------
+
+CONTENT = ["name", "city", "address", "house", "phone", "domain", "lat", "lon"]
+
+
+def profiles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(profiles, members) of prepared rows. A profile has one content, and the same ids where other rows have them too; it
+    is named by its first row, the rest is membership (profile, row_idx).
+
+    Rows of a profile match the same rows as its first one, lie in the same place and match each other, so they always end
+    up with the first one and need no pairs of their own. A row that matches nothing, not even its copy, is a profile alone.
+    """
+    owned = rows.select("row_idx", F.explode(F.array_distinct(F.concat(*id_keys()))).alias("id"))
+    common = owned.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    ids = owned.join(common, "id").groupBy("row_idx").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    told = rows.select("row_idx", *CONTENT).join(ids, "row_idx", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
+    findable = (F.col("address") != "") | (F.col("phone") != "") | (F.col("domain") != "") | (F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    told = cut(told.withColumn("alone", F.when((F.size("ids") == 0) & ~((F.col("name") != "") & findable), F.col("row_idx"))))
+    firsts = cut(told.groupBy(*CONTENT, "ids", "alone").agg(F.min("row_idx").alias("row_idx")))
+    keys = [*CONTENT, "ids", "alone"]
+    named = firsts.select(F.col("row_idx").alias("profile"), *[F.col(c).alias(f"p_{c}") for c in keys])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in keys])
+    return firsts.drop("alone"), told.join(named, same).select("profile", "row_idx")
+
+
+# --- similarity --------------------------------------------------------------------------------------------------------
+
+
 @F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; an empty side gives 0."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
 
 
+def letters(c: Column) -> Column:
+    """The characters of a text, each with how often it came before: a multiset as a set."""
+    chars = F.array_sort(F.split(c, ""))
+    return F.transform(chars, lambda x, i: F.concat(x, (i - F.array_position(chars, x)).cast("string")))
+
+
+def most_similar(a: Column, b: Column, letters_a: Column, letters_b: Column) -> Column:
+    """No similarity can be higher than what the common characters, in any order, would give."""
+    return 2 * F.size(F.array_intersect(letters_a, letters_b)) / (F.length(a) + F.length(b))
+
+
+def reachable(pairs: DataFrame, least: float) -> DataFrame:
+    """Of distinct (a, b) those whose lengths and characters allow the similarity."""
+    n, m = F.length("a"), F.length("b")
+    near = pairs.filter((n > 0) & (m > 0) & (2 * F.least(n, m) >= least * (n + m) - 1e-9))
+    near = near.withColumn("la", letters(F.col("a"))).withColumn("lb", letters(F.col("b")))
+    return near.filter(most_similar(F.col("a"), F.col("b"), F.col("la"), F.col("lb")) >= least - 1e-9).drop("la", "lb")
+
+
+def similar(pairs: DataFrame, least: float) -> DataFrame:
+    """(a, b, s) of the distinct pairs of texts with that similarity or more. Equal texts have 1 and are not compared; only
+    pairs that can reach it come to Python."""
+    other = reachable(pairs.filter("a <> b"), least).withColumn("s", ratio("a", "b")).filter(F.col("s") >= least)
+    return other.unionByName(pairs.filter("a = b and a <> ''").withColumn("s", F.lit(1.0)))
+
+
 def branch_conflict(l: str = "l", r: str = "r") -> Column:  # noqa: E741
     """Over a kilometre apart, or other house numbers at other addresses."""
     x, y = (lambda n: F.col(f"{l}_{n}")), (lambda n: F.col(f"{r}_{n}"))
@@ -62,44 +133,136 @@ def branch_conflict(l: str = "l", r: str = "r") -> Column:  # noqa: E741
     return far | houses
 
 
-def matches(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that are one entity. Similarities are computed only where the ids leave it open and lengths allow it."""
-    side = lambda s: rows.select(*[F.col(c).alias(f"{s}_{c}") for c in rows.columns]).withColumnRenamed(f"{s}_row_idx", s)
-    both = pairs.join(side("l"), "l").join(side("r"), "r")
-    same = lambda n: (F.col(f"l_{n}") != "") & (F.col(f"l_{n}") == F.col(f"r_{n}"))
-    same_id = same("entity_id") | ((F.col("l_source") == F.col("r_source")) & (same("source_id") | same("source_url")))
-    sure = both.filter(same_id).select("l", "r")
-    n, m = F.length("l_name"), F.length("r_name")
-    open_ = both.filter(~same_id & (2 * F.least(n, m) >= 0.62 * (n + m)) & (n > 0))
-    scored = open_.withColumn("s", F.when(F.col("l_name") == F.col("r_name"), 1.0).otherwise(ratio("l_name", "r_name"))).filter("s >= 0.62")
-    scored = scored.withColumn("a", F.when((F.col("l_address") == F.col("r_address")) & (F.col("l_address") != ""), 1.0).otherwise(ratio("l_address", "r_address")))
+def same_ids(l: str = "l", r: str = "r") -> Column:  # noqa: E741
+    same = lambda n: (F.col(f"{l}_{n}") != "") & (F.col(f"{l}_{n}") == F.col(f"{r}_{n}"))
+    return same("entity_id") | ((F.col(f"{l}_source") == F.col(f"{r}_source")) & (same("source_id") | same("source_url")))
+
+
+def rule(s: Column, a: Column) -> Column:
+    """Whether two rows l and r with this similarity of names and addresses are one entity by their content."""
     km = geo.haversine(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon"))
     generic = F.col("l_name").isin(GENERIC_NAMES)
     cities = (F.col("l_city") == "") | (F.col("r_city") == "") | (F.col("l_city") == "крым") | (F.col("r_city") == "крым") | (F.col("l_city") == F.col("r_city"))
-    rule = (
-        F.when((F.col("a") == 1) & (F.col("s") >= 0.72), True)
-        .when(F.coalesce(km <= 0.35, F.lit(False)) & (F.col("s") >= 0.68), True)
+    return (
+        F.when((a == 1) & (s >= 0.72), True)
+        .when(F.coalesce(km <= 0.35, F.lit(False)) & (s >= 0.68), True)
         .when(branch_conflict(), False)
-        .when((F.col("a") >= 0.88) & (F.col("s") >= 0.72), True)
-        .when((F.col("l_phone") != "") & (F.col("l_phone") == F.col("r_phone")) & (F.col("s") >= F.when(generic, 0.9).otherwise(0.72)), True)
-        .when((F.col("l_domain") != "") & (F.col("l_domain") == F.col("r_domain")) & cities & (F.col("s") >= F.when(generic, 0.92).otherwise(0.82)), True)
+        .when((a >= SIMILAR_ADDRESS) & (s >= 0.72), True)
+        .when((F.col("l_phone") != "") & (F.col("l_phone") == F.col("r_phone")) & (s >= F.when(generic, 0.9).otherwise(0.72)), True)
+        .when((F.col("l_domain") != "") & (F.col("l_domain") == F.col("r_domain")) & cities & (s >= F.when(generic, 0.92).otherwise(0.82)), True)
         .otherwise(False)
     )
-    return sure.unionByName(scored.filter(rule).select("l", "r"))
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(row_idx, component): the least row_idx reachable. Labels spread in rounds; each round is written to the cluster's
-    checkpoint folder, without one it is kept by the executors."""
-    context = nodes.sparkSession.sparkContext
-    kept: list[DataFrame] = []
+def with_sides(pairs: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame:
+    side = lambda s: rows.select(F.col("row_idx").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in names])
+    return pairs.join(side("l"), "l").join(side("r"), "r")
+
+
+def by_content(both: DataFrame) -> DataFrame:
+    """The pairs (l, r) that match by content. Names come first, each distinct pair of them once; addresses only where
+    nothing else decides."""
+    names = similar(both.select(F.col("l_name").alias("a"), F.col("r_name").alias("b")).distinct(), SIMILAR_NAME)
+    scored = both.join(names, (F.col("l_name") == F.col("a")) & (F.col("r_name") == F.col("b"))).drop("a", "b")
+    equal = F.when((F.col("l_address") == F.col("r_address")) & (F.col("l_address") != ""), 1.0).otherwise(0.0)
+    sure = scored.filter(rule(F.col("s"), equal))
+    open_ = scored.filter(~rule(F.col("s"), equal) & rule(F.col("s"), F.lit(SIMILAR_ADDRESS)) & (F.col("l_address") != "") & (F.col("r_address") != ""))
+    addresses = similar(open_.select(F.col("l_address").alias("a"), F.col("r_address").alias("b")).distinct(), SIMILAR_ADDRESS).select("a", "b")
+    more = open_.join(addresses, (F.col("l_address") == F.col("a")) & (F.col("r_address") == F.col("b")))
+    return sure.select("l", "r").unionByName(more.select("l", "r"))
+
+
+def matches(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of given pairs (l, r) of prepared rows those that are one entity."""
+    both = cut(with_sides(pairs, rows, [c for c in rows.columns if c != "row_idx"]))
+    return both.filter(same_ids()).select("l", "r").unionByName(by_content(both.filter(~same_ids())))
+
+
+# --- links between profiles --------------------------------------------------------------------------------------------
+
+#: Cells of a hundredth degree of latitude and four of longitude: rows a kilometre apart lie in neighbouring ones up to here.
+WIDEST_LAT = 75
+
+
+def cell(lat: Column, lon: Column, i=0, j=0, wide: int = 4) -> Column:
+    return F.concat_ws(":", F.floor(lat * 100) + i, F.floor(lon * 100 / wide) + j)
+
+
+def around(lat: Column, lon: Column, reach: int, wide: int) -> Column:
+    near = F.sequence(F.lit(-reach), F.lit(reach))
+    return F.flatten(F.transform(near, lambda i: F.transform(near, lambda j: cell(lat, lon, i, j, wide))))
+
+
+def sides(kept: DataFrame, keys: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(key, row_idx, name) of both sides of a join that brings together the profiles under a key, but for pairs whose
+    houses differ or whose points lie far apart: these are branches in conflict.
 
-    def cut(df: DataFrame) -> DataFrame:
-        if context.getCheckpointDir():
-            return df.checkpoint()
-        kept.append(df.persist())
-        return kept[-1]
+    Profiles with a house meet those of the same house. One without a house meets what lies around its point; those
+    without a point; and, having neither, all under the key. Both orders of a pair count, one of them is enough.
+    """
+    house = F.when(F.col("address") != "", F.col("house")).otherwise("")
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull() & (F.abs("lat") <= WIDEST_LAT)
+    keyed = kept.withColumn("h", house).withColumn("placed", placed).select("row_idx", "name", "h", "placed", "lat", "lon", F.explode(F.concat(*keys)).alias("k"))
+    one = lambda test, *parts: F.when(test, F.array(F.concat_ws("|", "k", *parts))).otherwise(F.array().cast("array<string>"))
+    bare = (F.col("h") == "") & F.col("placed")
+    mine = F.concat(one(F.col("h") != "", F.lit("house"), "h"), one(bare, F.lit("cell"), cell(F.col("lat"), F.col("lon"))), one(bare, F.lit("no point")), one((F.col("h") == "") & ~F.col("placed"), F.lit("any")))
+    cells = F.when(F.col("placed"), F.transform(around(F.col("lat"), F.col("lon"), 1, 4), lambda c: F.concat_ws("|", "k", F.lit("cell"), c))).otherwise(F.array().cast("array<string>"))
+    theirs = F.concat(one(F.col("h") != "", F.lit("house"), "h"), cells, one(~F.col("placed"), F.lit("no point")), one(F.lit(True), F.lit("any")))
+    return tuple(keyed.select(F.explode(own).alias("key"), "row_idx", "name") for own in (mine, theirs))
+
+
+def meeting(left: DataFrame, right: DataFrame, alike: bool = True) -> DataFrame:
+    """Distinct (l, r), l < r, of both sides under a key. Where names must be alike, the distinct names under a key meet
+    first, and rows join by key and name, so that rows whose names can't match never meet."""
+    if alike:
+        names = lambda df, n: df.select("key", F.col("name").alias(n)).distinct()
+        met = names(left, "a").join(names(right, "b"), "key")
+        may = reachable(met.select("a", "b").distinct(), SIMILAR_NAME)
+        met = met.join(may, ["a", "b"])
+        left = left.withColumnRenamed("name", "a").join(met, ["key", "a"])
+        both = left.withColumnRenamed("row_idx", "x").join(right.select("key", F.col("name").alias("b"), F.col("row_idx").alias("y")), ["key", "b"])
+    else:
+        both = left.select("key", F.col("row_idx").alias("x")).join(right.select("key", F.col("row_idx").alias("y")), "key")
+    return both.filter("x <> y").select(F.least("x", "y").alias("l"), F.greatest("x", "y").alias("r")).distinct()
+
+
+def links(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(matched, linked) pairs (l, r) of profiles. ``matched``: one entity by content. ``linked``: these and the profiles that
+    share an id, without branches in conflict.
+
+    No pairs under a key are listed for the rule to reject: addresses and cells bring together rows with names that can be
+    alike, phones, domains and names in a city only rows that are no branches in conflict.
+    """
+    point = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    in_cells = kept.filter(point)
+    by_address = kept.filter("address <> ''").select(F.concat(F.lit("address|"), F.col("address")).alias("key"), "row_idx", "name")
+    here = in_cells.select(cell(F.col("lat"), F.col("lon"), wide=1).alias("key"), "row_idx", "name")
+    near = in_cells.select(F.explode(around(F.col("lat"), F.col("lon"), 2, 1)).alias("key"), "row_idx", "name")
+    mine, theirs = sides(kept, contact_keys())
+    candidates = meeting(by_address.unionByName(here).unionByName(mine), by_address.unionByName(near).unionByName(theirs))
+    both = cut(with_sides(candidates, kept, CONTENT))
+    matched = cut(by_content(both))
+    ids = with_sides(meeting(*sides(kept.filter(F.size("ids") > 0), [F.transform("ids", lambda i: F.concat(F.lit("id|"), i))]), alike=False), kept, ["lat", "lon", "address", "house"])
+    calm = with_sides(matched, kept, ["lat", "lon", "address", "house"]).unionByName(ids).filter(~branch_conflict()).select("l", "r").distinct()
+    return matched, calm
+
+
+def linked_rows(rows: DataFrame) -> DataFrame:
+    """(kind, l, r): what matches, without pairs of copies. "row": a profile and a row of it (itself included); "id": the
+    first profile with an id that several rows have, and another with it; "pair": two profiles that match by content."""
+    kept, members = profiles(rows)
+    owned = kept.select("row_idx", F.explode("ids").alias("id"))
+    first = owned.groupBy("id").agg(F.min("row_idx").alias("l"))
+    by_id = owned.join(first, "id").filter("row_idx <> l").select("l", F.col("row_idx").alias("r")).distinct()
+    named = lambda df, kind: df.select(F.lit(kind).alias("kind"), "l", "r")
+    return named(members.select(F.col("profile").alias("l"), F.col("row_idx").alias("r")), "row").unionByName(named(by_id, "id")).unionByName(named(links(kept)[0], "pair"))
+
+
+# --- clusters ----------------------------------------------------------------------------------------------------------
 
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(row_idx, component): the least row_idx reachable. Labels spread in rounds, each cuts the lineage."""
     labels = nodes.select("row_idx", F.col("row_idx").alias("component"))
     both = cut(edges.select("l", "r").unionByName(edges.select(F.col("r").alias("l"), F.col("l").alias("r"))))
     while True:
@@ -108,76 +271,152 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         # Pointer jumping: a label's own label is nearer to the root, so long chains take few rounds.
         jump = after.select(F.col("row_idx").alias("component"), F.col("component").alias("next"))
         after = cut(after.join(jump, "component").select("row_idx", F.col("next").alias("component")))
-        done = after.join(labels.withColumnRenamed("component", "was"), "row_idx").filter("component <> was").isEmpty()
-        for old in kept[1:-1]:  # the round before is in the plan of this one only
-            old.unpersist()
-        del kept[1:-1]
-        if done:
+        if after.join(labels.withColumnRenamed("component", "was"), "row_idx").filter("component <> was").isEmpty():
             return after
         labels = after
 
 
-KM_PER_DEGREE = 111.2
+BOX = ["south", "north", "west", "east"]
+#: Torn components of at most so many edges are settled in one task, larger ones in rounds.
+FEW_EDGES = 5000
 
 
-def far_apart(left: list[tuple[float, float]], right: list[tuple[float, float]]) -> bool:
-    """Whether any two points of both are over a kilometre apart."""
-    a, b = np.radians(np.array(left)), np.radians(np.array(right))
-    h = np.sin((b[None, :, 0] - a[:, None, 0]) / 2) ** 2 + np.cos(a[:, None, 0]) * np.cos(b[None, :, 0]) * np.sin((b[None, :, 1] - a[:, None, 1]) / 2) ** 2
-    return bool((2 * geo.EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(h))) > 1.0).any())
+def summaries(placed: DataFrame) -> DataFrame:
+    """(g, house, south, north, west, east) of each group of (row_idx, g, house, lat, lon). A group has one house at most."""
+    return placed.groupBy("g").agg(F.max("house").alias("house"), F.min("lat").alias("south"), F.max("lat").alias("north"), F.min("lon").alias("west"), F.max("lon").alias("east"))
 
 
-class Group:
-    """Members of a cluster to be, with what tells branches apart: their houses and distinct points."""
+def corner_distance() -> Column:
+    """No two points of the boxes x and y lie farther apart, in kilometres: the way along the meridian and the widest parallel."""
+    lat = F.greatest(F.col("x_north"), F.col("y_north")) - F.least(F.col("x_south"), F.col("y_south"))
+    lon = F.greatest(F.col("x_east"), F.col("y_east")) - F.least(F.col("x_west"), F.col("y_west"))
+    return F.radians(lat + lon) * geo.EARTH_KM * (1 + 1e-9)
 
-    def __init__(self, row: int, house: str, point: tuple[float, float] | None):
-        self.rows, self.houses, self.points = [row], {house} - {""}, {point} - {None}
 
-    def conflicts(self, other: Group) -> bool:
-        if len(self.houses | other.houses) > 1 and self.houses and other.houses:
-            return True
-        return bool(self.points and other.points and self.points != other.points and far_apart(sorted(self.points), sorted(other.points)))
+def least_distance() -> Column:
+    """No two points of the boxes lie nearer: their gap in latitude."""
+    gap = F.greatest(F.col("x_south") - F.col("y_north"), F.col("y_south") - F.col("x_north"), F.lit(0.0))
+    return F.radians(gap) * geo.EARTH_KM * (1 - 1e-9)
 
-    def take(self, other: Group) -> None:
-        self.rows += other.rows
-        self.houses |= other.houses
-        self.points |= other.points
 
+def calm_edges(edges: DataFrame, placed: DataFrame) -> DataFrame:
+    """Edges (x, y, at) between groups that are not in conflict, with the summaries of both. Boxes decide most; points are
+    compared only where they leave it open."""
+    about = summaries(placed)
+    side = lambda s: about.select(F.col("g").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("house", *BOX)])
+    both = edges.join(side("x"), "x").join(side("y"), "y").filter((F.col("x_house") == "") | (F.col("y_house") == "") | (F.col("x_house") == F.col("y_house")))
+    both = cut(both.filter(~F.coalesce(least_distance() > 1.0, F.lit(False))))
+    points = placed.filter("lat is not null and lon is not null").select("g", "lat", "lon").distinct()
+    of = lambda s: points.select(F.col("g").alias(s), F.col("lat").alias(f"{s}_lat"), F.col("lon").alias(f"{s}_lon"))
+    unsure = both.filter(corner_distance() > 1.0).select("x", "y")
+    far = unsure.join(of("x"), "x").join(of("y"), "y").filter(geo.haversine(F.col("x_lat"), F.col("x_lon"), F.col("y_lat"), F.col("y_lon")) > 1.0).select("x", "y").distinct()
+    return both.join(far, ["x", "y"], "left_anti")
 
-def clusters(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """(row_idx, cluster): components, with unions refused where any two members are branches in conflict.
 
-    Edges between rows in conflict join nothing and are left out. Components with one house at most and all points within
-    a kilometre are clusters as they are; only the others replay their unions, in the order of rows. A member is known there
-    by its house and point, so no pairs of members are made.
-    """
-    about = lambda s: rows.select(*[F.col(c).alias(f"{s}_{c}") for c in ("row_idx", "lat", "lon", "address", "house")]).withColumnRenamed(f"{s}_row_idx", s)
-    usable = edges.join(about("l"), "l").join(about("r"), "r").filter(~branch_conflict()).select("l", "r")
-    if rows.sparkSession.sparkContext.getCheckpointDir():
-        usable = usable.checkpoint()
-    placed = components(rows, usable)
-    # A house is part of its address, so other houses stand at other addresses.
-    inner = rows.select("row_idx", "lat", "lon", F.when(F.col("address") != "", F.col("house")).otherwise("").alias("house")).join(placed, "row_idx")
-    wide = lambda c, scale: (F.coalesce(F.max(c) - F.min(c), F.lit(0.0)) * scale)
-    torn = inner.groupBy("component").agg(F.count_distinct(F.nullif("house", F.lit(""))).alias("houses"), (wide("lat", KM_PER_DEGREE) + wide("lon", KM_PER_DEGREE)).alias("km")).filter("houses > 1 or km > 1").select("component")
-    whole = placed.join(torn, "component", "left_anti").select("row_idx", F.col("component").alias("cluster"))
+def contracted(edges: DataFrame) -> DataFrame:
+    """(l, r) to unite now: a group and the partner of its earliest edge, where that edge is the partner's earliest as well,
+    or where the group brings nothing new to the partner: no other house and no other point. Either union is what would
+    happen in order, as nothing earlier can reach the group, and what is nothing new can't bring a conflict."""
+    swapped = {"x": "y", "y": "x"} | {f"{a}_{c}": f"{b}_{c}" for a, b in ("xy", "yx") for c in ("house", *BOX)}
+    ways = edges.unionByName(edges.select("at", *[F.col(old).alias(new) for new, old in swapped.items()]))
+    first = ways.groupBy("x").agg(F.min_by(F.struct("y", "at", *[f"{s}_{c}" for s in "xy" for c in ("house", *BOX)]), "at").alias("w")).select("x", "w.*")
+    within = (F.col("x_house") == "") | (F.col("x_house") == F.col("y_house"))
+    spot = (F.col("x_south") == F.col("x_north")) & (F.col("x_west") == F.col("x_east"))
+    same_spot = spot & (F.col("y_south") == F.col("x_south")) & (F.col("y_north") == F.col("x_south")) & (F.col("y_west") == F.col("x_west")) & (F.col("y_east") == F.col("x_west"))
+    nothing_new = within & (F.col("x_south").isNull() | F.coalesce(same_spot, F.lit(False)))
+    back = first.select(F.col("x").alias("y"), F.col("y").alias("x"), F.lit(True).alias("mutual"))
+    return first.join(back, ["x", "y"], "left").filter(nothing_new | F.col("mutual")).select(F.col("x").alias("l"), F.col("y").alias("r"))
+
+
+def united(placed: DataFrame, edges: DataFrame, unions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups and edges after unions: each group is named by its least row, of equal edges the earliest stays."""
+    touched = unions.select(F.explode(F.array("l", "r")).alias("row_idx")).distinct()
+    named = components(touched, unions).filter("row_idx <> component").select(F.col("row_idx").alias("old"), F.col("component").alias("new"))
+    placed = cut(placed.join(named, F.col("g") == F.col("old"), "left").select("row_idx", F.coalesce("new", "g").alias("g"), "house", "lat", "lon"))
+    to = lambda s: named.select(F.col("old").alias(s), F.col("new").alias(f"{s}2"))
+    moved = edges.select("x", "y", "at").join(to("x"), "x", "left").join(to("y"), "y", "left").select("at", F.coalesce("x2", "x").alias("x"), F.coalesce("y2", "y").alias("y"))
+    return placed, cut(moved.filter("x <> y").groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min("at").alias("at")))
+
+
+def kilometres(p: tuple[float, float], q: tuple[float, float], radius: float = geo.EARTH_KM) -> float:
+    """``geo.haversine`` of two points in a task."""
+    (a, b), (c, d) = (map(math.radians, x) for x in (p, q))
+    h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+    return radius * 2 * math.asin(min(1.0, math.sqrt(h)))
+
+
+def replayed(placed: DataFrame, edges: DataFrame) -> DataFrame:
+    """(l, r) unions of small components, found edge by edge in order. ``edges`` has the component; groups are known by
+    their house and points."""
+
+    def conflict(a: tuple, b: tuple) -> bool:
+        if a[0] and b[0] and a[0] != b[0]:
+            return True
+        return any(kilometres(p, q) > 1.0 for p in a[1] for q in b[1])
 
     def replay(key: tuple, unions: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        groups = {}
-        for row, house, lat, lon in zip(members["row_idx"], members["house"], members["lat"], members["lon"], strict=True):
-            groups[row] = Group(row, house, None if pd.isna(lat) or pd.isna(lon) else (lat, lon))
-        for a, b in sorted(zip(unions["l"], unions["r"], strict=True), key=lambda e: (e[1], e[0])):
-            x, y = groups[a], groups[b]
-            if x is y or x.conflicts(y):
-                continue
-            if len(x.rows) < len(y.rows):
-                x, y = y, x
-            for m in y.rows:
-                groups[m] = x
-            x.take(y)
-        least = {id(g): min(g.rows) for g in groups.values()}
-        return pd.DataFrame([(m, least[id(g)]) for m, g in groups.items()], columns=["row_idx", "cluster"])
-
-    unions = usable.join(placed, F.col("l") == F.col("row_idx")).join(torn, "component", "left_semi").select("component", "l", "r")
-    split = unions.groupBy("component").cogroup(inner.join(torn, "component", "left_semi").groupBy("component")).applyInPandas(replay, "row_idx long, cluster long")
-    return whole.unionByName(split)
+        about: dict[int, tuple[str, set]] = {}
+        for g, house, lat, lon in zip(members["g"], members["house"], members["lat"], members["lon"], strict=True):
+            own = about.setdefault(g, ("", set()))
+            about[g] = (own[0] or house, own[1] | ({(lat, lon)} if pd.notna(lat) and pd.notna(lon) else set()))
+        root, done = {g: g for g in about}, []
+
+        def top(g: int) -> int:
+            while root[g] != g:
+                root[g] = root[root[g]]
+                g = root[g]
+            return g
+
+        for x, y in unions.sort_values(["first", "second"])[["x", "y"]].itertuples(index=False):
+            a, b = top(x), top(y)
+            if a != b and not conflict(about[a], about[b]):
+                a, b = min(a, b), max(a, b)
+                root[b], about[a] = a, (about[a][0] or about[b][0], about[a][1] | about[b][1])
+                done.append((x, y))
+        return pd.DataFrame(done, columns=["l", "r"])
+
+    ordered = edges.select("component", "x", "y", F.col("at")["first"].alias("first"), F.col("at")["second"].alias("second"))
+    spots = placed.join(edges.select("component", F.explode(F.array("x", "y")).alias("g")).distinct(), "g").select(F.col("component").alias("own"), "g", "house", "lat", "lon").distinct()
+    return ordered.groupBy("component").cogroup(spots.groupBy("own")).applyInPandas(replay, "l long, r long")
+
+
+def clusters(rows: DataFrame, edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
+    """(row_idx, cluster): rows united along their edges in the order of rows, by the later and then the earlier one of an
+    edge; a union is refused where any two members are branches in conflict.
+
+    Edges between groups in conflict can never unite them and go at once. Components with one house at most and all points
+    within a kilometre are clusters as they are. In the others groups are united in rounds: all that is certain to happen
+    whatever comes before it (``contracted``) happens at the same time. Components with ``few`` edges left are replayed.
+    A group is known by its house and the box of its points; no component, and no pairs of its members, come to one task.
+    """
+    lean = lambda s: rows.select(F.col("row_idx").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("lat", "lon", "address", "house")])
+    usable = edges.join(lean("l"), "l").join(lean("r"), "r").filter(~branch_conflict())
+    links = cut(usable.select(F.col("l").alias("x"), F.col("r").alias("y"), F.struct(F.col("r").alias("first"), F.col("l").alias("second")).alias("at")).distinct())
+    # A house is part of its address, so other houses stand at other addresses. A point needs both coordinates.
+    point = lambda c: F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.col(c)).alias(c)
+    placed = cut(rows.select("row_idx", F.col("row_idx").alias("g"), F.when(F.col("address") != "", F.col("house")).otherwise("").alias("house"), point("lat"), point("lon")))
+    turn = 0
+    while not links.isEmpty():
+        if turn % 4 == 0:
+            groups = placed.select(F.col("g").alias("row_idx")).distinct()
+            found = components(groups, links.select(F.col("x").alias("l"), F.col("y").alias("r"))).select(F.col("row_idx").alias("g"), "component")
+            wide = F.radians(F.coalesce(F.max("lat") - F.min("lat") + F.max("lon") - F.min("lon"), F.lit(0.0))) * geo.EARTH_KM * (1 + 1e-9)
+            torn = placed.join(found, "g").groupBy("component").agg(F.count_distinct(F.nullif("house", F.lit(""))).alias("houses"), wide.alias("km")).withColumn("torn", (F.col("houses") > 1) | (F.col("km") > 1))
+            sized = links.join(found, F.col("x") == F.col("g")).drop("g").join(torn, "component")
+            sized = cut(sized.join(sized.groupBy("component").agg(F.count("*").alias("n")), "component"))
+            whole = sized.filter("not torn").select(F.col("x").alias("l"), F.col("y").alias("r"))
+            small = replayed(placed, sized.filter(F.col("torn") & (F.col("n") <= few)))
+            rest = sized.filter(F.col("torn") & (F.col("n") > few)).select("x", "y", "at")
+            placed, links = united(placed, rest, cut(whole.unionByName(small)))
+        else:
+            calm = cut(calm_edges(links, placed))
+            placed, links = united(placed, calm, cut(contracted(calm)))
+        turn += 1
+    return placed.select("row_idx", F.col("g").alias("cluster"))
+
+
+def resolved(rows: DataFrame) -> DataFrame:
+    """(row_idx, cluster) of prepared rows: profiles, their links, and clusters of these."""
+    kept, members = profiles(rows)
+    found = clusters(kept, links(kept)[1])
+    return members.join(found.select(F.col("row_idx").alias("profile"), "cluster"), "profile").select("row_idx", "cluster")
