@@ -186,11 +186,32 @@ def q_blocking_pairs(spark, d):
     return resolve.candidate_pairs(resolve.prepared(obs(spark, d)))
 
 
-@query()
+KM_SQL = """12742.0176::DOUBLE * asin(least(1.0::DOUBLE, sqrt(pow(sin(radians(y.latitude - x.latitude) / 2), 2) + cos(radians(x.latitude)) * cos(radians(y.latitude)) * pow(sin(radians(y.longitude - x.longitude) / 2), 2))))"""
+# Similarity of names: the longest common part, then the same left and right of it. All observations have points and houses,
+# so addresses that are not equal are branches or lie within the radius; their similarity decides nothing here.
+MATCHES_SQL = f"""{KEYS_SQL.replace("WITH obs", "WITH RECURSIVE obs", 1)},
+p AS (SELECT *, {N_NAME} AS nm, {N_CITY} AS ct, {N_ADDRESS} AS ad, {DIGITS.format('phone')} AS ph, {HOST.format('website')} AS dm, lower(source) || ':' || source_id AS id, count(*) OVER (PARTITION BY lower(source), source_id) > 1 AS common FROM obs),
+f AS (SELECT *, min(row_idx) OVER (PARTITION BY nm, ct, ad, ph, dm, latitude, longitude, CASE WHEN common THEN id END, CASE WHEN nm = '' AND NOT common THEN row_idx END) AS profile FROM p),
+u AS (SELECT * FROM f WHERE row_idx = profile),
+c AS (SELECT DISTINCT a.row_idx AS l, b.row_idx AS r FROM k a JOIN k b ON a.key = b.key AND a.row_idx < b.row_idx WHERE a.row_idx IN (SELECT row_idx FROM u) AND b.row_idx IN (SELECT row_idx FROM u)),
+n AS (SELECT DISTINCT x.nm AS a, y.nm AS b FROM c JOIN u x ON x.row_idx = l JOIN u y ON y.row_idx = r WHERE x.nm <> '' AND y.nm <> ''),
+w AS (SELECT a, b, a AS s, b AS t, 0::BIGINT AS got FROM n
+  UNION ALL
+  SELECT a, b, unnest([s[1:h.at - 1], s[h.at + h.len:]]) AS s, unnest([t[1:strpos(t, s[h.at:h.at + h.len - 1]) - 1], t[strpos(t, s[h.at:h.at + h.len - 1]) + h.len:]]) AS t, unnest([h.len, 0])::BIGINT AS got
+  FROM (SELECT a, b, s, t, list_transform([list_max(list_filter(flatten(list_transform(range(1, len(s) + 1), lambda i: list_transform(range(1, len(s) - i + 2), lambda n: {{'len': n, 'at': -i}}))), lambda q: contains(t, s[-q.at:-q.at + q.len - 1])))], lambda q: {{'len': q.len, 'at': -q.at}})[1] AS h FROM w WHERE s <> '' AND t <> '')
+  WHERE h.len IS NOT NULL),
+sim AS (SELECT a, b, 2.0::DOUBLE * sum(got) / (len(a) + len(b)) AS s FROM w GROUP BY a, b),
+m AS (SELECT l, r, s, x.ad = y.ad AS one_address, {KM_SQL} AS km, x.ph <> '' AND x.ph = y.ph AS one_phone, x.dm <> '' AND x.dm = y.dm AND (x.ct = '' OR y.ct = '' OR 'крым' IN (x.ct, y.ct) OR x.ct = y.ct) AS one_site,
+  regexp_extract(x.ad, '([0-9]+)$', 1) <> regexp_extract(y.ad, '([0-9]+)$', 1) AS houses FROM c JOIN u x ON x.row_idx = l JOIN u y ON y.row_idx = r JOIN sim ON a = x.nm AND b = y.nm)
+SELECT 'row' AS kind, profile AS l, row_idx AS r FROM f UNION ALL
+SELECT 'id', first, row_idx FROM (SELECT row_idx, min(row_idx) OVER (PARTITION BY id) AS first FROM u WHERE common) WHERE row_idx <> first UNION ALL
+SELECT 'pair', l, r FROM m WHERE one_address AND s >= 0.72 OR km <= 0.35 AND s >= 0.68 OR NOT houses AND km <= 1 AND (one_phone AND s >= 0.72 OR one_site AND s >= 0.82)"""
+
+
+@query(MATCHES_SQL)
 def q_match_pairs(spark, d):
-    """Pairs that are one entity; similarities of names have no SQL twin."""
-    rows = resolve.prepared(obs(spark, d))
-    return resolve.matches(rows, resolve.candidate_pairs(rows))
+    """Profiles with their rows, ids that rows share, and pairs of profiles that are one entity by content."""
+    return resolve.linked_rows(resolve.prepared(obs(spark, d)))
 
 
 @query(WITH_OBS + f""" SELECT a.row_idx AS l, b.row_idx AS r FROM obs a JOIN obs b ON a.cluster = b.cluster AND a.row_idx < b.row_idx
@@ -216,8 +237,39 @@ def q_components(spark, d):
 @query()
 def q_clusters(spark, d):
     """Clusters with the branch veto."""
-    rows = resolve.prepared(obs(spark, d))
-    return resolve.clusters(rows, resolve.matches(rows, resolve.candidate_pairs(rows)))
+    return resolve.resolved(resolve.prepared(obs(spark, d)))
+
+
+#: Companies of twelve rows with one phone: two spellings of a name and another name, two houses or none, points up to 1.2 km
+#: apart or none. Rows without a place are bridges between branches.
+CHAIN = {
+    "row_idx": "c_custkey", "source": "'OSM'", "source_id": "CAST(c_custkey AS STRING)", "company": "CAST(floor(c_custkey / 12) AS BIGINT)", "kind": "c_custkey * 13 % 97 % 5", "city": "'Ялта'", "website": "''",
+    "house": "CASE c_custkey * 31 % 101 % 5 WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE '' END", "spot": "c_custkey * 17 % 103 % 6",
+}
+CHAIN_MORE = {
+    "name": "CASE WHEN kind = 4 THEN concat('жжжжжжжжжж', CAST(company AS STRING)) WHEN kind = 3 THEN concat('k', md5(CAST(company AS STRING)), ' плюс') ELSE concat('k', md5(CAST(company AS STRING))) END",
+    "address": "CASE WHEN house = '' THEN '' ELSE concat('Улица ', md5(CAST(company AS STRING)), ', ', house) END", "phone": "concat('8 978 ', lpad(CAST(company AS STRING), 7, '0'))",
+    "latitude": "CASE WHEN spot < 3 THEN NULL ELSE CAST(company % 100 AS DOUBLE) / 20 + CASE spot WHEN 3 THEN CAST(44 AS DOUBLE) WHEN 4 THEN CAST(44.006 AS DOUBLE) ELSE CAST(44.011 AS DOUBLE) END END",
+    "longitude": "CASE WHEN spot < 3 THEN NULL ELSE CAST(33 AS DOUBLE) + floor(company / 100) / 16 END",
+}
+
+
+@query("WITH RECURSIVE a AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in CHAIN.items()) + " FROM customer), b AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in CHAIN_MORE.items()) + f""" FROM a),
+n AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY row_idx) AS pos FROM b),
+pairs AS (SELECT x.company, x.pos AS i, y.pos AS j, (x.kind = 4) = (y.kind = 4) AS alike, x.latitude IS NOT NULL AND y.latitude IS NOT NULL AND {KM_SQL} > 1 OR x.house <> '' AND y.house <> '' AND x.house <> y.house AS bad FROM n x JOIN n y ON x.company = y.company AND x.pos < y.pos),
+e AS (SELECT company, i, j, row_number() OVER (PARTITION BY company ORDER BY j, i) AS k FROM pairs WHERE alike AND NOT bad),
+m AS (SELECT company, list(i * 100 + j) AS bad FROM pairs WHERE bad GROUP BY company),
+s AS (SELECT company, 0::BIGINT AS k, list(pos ORDER BY pos) AS lab FROM n GROUP BY company
+  UNION ALL
+  SELECT s.company, e.k, CASE WHEN lab[i] = lab[j] OR len(list_filter(coalesce(m.bad, []), lambda p: lab[p // 100] = lab[i] AND lab[p % 100] = lab[j] OR lab[p // 100] = lab[j] AND lab[p % 100] = lab[i])) > 0 THEN lab
+    ELSE list_transform(lab, lambda q: CASE WHEN q = greatest(lab[i], lab[j]) THEN least(lab[i], lab[j]) ELSE q END) END
+  FROM s JOIN e ON e.company = s.company AND e.k = s.k + 1 LEFT JOIN m ON m.company = s.company),
+z AS (SELECT company, arg_max(lab, k) AS lab FROM s GROUP BY company)
+SELECT n.row_idx, f.row_idx AS cluster FROM n JOIN z USING (company) JOIN n f ON f.company = n.company AND f.pos = lab[n.pos]""")
+def q_chain_clusters(spark, d):
+    """Chains with branches and bridges between them, united in the order of rows."""
+    rows = table(spark, d, "customer").selectExpr(*[f"{e} AS {n}" for n, e in CHAIN.items()]).selectExpr("*", *[f"{e} AS {n}" for n, e in CHAIN_MORE.items()]).drop("house")
+    return resolve.resolved(resolve.prepared(rows))
 
 
 ANCHOR_SQL = "NOT (source = 'VK' AND contains(quality_flags, 'vk_noise_primary'))"
