@@ -348,6 +348,18 @@ def q_state_upsert(spark, d):
     return state.upsert(first, e.filter("event_id % 2 <> 0"))
 
 
+#: Rows of an earlier run, and lookups of which some give no source.
+PROBES = {"row_idx": "row_idx + 0", "name": "name", "city": "city", "source": "CASE WHEN row_idx % 3 = 0 THEN '' ELSE source END", "source_id": "CASE WHEN row_idx % 3 = 0 THEN '' ELSE CAST(row_idx % 1100 AS STRING) END"}
+
+
+@query(WITH_OBS + f""", k AS (SELECT lower(source) || '|' || source_id AS id, {N_NAME} AS n, {N_CITY} AS c FROM obs WHERE row_idx % 4 = 1), p AS (SELECT {", ".join(f"{e} AS {n}" for n, e in PROBES.items())} FROM obs)
+SELECT row_idx, CASE WHEN source = '' THEN ({N_NAME}, {N_CITY}) IN (SELECT (n, c) FROM k) ELSE lower(source) || '|' || source_id IN (SELECT id FROM k) END AS seen FROM p""")
+def q_novelty(spark, d):
+    """K2: whether an earlier run has seen an observation, by its id or, without a source, by name and city."""
+    o = obs(spark, d)
+    return state.novel(o.selectExpr(*[f"{e} AS {n}" for n, e in PROBES.items()]), state.named(o.filter("row_idx % 4 = 1").drop("observation_id"))).select("row_idx", "seen")
+
+
 @query("""WITH m AS (SELECT max(ts) AS now FROM events) SELECT event_id FROM events, m WHERE ts > now - CASE WHEN event_type = 'error' THEN INTERVAL 2 DAY WHEN event_type = 'view' THEN INTERVAL 9 DAY ELSE INTERVAL 5 DAY END""")
 def q_ttl_fresh(spark, d):
     """Entries that are young enough for their status."""
