@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from entityspark.functions import contact, geo, text, values, web
-from entityspark.operators import golden, identity, resolve
+from entityspark.operators import golden, identity, ordered, resolve
 from entityspark.streaming import state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -383,6 +383,15 @@ def q_budget_cumulative(spark, d):
     return table(spark, d, "events").withColumn("used", used).filter("used <= 5").select("event_id")
 
 
+@query("""WITH e AS (SELECT event_id, ts, event_type = 'error' AS bad, event_id % 3000 AS card FROM events), f AS (SELECT *, row_number() OVER (PARTITION BY card ORDER BY ts, event_id) = 1 AS first FROM e),
+c AS (SELECT *, sum((first AND NOT bad)::INT) OVER (ORDER BY ts, event_id) - (first AND NOT bad)::INT AS spent FROM f), a AS (SELECT *, spent < 500 AS free FROM c)
+SELECT event_id, bool_or(first AND free) OVER (PARTITION BY card) AS allowed, first AND free AND NOT bad AS charged FROM a""")
+def q_budget_refund(spark, d):
+    """One budget over all lookups in order; failures are refunded, what is known already is free."""
+    e = table(spark, d, "events").select("event_id", "ts", "event_type", (F.col("event_id") % 3000).alias("card"))
+    return ordered.budgeted(e, ["ts", "event_id"], 500, F.col("event_type") == "error", "card").select("event_id", "allowed", "charged")
+
+
 @query("""WITH e AS (SELECT user_id, event_id, event_type = 'error' AS bad, sum((event_type <> 'error')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events)
 SELECT user_id, max(n)::BIGINT AS longest FROM (SELECT user_id, island, sum(bad::INT) AS n FROM e GROUP BY user_id, island) GROUP BY user_id""")
 def q_consecutive_run(spark, d):

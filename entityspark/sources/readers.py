@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from entityspark.functions import contact, geo, taxonomy, text, values, web
+from entityspark.operators import ordered
 from entityspark.sources.sinks import safe
 
 OSM = "elements array<struct<type: string, id: bigint, lat: double, lon: double, center: struct<lat: double, lon: double>, tags: map<string, string>>>"
@@ -118,12 +118,10 @@ def found_groups(results: DataFrame) -> DataFrame:
 def usable(envelopes: DataFrame) -> DataFrame:
     """Answers of the social network up to the end of its patience: nothing from an invalid token on, nor from the third answer
     in a row on that tells of a flood. Columns: seq, error_code (null for none)."""
-    w = W.orderBy("seq")  # the answers of one token, a thousand or so
-    dead = F.max(F.coalesce(F.col("error_code").isin(values.DEAD_TOKEN_CODES), F.lit(False)).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))
-    flood = F.coalesce(F.col("error_code") == values.FLOOD_CODE, F.lit(False)).cast("int")
-    three = F.sum(flood).over(w.rowsBetween(-2, 0)) == 3
-    stopped = envelopes.withColumn("dead", dead).withColumn("three", three.cast("int")).withColumn("over", F.max("three").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return stopped.filter("dead = 0 and over = 0 and error_code is null").drop("dead", "three", "over")
+    known = ordered.running(ordered.numbered(envelopes, ["seq"]), {"place": F.lit(1)})
+    dead = known.filter(F.col("error_code").isin(values.DEAD_TOKEN_CODES)).select("place")
+    flood = ordered.in_a_row(known.filter(F.col("error_code") == values.FLOOD_CODE).select("place"), 3)
+    return ordered.before_first(known, dead.unionByName(flood), "place").filter("error_code is null").drop("place", "__id")
 
 
 def relevance(queries: Column) -> Column:
@@ -210,10 +208,10 @@ def card_rows(c: DataFrame, limit: int) -> DataFrame:
 
 def steady_rounds(counts: DataFrame, rounds: int = 3) -> DataFrame:
     """(snapshot): the first round of a scrolled list after which ``rounds`` rounds brought nothing new. Columns: snapshot, n."""
-    w = W.orderBy("snapshot")  # the rounds of one list, a few dozen
-    quiet = counts.withColumn("same", (F.col("n") <= F.coalesce(F.lag("n").over(w), F.lit(-1))).cast("int"))
-    run = F.sum("same").over(w.rowsBetween(1 - rounds, 0))
-    return quiet.withColumn("run", run).filter(F.col("run") == rounds).agg(F.min("snapshot").alias("snapshot"))
+    known = ordered.running(ordered.numbered(counts, ["snapshot"]), {"place": F.lit(1)}).select("snapshot", "n", "place")
+    before = known.select((F.col("place") + 1).alias("place"), F.col("n").alias("before"))
+    quiet = known.join(before, "place").filter("n <= before").select("place")
+    return known.join(ordered.in_a_row(quiet, rounds), "place", "left_semi").agg(F.min("snapshot").alias("snapshot"))
 
 
 def run_result(value: object, observed: int) -> tuple[int, dict]:
