@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from entityspark.functions import contact, geo, taxonomy, text, values, web
-from entityspark.operators import enrich, golden, identity, master, outreach, signals
+from entityspark.operators import crawl, enrich, golden, identity, master, outreach, signals
 from entityspark.plans.catalogue import ORACLES, QUERIES, query, table  # noqa: F401 (the queries of both modules)
 from entityspark.sources import readers, sinks
 
@@ -518,3 +518,17 @@ SELECT c_custkey AS row_idx, min(c_custkey) OVER (PARTITION BY company, house) A
 def q_branch_clusters(spark, d):
     """Rows of one phone and name are one company, but for its branches at other houses."""
     return master.clustered(table(spark, d, "customer").selectExpr(*[f"{e} AS {n}" for n, e in BRANCHES.items()])).select("row_idx", "cluster")
+
+
+#: Ten sites whose pages link to each other; every fourth page has an interesting path.
+SITE = "concat('https://site', CAST(page_id % 10 AS STRING), '.ru')"
+PATH = "CASE WHEN {0} = 0 THEN '/' WHEN {0} % 4 = 1 THEN concat('/about/', CAST({0} AS STRING)) ELSE concat('/p/', CAST({0} AS STRING)) END"
+
+
+@query()
+def q_crawl(spark, d):
+    """The pages that a crawl of ten sites visits, by site in order; a queue has no SQL twin."""
+    k = "CAST(floor(page_id / 10) AS BIGINT)"
+    anchors = [f"""concat('<a href="', {PATH.format(f'({target})')}, '">x</a>')""" for target in (f"{k} * 2 + 1", f"{k} * 2 + 2", f"{k} * 3 + 1", f"({k} + 7) % 25")]
+    pages = table(spark, d, "pages").selectExpr(f"{SITE} AS origin", f"concat({SITE}, {PATH.format(k)}) AS url", f"concat(html, {', '.join(anchors)}) AS html")
+    return crawl.crawl(crawl.first_queues(pages), crawl.captured(pages)).select("origin", "place", "url", F.col("html").isNotNull().alias("found"))
