@@ -76,7 +76,7 @@ def osm(spark: SparkSession, path: str) -> DataFrame:
 
 def captured(spark: SparkSession, path: str) -> DataFrame:
     """As ``osm``, from a folder of captured answers. The box of the peninsula reaches the reader, so that files off it stay shut."""
-    south, north, west, east = values.CONTOUR_BOX
+    (south, north), (west, east) = ((min(*own, *box), max(*own, *box)) for own, box in zip(zip(*values.CONTOUR, strict=True), (values.CONTOUR_BOX[:2], values.CONTOUR_BOX[2:]), strict=True))
     e = places.places(spark, path).filter(F.col("lat").between(south, north) & F.col("lon").between(west, east))
     return osm_rows(e.withColumn("center", F.lit(None).cast("struct<lat:double,lon:double>")))
 
