@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entityspark.functions import contact, text, web
-from entityspark.operators import crawl
+from entityspark.operators import crawl, details
 from entityspark.plans.business import pick
 from entityspark.plans.catalogue import HOST, query, table
 
@@ -140,3 +140,19 @@ def q_restored_cells(spark, d):
     """Cells as they were before an export made them safe, and shortened ones."""
     p = derived(spark, d, "part", "p_partkey", **CELLS)
     return p.select("p_partkey", text.restored_cell(F.col("cell")).alias("restored"), text.shortened(F.col("cell"), 12).alias("short"))
+
+
+ANSWERS = ["ok", "ok", "empty", "ok", "timeout", "ok", "ok", "ok", "markup_error", "ok", "strange", "ok", "blocked at last"]
+
+
+@query(f"""WITH c AS (SELECT event_id, event_id % 4000 AS org_id, ts FROM events), f AS (SELECT org_id, row_number() OVER (ORDER BY min(ts), min(event_id)) AS seq FROM (SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY ts, event_id) AS n FROM c) WHERE n = 1 GROUP BY org_id),
+a AS (SELECT org_id, seq, CASE WHEN t IN ('ok', 'empty', 'timeout', 'markup_error') THEN t ELSE 'navigation_error' END AS t FROM (SELECT *, {pick('org_id', ANSWERS)} AS t FROM f)),
+s AS (SELECT event_id, CASE WHEN seq <= 700 THEN t WHEN seq = 701 AND row_number() OVER (PARTITION BY org_id ORDER BY ts, event_id) = 1 THEN 'detail_budget_exhausted' ELSE 'circuit_open' END AS status FROM c JOIN a USING (org_id))
+SELECT event_id, status, CASE status WHEN 'ok' THEN '0.95' WHEN 'empty' THEN '0.85' WHEN 'timeout' THEN '0.65' WHEN 'navigation_error' THEN '0.60' WHEN 'markup_error' THEN '0.55' ELSE '0.50' END AS confidence,
+  CASE status WHEN 'ok' THEN '' WHEN 'empty' THEN 'no_public_contacts' WHEN 'timeout' THEN 'detail_timeout|contact_unverified' WHEN 'navigation_error' THEN 'detail_navigation_error|contact_unverified' WHEN 'markup_error' THEN 'detail_markup_error|manual_review' ELSE 'contact_unverified|manual_review' END AS flags
+FROM s""")
+def q_card_details(spark, d):
+    """Details of cards under a budget of 700 requests, with what their status is worth."""
+    cards = table(spark, d, "events").select("event_id", (F.col("event_id") % 4000).alias("org_id"), "ts")
+    answers = cards.select("org_id").distinct().selectExpr("org_id", f"{pick('org_id', ANSWERS)} AS status", "'' AS phone", "'' AS email", "'' AS website")
+    return details.detailed(cards, answers, ["ts", "event_id"], 700).select("event_id", "status", "confidence", "flags")

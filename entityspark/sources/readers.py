@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +105,24 @@ def osm_rows(elements: DataFrame) -> DataFrame:
     )
 
 
+ENTRY = "checked_at string, status string, via string, signals array<string>, contacts map<string,string>"
+
+
+def cache_file(spark: SparkSession, path: str, statuses: list[str] | None = None) -> DataFrame:
+    """(host, checked_at, status, via, signals, contacts) of cache files, each one object from hosts to entries. A missing or
+    unreadable file is an empty cache; entries that are no objects, or whose status is none of ``statuses``, are left out."""
+    try:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"host string, {ENTRY}")
+    # Entries are read one by one, so that one of another shape spoils no other.
+    raw = files.select(F.explode(F.from_json("value", "map<string,string>")).alias("host", "entry")).filter(F.col("entry").startswith("{"))
+    rows = raw.select("host", F.from_json("entry", ENTRY).alias("e")).select("host", "e.*")
+    return rows if statuses is None else rows.filter(F.col("status").isin(statuses))
+
+
 def search_matrix(spark: SparkSession, max_cities: int = 0, max_queries: int = 0) -> DataFrame:
     """(city_id, city, query, place): the searches of the social network, city by city."""
     cities, queries = list(values.GROUP_CITIES.items())[: max_cities or None], list(taxonomy.group_queries())[: max_queries or None]
