@@ -162,14 +162,18 @@ def with_sides(pairs: DataFrame, rows: DataFrame, names: list[str]) -> DataFrame
 def by_content(both: DataFrame) -> DataFrame:
     """The pairs (l, r) that match by content. Names come first, each distinct pair of them once; addresses only where
     nothing else decides."""
-    names = similar(both.select(F.col("l_name").alias("a"), F.col("r_name").alias("b")).distinct(), SIMILAR_NAME)
+    # Written first, as Spark would test the bounds below the distinct, for every pair of rows.
+    pairs = cut(both.select(F.col("l_name").alias("a"), F.col("r_name").alias("b")).distinct())
+    names = cut(similar(pairs, SIMILAR_NAME))
     scored = both.join(names, (F.col("l_name") == F.col("a")) & (F.col("r_name") == F.col("b"))).drop("a", "b")
     equal = F.when((F.col("l_address") == F.col("r_address")) & (F.col("l_address") != ""), 1.0).otherwise(0.0)
-    sure = scored.filter(rule(F.col("s"), equal))
-    open_ = scored.filter(~rule(F.col("s"), equal) & rule(F.col("s"), F.lit(SIMILAR_ADDRESS)) & (F.col("l_address") != "") & (F.col("r_address") != ""))
-    addresses = similar(open_.select(F.col("l_address").alias("a"), F.col("r_address").alias("b")).distinct(), SIMILAR_ADDRESS).select("a", "b")
+    may = (F.col("l_address") != "") & (F.col("r_address") != "") & rule(F.col("s"), F.lit(SIMILAR_ADDRESS))
+    judged = scored.select("l", "r", "l_address", "r_address", F.when(rule(F.col("s"), equal), "sure").when(may, "open").alias("verdict"))
+    judged = cut(judged.filter("verdict IS NOT NULL"))
+    open_ = judged.filter("verdict = 'open'")
+    addresses = similar(cut(open_.select(F.col("l_address").alias("a"), F.col("r_address").alias("b")).distinct()), SIMILAR_ADDRESS).select("a", "b")
     more = open_.join(addresses, (F.col("l_address") == F.col("a")) & (F.col("r_address") == F.col("b")))
-    return sure.select("l", "r").unionByName(more.select("l", "r"))
+    return judged.filter("verdict = 'sure'").select("l", "r").unionByName(more.select("l", "r"))
 
 
 def matches(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -217,7 +221,7 @@ def meeting(left: DataFrame, right: DataFrame, alike: bool = True) -> DataFrame:
     if alike:
         names = lambda df, n: df.select("key", F.col("name").alias(n)).distinct()
         met = names(left, "a").join(names(right, "b"), "key")
-        may = reachable(met.select("a", "b").distinct(), SIMILAR_NAME)
+        may = reachable(cut(met.select("a", "b").distinct()), SIMILAR_NAME)
         met = met.join(may, ["a", "b"])
         left = left.withColumnRenamed("name", "a").join(met, ["key", "a"])
         both = left.withColumnRenamed("row_idx", "x").join(right.select("key", F.col("name").alias("b"), F.col("row_idx").alias("y")), ["key", "b"])
