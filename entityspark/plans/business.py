@@ -245,6 +245,13 @@ def q_entity_id(spark, d):
     return golden.golden(biz(spark, d).filter("source_id <> ''")).select("cluster", "entity_id")
 
 
+@query(f"""WITH i AS ({ORACLES['q_identity']}), b AS ({WITH_BIZ} SELECT row_idx, source, trim(source_id) AS s FROM biz), m AS (SELECT row_idx % 750 AS cluster, CASE WHEN s <> '' THEN 'source-id|' || lower(source) || '|' || s END AS m, id FROM b JOIN i USING (row_idx))
+SELECT cluster, 'ent_' || sha256(coalesce(string_agg(m, '|' ORDER BY m), string_agg(id, '|' ORDER BY id)))[1:24] AS entity_id FROM m GROUP BY cluster""")
+def q_entity_ids(spark, d):
+    """Ids of all entities; those whose observations have no source id are known by their observations."""
+    return golden.golden(biz(spark, d).withColumn("cluster", F.col("row_idx") % 750)).select("cluster", "entity_id")
+
+
 @query(WITH_BIZ + f""", v AS (SELECT cluster, row_idx, 0 AS k, trim(email) AS v FROM biz UNION ALL SELECT cluster, row_idx, i, trim(p) FROM (SELECT cluster, row_idx, unnest(string_split(all_emails, '|')) AS p, generate_subscripts(string_split(all_emails, '|'), 1) AS i FROM biz)),
 f AS (SELECT cluster, lower(v) AS id, min({{'r': row_idx, 'k': k, 'v': v}}) AS x FROM v WHERE v <> '' GROUP BY 1, 2) SELECT cluster, string_agg(x.v, ' | ' ORDER BY x.r, x.k) AS all_emails FROM f GROUP BY cluster""")
 def q_contact_lists(spark, d):
