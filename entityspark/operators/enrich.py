@@ -139,7 +139,7 @@ def apply_memory(rows: DataFrame, memory: DataFrame, now: str) -> DataFrame:
     return clean.withColumn("pending", pending).drop(*[c for c in clean.columns if c.startswith("__")])
 
 
-def apply_browser(rows: DataFrame, found: DataFrame, email_only: bool = False) -> DataFrame:
+def apply_browser(rows: DataFrame, found: DataFrame) -> DataFrame:
     """The rows with what a browser found on their host: needed fields that were empty, lists united. ``found``: host and the seven contacts."""
     b = text.blank
     known = found.select(F.col("host").alias("__host"), *[b(F.col(c)).alias(f"__{c}") for c in (*NEEDS, *LISTS)])

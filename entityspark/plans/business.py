@@ -345,7 +345,7 @@ def q_signal_targets(spark, d):
 SITE_CACHE = "SELECT s_suppkey AS k, 'site' || s_suppkey || '.ru' AS host, CASE s_suppkey % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'dead' WHEN 2 THEN '' ELSE 'blocked' END AS status, CASE WHEN s_suppkey % 8 = 2 THEN ['site_dead'] ELSE ['outdated'] END AS signals, '2026-10-' || lpad(CAST(1 + s_suppkey % 28 AS STRING), 2, '0') || ' 00:00:00' AS checked_at FROM supplier"
 
 
-@query(f"""WITH c AS ({SITE_CACHE}), t AS (SELECT 'site' || p_partkey || '.ru' AS host, p_partkey % 2 = 0 AS eligible FROM part WHERE p_partkey % 3 <> 0),
+@query(f"""WITH c AS ({SITE_CACHE}), t AS (SELECT 'site' || p_partkey || '.ru' AS host, p_partkey % 2 = 0 AS eligible FROM part),
 a AS (SELECT t.*, c.host IS NOT NULL AS cached, coalesce(checked_at, '') AS checked_at, coalesce(nullif(status, ''), CASE WHEN list_contains(signals, 'site_dead') THEN 'dead' ELSE 'ok' END) AS st FROM t LEFT JOIN c USING (host))
 SELECT host, row_number() OVER (ORDER BY eligible DESC, cached, checked_at, host) AS place FROM a WHERE NOT cached OR checked_at::TIMESTAMP <= TIMESTAMP '2026-10-29 00:00:00' - CASE WHEN st = 'ok' THEN INTERVAL 30 DAY ELSE INTERVAL 7 DAY END QUALIFY place <= 400""")
 def q_signal_queue(spark, d):
@@ -353,7 +353,7 @@ def q_signal_queue(spark, d):
     from pyspark.sql.window import Window as W
 
     cache = table(spark, d, "supplier").selectExpr("concat('site', s_suppkey, '.ru') AS host", "CASE WHEN s_suppkey % 8 = 2 THEN array('site_dead') ELSE array('outdated') END AS signals", "concat('2026-10-', lpad(CAST(1 + s_suppkey % 28 AS STRING), 2, '0'), ' 00:00:00') AS checked_at", "CASE s_suppkey % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'dead' WHEN 2 THEN '' ELSE 'blocked' END AS status")
-    sites = table(spark, d, "part").filter("p_partkey % 3 <> 0").selectExpr("concat('site', p_partkey, '.ru') AS host", "false AS booking", "p_partkey % 2 = 0 AS eligible")
+    sites = table(spark, d, "part").selectExpr("concat('site', p_partkey, '.ru') AS host", "false AS booking", "p_partkey % 2 = 0 AS eligible")
     first = signals.batch(signals.stale(sites, cache, "2026-10-29 00:00:00"))
     return first.select("host", F.row_number().over(W.orderBy(F.col("eligible").desc(), "cached", "checked_at", "host")).cast("long").alias("place"))  # 400 rows
 
