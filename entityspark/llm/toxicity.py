@@ -310,9 +310,12 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, text: s
     copies = F.greatest(*[F.count("*").over(W.partitionBy(F.get("sketch", F.lit(k)))) for k in range(SKETCH)])
     voices = materialize(known.select("label", copies.alias("copies"), "own"), "voices")
     counts = voices.mapInArrow(count, "bucket int, clean double, toxic double").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    table = counts.toPandas()  # BUCKETS + 1 rows at most
+    # BUCKETS + 1 rows at most; as columns, for rows of Python objects would fill the driver's memory.
+    table = counts.toArrow()
     clean, toxic = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
-    clean[table["bucket"]], toxic[table["bucket"]] = table["clean"], table["toxic"]
+    at = table["bucket"].to_numpy()
+    clean[at], toxic[at] = table["clean"].to_numpy(), table["toxic"].to_numpy()
+    del table, at
     n, bad = clean[-1] + toxic[-1], toxic[-1]
     if not n or not bad or bad == n:
         return Model(costs, np.zeros(BUCKETS, np.float32), 0.0 if not n else 4.0 if bad else -4.0)
@@ -336,7 +339,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, text: s
 
     # Words that chance put into toxic documents are strong evidence in these alone. What evidence is worth in documents
     # that didn't give it is learned from the sample, each document being left out of its own counts.
-    sums = voices.mapInArrow(without, "label int, evidence double").toPandas()  # most_labelled rows at most
+    sums = voices.mapInArrow(without, "label int, evidence double").toArrow()  # most_labelled rows at most
     slope, base_score = calibrated(sums["evidence"].to_numpy(), (sums["label"].to_numpy() > 0).astype(float))
     return Model(costs, weighed(clean, toxic)[:-1].astype(np.float32), base_score, slope)
 

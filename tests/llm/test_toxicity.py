@@ -123,3 +123,14 @@ assert toxicity.scored(docs, toxicity.fit(docs, labels)).count() == 36
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]
+
+
+def test_counts_of_many_words_take_little_of_the_drivers_memory(spark):
+    import tracemalloc
+
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 700), k -> translate(md5(concat(id, ':', k)), '0123456789', 'ghijklmnop'))) AS text")
+    tracemalloc.start()
+    model = tox.fit(docs, spark.range(300).selectExpr("id AS doc_id", "int(id % 3 = 0) AS toxic"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(np.unique(model.weights)) > 1 and peak < 100e6
