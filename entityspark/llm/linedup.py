@@ -10,8 +10,10 @@ equal sets in another spelling included. Sizes, the places of the shared word an
 out almost all other pairs before Jaccard is verified on the whole sets.
 
 Lines with a shared rare word, such as the versions of a text with many near copies, are not paired with each other:
-first each meets only the earliest line of each of its words, which settles most; only lines that are still unsettled
-meet the other earlier ones. Words are taken in several passes, so that the shuffle files of a fraction exist at a time.
+first each meets only the earliest line of each of its rarest words, which settles most; only lines that are still unsettled
+meet the other earlier ones. Of the pairs found so, each unsettled line is first compared with the one whose sketch is
+nearest, and with the others only if that one is not similar. Words are taken in several passes, so that the shuffle files
+of a fraction exist at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from entityspark.llm.common import NOT_SPACE, SPACE, discard, materialize
 
@@ -30,7 +33,7 @@ CLASSES = 1 << 14
 #: Bits of a word's hash below its class's rarity in a prefix. Where they collide, a pair more is verified.
 BITS = 50
 #: Sets of more words have a parity sketch of 128 bits instead of 64.
-LARGE = 64
+LARGE = 32
 #: Passes over the words of the prefixes.
 PASSES = 4
 #: Tables of row numbers with at most so many rows (16 MB) are broadcast; larger ones are joined by a shuffle.
@@ -67,11 +70,21 @@ def rarity(sets: DataFrame) -> Column:
     return F.split(F.lit(",".join(str(often.get(k, 0)) for k in range(CLASSES))), ",").cast("array<int>")
 
 
+def prefix_length(size: Column, share: float) -> Column:
+    """Sets that have at least this share of their words in common with another have one of so many first words in common with it."""
+    return (size - F.ceil(F.lit(share) * size - 1e-9) + 1).cast("int")
+
+
+def short(size: Column, threshold: float) -> Column:
+    """Length of the prefix by which a set meets sets of its size or larger ones."""
+    return prefix_length(size, 2 * threshold / (1 + threshold))
+
+
 def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
-    """(token, set_no, order, size, short, at, parity, upper) for each word of a set's prefix, the rarest words coming first.
+    """(set_no, order, size, parity, upper, at, token) for each word of a set's prefix, the rarest words coming first.
 
-    ``short``: length of the prefix by which a set meets larger ones. ``parity``: 64 bits, each word flips one. ``upper``:
-    for large sets, the part of it that comes from words with a certain bit, so that large sets have 128 bits.
+    ``parity``: 64 bits, each word flips one. ``upper``: for large sets, the part of it that comes from words with a certain
+    bit, so that large sets have 128 bits.
     """
 
     def ranked(w: Column) -> Column:
@@ -84,23 +97,30 @@ def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
     order = F.coalesce("doc_id", F.lit(2**63 - 1)) if isinstance(sets.schema["doc_id"].dataType, T.IntegralType) else F.lit(0)
     size, one = F.size("codes"), F.lit(1).cast("long")
     upper = F.when(size > LARGE, flipped(lambda t: F.shiftright(t, 6).bitwiseAND(one))).otherwise(F.lit(0).cast("long"))
-    length = (size - F.ceil(F.lit(threshold) * size - 1e-9) + 1).cast("int")
-    short = (size - F.ceil(F.lit(2 * threshold / (1 + threshold)) * size - 1e-9) + 1).cast("int")
     # What is computed once a set stands below the generator, in a projection of its own.
-    known = sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), short.alias("short"), flipped(lambda t: one).alias("parity"), upper.alias("upper"), F.slice(F.sort_array(F.transform("codes", ranked)), F.lit(1), length).alias("prefix"))
-    return known.select("set_no", "order", "size", "short", "parity", "upper", F.posexplode("prefix").alias("at", "token"))
+    prefix = F.slice(F.sort_array(F.transform("codes", ranked)), F.lit(1), prefix_length(size, threshold))
+    known = sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), flipped(lambda t: one).alias("parity"), upper.alias("upper"), prefix.alias("prefix"))
+    return known.select("set_no", "order", "size", "parity", "upper", F.posexplode("prefix").alias("at", "token"))
+
+
+def overlap(threshold: float) -> Column:
+    """How many words similar sets x and y share at least."""
+    return F.ceil((F.col("x_size") + F.col("y_size")) * (threshold / (1 + threshold)) - 1e-9)
+
+
+def spare(threshold: float) -> Column:
+    """How many more words could differ in x and y than their sketches tell, were they similar."""
+    parity, upper = (F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")) for c in ("parity", "upper"))
+    differing = F.when(F.least("x_size", "y_size") > LARGE, F.bit_count(upper) + F.bit_count(parity.bitwiseXOR(upper))).otherwise(F.bit_count(parity))
+    return F.col("x_size") + F.col("y_size") - 2 * overlap(threshold) - differing
 
 
 def fits(threshold: float) -> Column:
     """Whether rows x and y of one token may belong to similar sets."""
-    both = F.col("x_size") + F.col("y_size")
-    overlap = F.ceil(both * (threshold / (1 + threshold)) - 1e-9)
     # The first shared word bounds the overlap by what follows it; of a similar pair that word always passes.
     reach = F.least(F.col("x_size") - F.col("x_at"), F.col("y_size") - F.col("y_at"))
-    parity, upper = (F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}")) for c in ("parity", "upper"))
-    differing = F.when(F.least("x_size", "y_size") > LARGE, F.bit_count(upper) + F.bit_count(parity.bitwiseXOR(upper))).otherwise(F.bit_count(parity))
     near = F.least("x_size", "y_size") >= F.greatest("x_size", "y_size") * threshold - 1e-9
-    return (F.col("x_set_no") != F.col("y_set_no")) & near & (reach >= overlap) & (differing <= both - 2 * overlap)
+    return (F.col("x_set_no") != F.col("y_set_no")) & near & (reach >= overlap(threshold)) & (spare(threshold) >= 0)
 
 
 def named(words: DataFrame, side: str) -> DataFrame:
@@ -108,20 +128,23 @@ def named(words: DataFrame, side: str) -> DataFrame:
 
 
 def to_leaders(words: DataFrame, threshold: float) -> DataFrame:
-    """Candidates (a, b): each set with the earliest set of each of its words."""
-    cells = F.struct("order", "set_no", "size", "at", "parity", "upper")
-    first = words.groupBy("token").agg(F.min(cells).alias("x"), F.count("*").alias("n")).filter("n > 1").select("token", "x.*")
-    met = named(words, "y").join(named(first, "x").hint("merge"), "token")
+    """Candidates (a, b): each set with the earliest set of each word of its short prefix."""
+    of_token = W.partitionBy("token").orderBy("y_order", "y_set_no").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = named(words.filter(F.col("at") < short(F.col("size"), threshold)), "y")
+    met = rows.select("*", *[F.nth_value(c, 1).over(of_token).alias(f"x{c[1:]}") for c in rows.columns if c != "token"])
     return met.filter(fits(threshold)).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
 
 
 def among_open(words: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
-    """Candidates (a, b) of which the later one is not settled: y is as large as x or larger, so x needs its short prefix only."""
+    """Candidates (a, b, later, spare) of which the later one is not settled: y is as large as x or larger, so x needs its short
+    prefix only. ``later`` is null where the order of the documents doesn't tell which one that is."""
     open_ = words.join(small(settled).withColumn("done", F.lit(True)), "set_no", "left").withColumn("open", F.col("done").isNull()).drop("done")
-    smaller = named(open_.filter("at < short").drop("short"), "x")
-    met = named(open_.drop("short"), "y").join(smaller.hint("merge"), "token")
-    later = (F.col("x_open") & (F.col("x_order") >= F.col("y_order"))) | (F.col("y_open") & (F.col("y_order") >= F.col("x_order")))
-    return met.filter((F.col("x_size") <= F.col("y_size")) & later & fits(threshold)).select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b")).distinct()
+    smaller = named(open_.filter(F.col("at") < short(F.col("size"), threshold)), "x")
+    met = named(open_, "y").join(smaller.hint("merge"), "token")
+    x, y = F.col("x_order"), F.col("y_order")
+    met = met.filter((F.col("x_size") <= F.col("y_size")) & ((F.col("x_open") & (x >= y)) | (F.col("y_open") & (y >= x))) & fits(threshold))
+    later = F.when(x > y, F.col("x_set_no")).when(y > x, F.col("y_set_no"))
+    return met.select(F.col("y_set_no").alias("a"), F.col("x_set_no").alias("b"), later.alias("later"), spare(threshold).alias("spare")).distinct()
 
 
 def small(numbers: DataFrame) -> DataFrame:
@@ -129,25 +152,36 @@ def small(numbers: DataFrame) -> DataFrame:
     return F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
 
 
-def in_passes(words: DataFrame, of, name: str) -> list[DataFrame]:
-    """``of`` each part of the words, one after the other, in tables."""
-    return [materialize(of(words.filter(F.pmod("token", F.lit(PASSES)) == k)), name) for k in range(PASSES)]
+def in_passes(words: DataFrame, of, name: str) -> DataFrame:
+    """The distinct rows of ``of`` each part of the words, taken one after the other, in a table."""
+    parts = [materialize(of(words.filter(F.pmod("token", F.lit(PASSES)) == k)), name) for k in range(PASSES)]
+    found = materialize(reduce(DataFrame.unionByName, parts).distinct(), name)
+    for part in parts:
+        discard(part)
+    return found
+
+
+def whole_sets(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_no, place, codes) of all sets of the candidates, in a table."""
+    ids = materialize(met.select(F.col("a").alias("set_no")).distinct().unionByName(met.select(F.col("b").alias("set_no")).distinct()).distinct(), "ids")
+    found = materialize(sets.join(small(ids), "set_no", "left_semi").select("set_no", F.struct(*ORDER).alias("place"), "codes"), "whole")
+    discard(ids)
+    return found
 
 
-def verified(candidates: list[DataFrame], sets: DataFrame, threshold: float) -> DataFrame:
+def verified(met: DataFrame, whole: DataFrame, threshold: float) -> DataFrame:
     """(set_no): the later one of each pair whose Jaccard similarity reaches the threshold."""
-    met = reduce(DataFrame.unionByName, candidates).distinct()
-    ids = materialize(met.select(F.explode(F.array("a", "b")).alias("set_no")).distinct(), "ids")
-    one = sets.join(small(ids), "set_no", "left_semi").select("set_no", F.struct(*ORDER).alias("place"), "codes")
-    with_b = met.join(one, F.col("b") == F.col("set_no")).select("a", F.col("place").alias("b_place"), F.col("codes").alias("b_codes"), "b")
-    whole = with_b.join(one, F.col("a") == F.col("set_no")).drop("set_no")
+    with_b = met.join(whole, F.col("b") == F.col("set_no")).select("a", F.col("place").alias("b_place"), F.col("codes").alias("b_codes"), "b")
+    both = with_b.join(whole, F.col("a") == F.col("set_no")).drop("set_no")
     common = F.size(F.array_intersect("codes", "b_codes"))
     alike = common >= threshold * (F.size("codes") + F.size("b_codes") - common) - 1e-9
     later = F.when(F.col("place") > F.col("b_place"), F.col("a")).otherwise(F.col("b"))
-    found = materialize(whole.filter(alike).select(later.alias("set_no")).distinct(), "settled")
-    for table in (*candidates, ids):
-        discard(table)
-    return found
+    return materialize(both.filter(alike).select(later.alias("set_no")).distinct(), "settled")
+
+
+def nearest(met: DataFrame) -> DataFrame:
+    """(a, b): for each later set the candidate that its sketch is nearest to."""
+    return met.filter("later IS NOT NULL").groupBy("later").agg(F.max(F.struct("spare", "a", "b")).alias("x")).select("x.a", "x.b")
 
 
 def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
@@ -155,10 +189,17 @@ def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
     sets = materialize(distinct_lines(lines(rows)), "sets", **{"parquet.dictionary.page.size": str(1 << 23)})
     words = materialize(prefixes(sets, rarity(sets), threshold), "words")
 
-    settled = verified(in_passes(words, lambda part: to_leaders(part, threshold), "led"), sets, threshold)
+    led = in_passes(words, lambda part: to_leaders(part, threshold), "led")
+    settled = verified(led, whole := whole_sets(led, sets), threshold)
     rest = in_passes(words, lambda part: among_open(part, settled, threshold), "pairs")
-    discard(words)
-    gone = materialize(settled.unionByName(verified(rest, sets, threshold)).distinct(), "gone")
+    for table in (words, led, whole):
+        discard(table)
+    whole = whole_sets(rest, sets)
+    by_nearest = verified(nearest(rest), whole, threshold)
+    left = rest.join(small(by_nearest), F.col("later") == F.col("set_no"), "left_anti").select("a", "b")
+    gone = materialize(reduce(DataFrame.unionByName, (settled, by_nearest, verified(left, whole, threshold))).distinct(), "gone")
+    for table in (rest, whole):
+        discard(table)
     return sets.join(small(gone), "set_no", "left_anti").select("row_id", "line_no")
 
 

@@ -84,3 +84,20 @@ def test_rows_are_numbered_once(spark, monkeypatch, tmp_path):
     df = documents(spark, texts).coalesce(1)
     monkeypatch.setattr(queries, "table", lambda *_: df.mapInArrow(otherwise_each_time, df.schema))
     assert {r["doc_id"]: r["text"] for r in queries.op10_lines(spark, "").collect()} == dict(enumerate(texts))
+
+
+def test_near_copies_are_not_all_compared(spark, monkeypatch):
+    """The earliest line has the rare words of all versions but resembles none, so it settles none of them."""
+    base, compared = [f"rare{k}" for k in range(30)], []
+    texts = [" ".join(base[:24] + [f"other{k}" for k in range(12)])]
+    texts += [" ".join([*base[:29], f"own{k}"]) for k in range(150)]
+    texts += [" ".join(base[24:] + [f"filler{k}-{j}" for j in range(10)]) for k in range(100)]
+
+    def counted(met, *rest, of=linedup.verified):
+        compared.append(sum(m.count() for m in (met if isinstance(met, list) else [met])))
+        return of(met, *rest)
+
+    monkeypatch.setattr(linedup, "verified", counted)
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in linedup.dedup_lines(documents(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute(texts, list(range(len(texts))), 0.8)
+    assert sum(compared) < 3 * len(texts)
