@@ -89,9 +89,10 @@ def test_rows_are_numbered_once(spark, monkeypatch, tmp_path):
 def test_near_copies_are_not_all_compared(spark, monkeypatch):
     """The earliest line has the rare words of all versions but resembles none, so it settles none of them."""
     base, compared = [f"rare{k}" for k in range(30)], []
-    texts = [" ".join(base[:24] + [f"other{k}" for k in range(12)])]
+    often = [f"often{k}" for k in range(12)]
+    texts = [" ".join(base[:24] + often)]
     texts += [" ".join([*base[:29], f"own{k}"]) for k in range(150)]
-    texts += [" ".join(base[24:] + [f"filler{k}-{j}" for j in range(10)]) for k in range(100)]
+    texts += [" ".join(base[24:] + often + [f"filler{k}-{j}" for j in range(10)]) for k in range(300)]
 
     def counted(met, *rest, of=linedup.verified):
         compared.append(sum(m.count() for m in (met if isinstance(met, list) else [met])))
