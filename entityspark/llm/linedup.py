@@ -30,17 +30,17 @@ from pyspark.sql.window import Window as W
 from entityspark.llm.common import NOT_SPACE, SPACE, discard, materialize
 
 #: Words are counted by hash in so many classes. Any order makes the join exact; rarity makes it fast.
-CLASSES = 1 << 14
+CLASSES = 1 << 17
 #: Bits of a word's hash below its class's rarity in a prefix. Where they collide, a pair more is verified.
 BITS = 50
 #: Sets of more words have a parity sketch of 128 bits instead of 64.
 LARGE = 64
 #: A band of sizes spans so many steps by the inverse of the threshold: fewer bring more rows, more bring more pairs to rule out.
 STEPS = 2
-#: White space other than the space.
-CONTROLS = "\t\n\x0b\x0c\r"
-#: Passes over the words of the prefixes.
-PASSES = 4
+#: White space in a line other than the space.
+CONTROLS = "\t\x0b\x0c\r"
+#: Passes over the words of the prefixes, for the leaders and for the others.
+LED, PASSES = 2, 4
 #: Tables of row numbers with at most so many rows (16 MB) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 1 << 21
 ORDER = ("last", "doc_id", "row_id", "line_no")
@@ -73,7 +73,8 @@ def distinct_lines(every: DataFrame) -> DataFrame:
 def rarity(sets: DataFrame) -> Column:
     """An array: how often words of each class occur, in quarter powers of two. It stands in the plan, so it is kept short."""
     counts = sets.select(F.explode("codes").alias("w")).groupBy(F.col("w").bitwiseAND(F.lit(CLASSES - 1)).alias("c")).count()
-    often = {r["c"]: int(4 * math.log2(r["count"])) for r in counts.collect()}  # CLASSES rows at most
+    found = counts.select("c", F.floor(4 * F.log2("count")).cast("int").alias("often")).toArrow()  # CLASSES rows at most
+    often = dict(zip(found["c"].to_pylist(), found["often"].to_pylist()))
     return F.split(F.lit(",".join(str(often.get(k, 0)) for k in range(CLASSES))), ",").cast("array<int>")
 
 
@@ -88,15 +89,16 @@ def short(size: Column, threshold: float) -> Column:
 
 
 def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
-    """(set_no, order, size, parity, upper, prefix): the prefix of each set, the rarest words coming first.
+    """(set_no, order, size, own, largest, parity, upper, prefix): the prefix of each set, the rarest words coming first, and its bands.
 
     ``parity``: 64 bits, each word flips one. ``upper``: for large sets, the part of it that comes from words with the highest
     bit, so that large sets have 128 bits.
     """
 
     def ranked(w: Column) -> Column:
-        # Without nulls Spark sorts the numbers as they are, not as objects.
-        return w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.shiftleft(F.coalesce(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")), F.lit(0)).cast("long"), BITS))
+        # Without nulls Spark sorts the numbers as they are, not as objects; whatever is read from a file might be null.
+        rare = F.shiftleft(F.get(often, w.bitwiseAND(F.lit(CLASSES - 1)).cast("int")).cast("long"), BITS)
+        return F.coalesce(w.bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(rare), F.lit(0).cast("long"))
 
     def flipped(one) -> Column:
         return F.aggregate("codes", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function("shiftleft", one(t), t.bitwiseAND(F.lit(63)).cast("int"))))
@@ -105,12 +107,13 @@ def prefixes(sets: DataFrame, often: Column, threshold: float) -> DataFrame:
     size, one = F.size("codes"), F.lit(1).cast("long")
     upper = F.when(size > LARGE, flipped(lambda t: F.shiftrightunsigned(t, 63))).otherwise(F.lit(0).cast("long"))
     prefix = F.slice(F.sort_array(F.transform("codes", ranked)), F.lit(1), prefix_length(size, threshold))
-    return sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), flipped(lambda t: one).alias("parity"), upper.alias("upper"), prefix.alias("prefix"))
+    own, largest = bands(size, threshold)
+    return sets.select("set_no", order.cast("long").alias("order"), size.alias("size"), own.alias("own"), largest.alias("largest"), flipped(lambda t: one).alias("parity"), upper.alias("upper"), prefix.alias("prefix"))
 
 
 def tokens(sets: DataFrame) -> DataFrame:
-    """(set_no, order, size, parity, upper, at, token) of each word of the prefixes."""
-    return sets.select("set_no", "order", "size", "parity", "upper", F.posexplode("prefix").alias("at", "token"))
+    """(at, token) of each word of the prefixes, with the set's other columns."""
+    return sets.select(*[c for c in sets.columns if c != "prefix"], F.posexplode("prefix").alias("at", "token"))
 
 
 def overlap(threshold: float) -> Column:
@@ -140,7 +143,7 @@ def fits(threshold: float) -> Column:
 
 
 def named(words: DataFrame, side: str, key: str = "token") -> DataFrame:
-    return words.select(key, *[F.col(c).alias(f"{side}_{c}") for c in words.columns if c not in ("token", key)])
+    return words.select(key, *[F.col(c).alias(f"{side}_{c}") for c in words.columns if c not in ("token", "own", "largest", key)])
 
 
 def to_leaders(words: DataFrame, threshold: float) -> DataFrame:
@@ -155,10 +158,9 @@ def among_open(words: DataFrame, settled: DataFrame, threshold: float) -> DataFr
     """Candidates (a, b, later, spare) of which the later one is not settled: y is as large as x or larger, so x needs its short
     prefix only. ``later`` is null where the order of the documents doesn't tell which one that is."""
     open_ = words.join(small(settled).withColumn("done", F.lit(True)), "set_no", "left").withColumn("open", F.col("done").isNull()).drop("done")
-    own, largest = bands(F.col("size"), threshold)
     # Token and band in one number are sorted faster. Where it collides, a pair more is looked at.
-    larger = named(open_.withColumn("key", F.xxhash64("token", own)), "y", "key")
-    spread = open_.filter(F.col("at") < short(F.col("size"), threshold)).withColumn("band", F.explode(F.array_distinct(F.array(own, largest))))
+    larger = named(open_.withColumn("key", F.xxhash64("token", "own")), "y", "key")
+    spread = open_.filter(F.col("at") < short(F.col("size"), threshold)).withColumn("band", F.explode(F.array_distinct(F.array("own", "largest"))))
     smaller = named(spread.withColumn("key", F.xxhash64("token", "band")).drop("band"), "x", "key")
     met = larger.join(smaller.hint("merge"), "key")
     x, y = F.col("x_order"), F.col("y_order")
@@ -172,9 +174,9 @@ def small(numbers: DataFrame) -> DataFrame:
     return F.broadcast(numbers) if numbers.count() <= BROADCAST_ROWS else numbers
 
 
-def in_passes(words: DataFrame, of, name: str) -> DataFrame:
+def in_passes(words: DataFrame, of, name: str, passes: int) -> DataFrame:
     """The distinct rows of ``of`` each part of the words, taken one after the other, in a table."""
-    parts = [materialize(of(tokens(words).filter(F.pmod("token", F.lit(PASSES)) == k)), name) for k in range(PASSES)]
+    parts = [materialize(of(tokens(words).filter(F.pmod("token", F.lit(passes)) == k)), name) for k in range(passes)]
     found = materialize(reduce(DataFrame.unionByName, parts).distinct(), name)
     for part in parts:
         discard(part)
@@ -207,11 +209,11 @@ def nearest(met: DataFrame) -> DataFrame:
 def kept_lines(rows: DataFrame, threshold: float) -> DataFrame:
     """(row_id, line_no) of the lines with words that stay, of rows (row_id, doc_id, text)."""
     sets = materialize(distinct_lines(lines(rows)), "sets", **{"parquet.dictionary.page.size": str(1 << 23)})
-    words = materialize(prefixes(sets, rarity(sets), threshold), "words")
+    words = materialize(prefixes(sets, rarity(sets), threshold), "words", **{"parquet.enable.dictionary": "false"})
 
-    led = in_passes(words, lambda part: to_leaders(part, threshold), "led")
+    led = in_passes(words, lambda part: to_leaders(part, threshold), "led", LED)
     settled = verified(led, whole := whole_sets(led, sets), threshold)
-    rest = in_passes(words, lambda part: among_open(part, settled, threshold), "pairs")
+    rest = in_passes(words, lambda part: among_open(part, settled, threshold), "pairs", PASSES)
     for table in (words, led, whole):
         discard(table)
     whole = whole_sets(rest, sets)

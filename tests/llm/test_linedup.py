@@ -122,3 +122,15 @@ def test_words_of_lines_with_any_white_space(spark):
     hashed = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
     assert rows.filter(linedup.codes(F.col("line")) != hashed).count() == 0
     assert [len(r[0]) for r in rows.orderBy("id").select(linedup.codes(F.col("line"))).collect()] == [6, 2, 0, 0, 3, 2]
+
+
+def test_rare_words_come_first_among_many(spark):
+    """200,000 words that occur once are told from 12,000 that occur 50 times."""
+    own = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda j: F.xxhash64(F.lit("own"), "id", j))
+    often = F.transform(F.sequence(F.lit(0), F.lit(29)), lambda j: F.xxhash64(F.lit("often"), (F.col("id") * 30 + j) % 12000))
+    sets = spark.range(20000).select(F.col("id").alias("set_no"), F.col("id").alias("doc_id"), F.concat(own, often).alias("codes"), own.alias("own_codes"))
+    found = linedup.prefixes(sets, linedup.rarity(sets), 0.8).join(sets.select("set_no", "own_codes"), "set_no")
+    low = F.lit((1 << linedup.BITS) - 1)
+    first, once = (F.transform(c, lambda w: w.bitwiseAND(low)) for c in ("prefix", "own_codes"))
+    x = found.agg(F.sum(F.size(F.array_intersect(first, once))).alias("once"), F.sum(F.size("prefix")).alias("all")).first()
+    assert x["all"] == 9 * 20000 and x["once"] > 0.9 * x["all"]
