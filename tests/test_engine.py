@@ -146,3 +146,15 @@ def test_entry_imports_without_the_subpackage():
 
     assert entry.optional("entityspark.no_such.module") is None and entry.optional("no_such_module") is None
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_distances_are_computed_once_for_the_rows_of_two_places(spark, monkeypatch):
+    plan = catalogue.q_haversine_pairs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert "ASIN" not in plan.split("GENERATE EXPLODE")[0]
+    monkeypatch.setattr(catalogue, "BLOCK", 3)
+    rows = spark.range(120).selectExpr("id % 2 AS cluster", "CASE WHEN id = 7 THEN 9 ELSE id END AS row_idx", "44.4D + CASE WHEN id < 40 THEN 0 ELSE id * 7 % 5 END / 100D AS latitude", "CASE WHEN id > 115 THEN NULL ELSE 33.4D + CASE WHEN id < 40 THEN 0 ELSE id * 11 % 3 END / 100D END AS longitude")
+    a, b = (rows.selectExpr("cluster", *[f"{c} AS {s}_{c}" for c in ("row_idx", "latitude", "longitude")]) for s in "ab")
+    km = F.round(geo.haversine(F.col("a_latitude"), F.col("a_longitude"), F.col("b_latitude"), F.col("b_longitude")), 6)
+    plain = a.join(b, "cluster").filter("a_row_idx < b_row_idx").select("a_row_idx", "b_row_idx", km)
+    told = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert told(catalogue.distances(rows)) == told(plain) and plain.filter("a_row_idx = 9").count() == 110
